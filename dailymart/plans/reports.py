@@ -38,6 +38,13 @@ def _avg_rated(name: str) -> Column:
     return avg_where("avg_rating", F.col("avg_rating") > 0, 2).alias(name)
 
 
+def _since(fact: DataFrame, first: Column | date) -> DataFrame:
+    """Rows from ``first`` on. A stored fact also names the month, which prunes its folders."""
+    first = F.lit(first) if isinstance(first, date) else first
+    rows = fact.where(F.col("date") >= first)
+    return rows.where(F.col("month") >= month_of(first)) if "month" in fact.columns else rows
+
+
 _FAILURE = ("order_failure_rate", 1, "avg_failure_rate")
 _UPTIME = ("uptime_percentage", 1, "avg_uptime")
 
@@ -224,7 +231,8 @@ def problem_records(fact: DataFrame, k: int = 20) -> DataFrame:
 def listing_history(fact: DataFrame, listing_id: int, since: date = date(2023, 1, 1)) -> DataFrame:
     """One listing over time; both conditions reach the Parquet scan."""
     return (
-        fact.where((F.col("listing_id") == listing_id) & (F.col("date") >= F.lit(since)))
+        _since(fact, since)
+        .where(F.col("listing_id") == listing_id)
         .select(
             "date",
             "daily_orders",
@@ -258,7 +266,7 @@ def correlation_matrix(fact: DataFrame) -> DataFrame:
 
 def daily_summary(fact: DataFrame, since: date | None = None) -> DataFrame:
     """Per date: active listings, orders, mean rating and temperature, newest first."""
-    rows = fact if since is None else fact.where(F.col("date") >= F.lit(since))
+    rows = fact if since is None else _since(fact, since)
     return (
         rows.groupBy("date")
         .agg(
@@ -349,8 +357,7 @@ def latest_rows(fact: DataFrame, k: int = 20) -> DataFrame:
 def recent_overview(fact: DataFrame, as_of: Column | date | None = None, days: int = 30) -> DataFrame:
     """The daily summary of the last ``days`` days before ``as_of`` (today by default)."""
     today = F.current_date() if as_of is None else (F.lit(as_of) if isinstance(as_of, date) else as_of)
-    recent = fact.where(F.col("date") >= F.date_sub(today, days))
-    return daily_summary(recent).withColumnRenamed("avg_rating", "platform_avg_rating")
+    return daily_summary(_since(fact, F.date_sub(today, days))).withColumnRenamed("avg_rating", "platform_avg_rating")
 
 
 def rating_distribution(fact: DataFrame) -> DataFrame:

@@ -81,14 +81,18 @@ def flatten_hourly(
         .when(bad_time, "unreadable time")
     )
     judged = parsed.withColumn("reason", reason)
+    # The verdict sits inside the generators, not in a filter: Spark would push a filter below the
+    # projections and repeat every JSON parse in it.
+    usable = F.col("reason").isNull()
     zipped = F.arrays_zip(F.col("_time"), *[F.col(f"_m_{m}") for m in metrics])
-    rows = judged.where(F.col("reason").isNull()).select("outlet_id", F.inline(zipped))
+    rows = judged.select("outlet_id", F.inline(F.when(usable, zipped)))
     stored = rows.select(
         "outlet_id",
         F.col("_time").try_cast("timestamp_ntz").alias("datetime"),
         *[_as_stored(F.col(f"_m_{m}"), kind).alias(m) for m, kind in metrics.items()],
     )
-    return stored, judged.where(F.col("reason").isNotNull()).select("outlet_id", "reason", "payload")
+    refused = F.when(~usable, F.array(F.struct("reason", "payload")))
+    return stored, judged.select("outlet_id", F.inline(refused))
 
 
 def _as_stored(value: Column, kind: T.DataType) -> Column:
