@@ -127,6 +127,18 @@ def _status(n: Column) -> Column:
     return F.when(failed, "error").when(n > F.col("warn_above"), "warn").otherwise("pass")
 
 
+def _declared(check: Check) -> Column:
+    limit = F.lit(check.error_above).cast("bigint")
+    return F.struct(
+        F.lit(check.name).alias("check_name"),
+        F.lit(check.model).alias("model"),
+        F.lit(check.kind).alias("kind"),
+        F.lit(check.severity).alias("severity"),
+        F.lit(check.warn_above).cast("bigint").alias("warn_above"),
+        limit.alias("error_above"),
+    )
+
+
 def run_checks(
     models: Mapping[str, DataFrame], checks: Iterable[Check], as_of: date | None = None
 ) -> DataFrame:
@@ -150,11 +162,7 @@ def run_checks(
             counted.append(_counted_values(models[model], values))
         counted += [_counted_failures(c, models, as_of) for c in group if c not in rows and c not in values]
 
-    spark = counted[0].sparkSession
-    declared = spark.createDataFrame(
-        [(c.name, c.model, c.kind, c.severity, c.warn_above, c.error_above) for c in checks],
-        "check_name string, model string, kind string, severity string, warn_above bigint, error_above bigint",
-    )
+    declared = counted[0].sparkSession.range(1).select(F.inline(F.array(*[_declared(c) for c in checks])))
     results = reduce(DataFrame.unionByName, counted)
     joined = declared.join(results, "check_name", "left").withColumn(
         "n_failures", F.coalesce("n_failures", F.lit(0).cast("bigint"))
