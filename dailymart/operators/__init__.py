@@ -1,7 +1,7 @@
 from dailymart.operators.latest import latest_per_key
 from dailymart.operators.references import orphan_keys, orphans
 from dailymart.operators.shares import prev_by, share_of_total, top_k
-from dailymart.operators.skew import hot_keys, salted_join
+from dailymart.operators.skew import hot_keys, probe_hot_keys, salted_join
 
 __all__ = [
     "hot_keys",
@@ -9,6 +9,7 @@ __all__ = [
     "orphan_keys",
     "orphans",
     "prev_by",
+    "probe_hot_keys",
     "salted_join",
     "share_of_total",
     "top_k",

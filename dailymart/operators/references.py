@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailymart.operators.skew import hot_keys, salted_join
+from dailymart.operators.skew import probe_hot_keys, salted_join
 
 
 def orphans(
@@ -21,7 +21,7 @@ def orphans(
     """Child rows whose ``fk`` is absent from ``parent.pk``; NULL keys count only when asked to."""
     rows = child if null_is_orphan else child.where(F.col(fk).isNotNull())
     known = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
-    return salted_join(rows, known, [fk], "left_anti", hot_keys(rows, fk), spread)
+    return salted_join(rows, known, [fk], "left_anti", probe_hot_keys(rows, fk), spread)
 
 
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, null_is_orphan: bool = False) -> DataFrame:

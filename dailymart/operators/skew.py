@@ -1,9 +1,10 @@
 """Equi-joins that stay balanced when one key holds a large part of the left side.
 
 Catalyst decides by measured size whether the right side is broadcast. Beyond that size the join
-shuffles, and a hot key would land in one task; so hot keys are counted first and spread over several
-salts, while the matching right rows are copied once per salt. Cold keys keep a single salt and
-are not copied, so the right side grows by at most ``rows / rows_per_salt`` rows per matching key.
+shuffles, and a hot key would land in one task. So the keys of the left side are counted first: with no
+hot key a plain join is safe, otherwise hot keys are spread over several salts while the matching right
+rows are copied once per salt. Cold keys keep a single salt and are not copied, so the right side grows by
+at most ``rows / rows_per_salt`` rows per matching key.
 """
 
 from __future__ import annotations
@@ -24,25 +25,38 @@ def hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> D
     the result is a million times smaller than its input and safe to broadcast.
     """
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    return counted.where(F.col("_n") > rows_per_salt).select(
+    hot = counted.where(F.col("_n") > rows_per_salt)
+    return hot.select(
         key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("bigint").alias("_salts")
     )
 
 
+def probe_hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame | None:
+    """:func:`hot_keys`, or None when a count job finds none."""
+    hot = hot_keys(rows, key, rows_per_salt)
+    return None if hot.isEmpty() else hot
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str,
-    hot: DataFrame,
+    hot: DataFrame | None,
     spread: Sequence[str],
 ) -> DataFrame:
     """Join on ``on`` (inner, left, left_semi or left_anti) with the keys in ``hot`` spread over salts.
 
-    ``hot`` comes from :func:`hot_keys` and names one of the ``on`` columns. ``spread`` are left
-    columns that differ between the rows of one key (ids); hashing them keeps the salt repeatable when a
-    lost task is run again. Rows with a NULL key never match and are scattered.
+    ``hot`` comes from :func:`hot_keys` and names one of the ``on`` columns; None means a plain join.
+    ``spread`` are left columns that differ between the rows of one key (ids); hashing them keeps the salt
+    repeatable when a lost task is run again. Rows with a NULL key never match and are scattered.
     """
+    columns = list(left.columns)
+    if how not in ("left_semi", "left_anti"):
+        columns += [c for c in right.columns if c not in on]
+    if hot is None:
+        return left.join(right, [*on], how).select(*columns)
+
     hot_key = hot.columns[0]
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     scatter = F.xxhash64(*spread)
@@ -52,8 +66,4 @@ def salted_join(
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     salted_right = right.join(F.broadcast(hot), hot_key, "left").withColumn("_salt", copies).drop("_salts")
 
-    joined = salted_left.join(salted_right, [*on, "_salt"], how)
-    columns = list(left.columns)
-    if how not in ("left_semi", "left_anti"):
-        columns += [c for c in right.columns if c not in on]
-    return joined.select(*columns)
+    return salted_left.join(salted_right, [*on, "_salt"], how).select(*columns)

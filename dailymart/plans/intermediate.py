@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import avg_where, count_where, rules
-from dailymart.operators import hot_keys, prev_by, salted_join
+from dailymart.operators import prev_by, salted_join
 
 DAY_KEYS = ["listing_id", "date"]
 
@@ -17,26 +17,23 @@ def listing_profile(
     org: DataFrame,
     platform: DataFrame,
     how: str,
-    hot: dict[str, DataFrame] | None = None,
+    hot_orgs: DataFrame | None = None,
+    hot_outlets: DataFrame | None = None,
 ) -> DataFrame:
     """Listing with its outlet, organization and platform attributes (``how``: inner or left).
 
     Built once at listing grain, so the day- and order-grain tables carry out one dimension join
-    instead of four. One outlet, organization or platform may own a large part of the listings, hence
-    the salted joins; ``hot`` may bring their hot keys counted from the raw tables. Platforms are not
-    unique, so a doubled platform doubles its listings.
+    instead of four. ``hot_orgs`` and ``hot_outlets`` are hot keys of the outlets and listings. Platforms
+    are not unique, so a doubled platform doubles its listings; they are read as they are, so Catalyst
+    knows their size, and if they ever outgrow a broadcast both sides of that join come straight from
+    a shuffle, where adaptive execution splits a hot platform.
     """
-    hot = hot or {
-        "org_id": hot_keys(outlet, "org_id"),
-        "outlet_id": hot_keys(listing, "outlet_id"),
-        "platform_id": hot_keys(listing, "platform_id"),
-    }
     owned = salted_join(
         outlet.select("outlet_id", "org_id", "outlet_name", "latitude", "longitude", "has_valid_coordinates"),
         org.select("org_id", "org_name"),
         ["org_id"],
         how,
-        hot["org_id"],
+        hot_orgs,
         spread=["outlet_id"],
     )
     placed = salted_join(
@@ -44,32 +41,26 @@ def listing_profile(
         owned,
         ["outlet_id"],
         how,
-        hot["outlet_id"],
+        hot_outlets,
         spread=["listing_id"],
     )
-    return salted_join(
-        placed,
-        platform.select("platform_id", "platform_name", "platform_group", "platform_country"),
-        ["platform_id"],
-        how,
-        hot["platform_id"],
-        spread=["listing_id"],
+    return placed.join(
+        platform.select("platform_id", "platform_name", "platform_group", "platform_country"), "platform_id", how
     )
 
 
 def int_orders_enriched(orders: DataFrame, profile: DataFrame, hot_listings: DataFrame | None = None) -> DataFrame:
     """Orders with all attributes of their listing; orders without a full profile are dropped.
 
-    ``profile`` is the inner :func:`listing_profile`. ``hot_listings`` may come from the raw orders
-    (a superset), which saves deduplicating twice.
+    ``profile`` is the inner :func:`listing_profile`. ``hot_listings`` are hot keys of the orders; they may
+    be counted on the raw orders (a superset), which saves deduplicating twice.
     """
-    hot = hot_keys(orders, "listing_id") if hot_listings is None else hot_listings
     joined = salted_join(
         orders.select("order_id", "order_date", "placed_at", "status", "listing_id"),
         profile,
         ["listing_id"],
         "inner",
-        hot,
+        hot_listings,
         spread=["order_id"],
     )
     return joined.select(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import rules
-from dailymart.operators import hot_keys, salted_join
+from dailymart.operators import salted_join
 from dailymart.plans.intermediate import DAY_KEYS
 
 FACT = "fct_daily_business_performance"
@@ -89,7 +89,8 @@ def fct_daily(
     be the raw snapshot table: deduplication never removes a date.
 
     A listing has at most one folded row per date, so the profile join cannot be skewed. The weather
-    join can: one outlet may own many listings, which share its daily weather row.
+    join can: one outlet may own many listings, which share its daily weather row. ``hot_outlets`` are
+    outlets with that many listings.
     """
     dates = snapshots if snapshot_dates is None else snapshot_dates
     days = day_columns(on_spine(daily_measures(snapshots, outcomes, ratings, ranks), dates))
@@ -106,7 +107,7 @@ def fct_daily(
         daily_weather,
         ["outlet_id", "date"],
         "left",
-        hot_keys(profile, "outlet_id") if hot_outlets is None else hot_outlets,
+        hot_outlets,
         spread=["listing_id"],
     )
     return joined.withColumns(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import rules
-from dailymart.operators import hot_keys
+from dailymart.operators import probe_hot_keys
 from dailymart.plans import intermediate, mart
 from dailymart.plans.staging import STAGING
 
@@ -58,7 +58,7 @@ class Models:
             return intermediate.int_ratings_metrics(self["stg_ratings_agg"])
         if name == "int_orders_enriched":
             return intermediate.int_orders_enriched(
-                self["stg_orders"], self.profile("inner"), hot_keys(self.raw["orders"], "listing_id")
+                self["stg_orders"], self.profile("inner"), probe_hot_keys(self.raw["orders"], "listing_id")
             )
         if name == mart.FACT:
             return mart.fct_daily(
@@ -69,23 +69,29 @@ class Models:
                 self.profile("left"),
                 self["stg_weather"],
                 snapshot_dates=self.raw["orders_daily"],
-                hot_outlets=self.hot["outlet_id"],
+                hot_outlets=self.hot_outlets,
             )
         raise KeyError(name)
 
+    # Hot keys are counted on the raw tables (a superset of the staged rows), once per model set.
+
+    @cached_property
+    def hot_orgs(self) -> DataFrame | None:
+        return probe_hot_keys(self.raw["outlet"], "org_id")
+
     @cached_property
-    def hot(self) -> dict[str, DataFrame]:
-        """Hot keys of the listing joins, counted on the raw tables (a superset of the staged rows)."""
-        listing = self.raw["listing"]
-        return {
-            "org_id": hot_keys(self.raw["outlet"], "org_id"),
-            "outlet_id": hot_keys(listing, "outlet_id"),
-            "platform_id": hot_keys(listing, "platform_id"),
-        }
+    def hot_outlets(self) -> DataFrame | None:
+        return probe_hot_keys(self.raw["listing"], "outlet_id")
 
     def profile(self, how: str) -> DataFrame:
         return intermediate.listing_profile(
-            self["stg_listing"], self["stg_outlet"], self["stg_org"], self["stg_platform"], how, self.hot
+            self["stg_listing"],
+            self["stg_outlet"],
+            self["stg_org"],
+            self["stg_platform"],
+            how,
+            self.hot_orgs,
+            self.hot_outlets,
         )
 
     def orders_by_status(self) -> DataFrame:
