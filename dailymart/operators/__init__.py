@@ -1,9 +1,10 @@
 from dailymart.operators.latest import latest_per_key
 from dailymart.operators.references import orphan_keys, orphans
 from dailymart.operators.shares import prev_by, share_of_total, top_k
-from dailymart.operators.skew import hot_keys, probe_hot_keys, salted_join
+from dailymart.operators.skew import ROWS_PER_SALT, hot_keys, probe_hot_keys, salted_join
 
 __all__ = [
+    "ROWS_PER_SALT",
     "hot_keys",
     "latest_per_key",
     "orphan_keys",

@@ -54,13 +54,19 @@ class QualityError(Exception):
     """Raised when a check of error severity fails."""
 
 
-def _violation(check: Check) -> Column:
-    """Condition of a failing row, for checks that look at one row at a time."""
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def _violation(check: Check) -> str:
+    """Condition of a failing row, as SQL, for checks that look at one row at a time."""
     if check.kind == "not_null":
-        bad = F.col(check.columns[0]).isNull()
+        bad = f"`{check.columns[0]}` IS NULL"
+    elif check.kind == "accepted_values":
+        bad = f"`{check.columns[0]}` NOT IN ({', '.join(map(_text, check.values))})"
     else:
-        bad = ~F.expr(check.expression)
-    return bad if check.where is None else F.expr(check.where) & bad
+        bad = f"NOT ({check.expression})"
+    return bad if check.where is None else f"({check.where}) AND {bad}"
 
 
 def _today(as_of: date | None) -> Column:
@@ -76,9 +82,8 @@ def failing_rows(check: Check, models: Mapping[str, DataFrame], as_of: date | No
         keyed = reduce(lambda d, c: d.where(F.col(c).isNotNull()), check.columns, df)
         return keyed.groupBy(*check.columns).agg(F.count("*").alias("n_records")).where(F.col("n_records") > 1)
     if check.kind == "accepted_values":
-        (column,) = check.columns
-        bad = df.where(~F.col(column).isin(*check.values))
-        return bad.groupBy(F.col(column).alias("value_field")).agg(F.count("*").alias("n_records"))
+        bad = df.where(_violation(check))
+        return bad.groupBy(F.col(check.columns[0]).alias("value_field")).agg(F.count("*").alias("n_records"))
     if check.kind == "relationships":
         parent, key = check.parent
         return orphan_keys(df, check.columns[0], models[parent], key)
@@ -89,29 +94,28 @@ def failing_rows(check: Check, models: Mapping[str, DataFrame], as_of: date | No
     raise ValueError(check.kind)
 
 
+def _inline(structs: Iterable[str]) -> str:
+    return f"inline(array({', '.join(structs)}))"
+
+
 def _counted_rows(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """(name, n_failures) of all row checks of a model, from one aggregate pass."""
-    once = df.agg(*[F.count_if(_violation(c)).alias(f"c{i}") for i, c in enumerate(checks)])
-    pairs = [
-        F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("n_failures"))
-        for i, c in enumerate(checks)
-    ]
-    return once.select(F.inline(F.array(*pairs)))
+    """(check_name, n_failures) of all row checks of a model, from one aggregate pass."""
+    once = df.selectExpr(*[f"count_if({_violation(c)}) AS c{i}" for i, c in enumerate(checks)])
+    return once.selectExpr(
+        _inline(f"struct({_text(c.name)} AS check_name, c{i} AS n_failures)" for i, c in enumerate(checks))
+    )
 
 
 def _counted_values(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """(name, n_failures) of all accepted-value checks of a model, from one pass.
+    """(check_name, n_failures) of all accepted-value checks of a model, from one pass.
 
     Only bad values reach the shuffle, which is none in a healthy table. A clean check has no row here.
     """
     pairs = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.when(~F.col(c.columns[0]).isin(*c.values), F.col(c.columns[0])).alias("value"),
-        )
+        f"struct({_text(c.name)} AS check_name, CASE WHEN {_violation(c)} THEN `{c.columns[0]}` END AS value)"
         for c in checks
     ]
-    bad = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
+    bad = df.selectExpr(_inline(pairs)).where("value IS NOT NULL").distinct()
     return bad.groupBy("check_name").agg(F.count("*").alias("n_failures"))
 
 
@@ -127,15 +131,12 @@ def _status(n: Column) -> Column:
     return F.when(failed, "error").when(n > F.col("warn_above"), "warn").otherwise("pass")
 
 
-def _declared(check: Check) -> Column:
-    limit = F.lit(check.error_above).cast("bigint")
-    return F.struct(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.kind).alias("kind"),
-        F.lit(check.severity).alias("severity"),
-        F.lit(check.warn_above).cast("bigint").alias("warn_above"),
-        limit.alias("error_above"),
+def _declared(check: Check) -> str:
+    limit = "NULL" if check.error_above is None else str(check.error_above)
+    return (
+        f"struct({_text(check.name)} AS check_name, {_text(check.model)} AS model, {_text(check.kind)} AS kind, "
+        f"{_text(check.severity)} AS severity, bigint({check.warn_above}) AS warn_above, "
+        f"bigint({limit}) AS error_above)"
     )
 
 
@@ -162,7 +163,7 @@ def run_checks(
             counted.append(_counted_values(models[model], values))
         counted += [_counted_failures(c, models, as_of) for c in group if c not in rows and c not in values]
 
-    declared = counted[0].sparkSession.range(1).select(F.inline(F.array(*[_declared(c) for c in checks])))
+    declared = counted[0].sparkSession.range(1).selectExpr(_inline(map(_declared, checks)))
     results = reduce(DataFrame.unionByName, counted)
     joined = declared.join(results, "check_name", "left").withColumn(
         "n_failures", F.coalesce("n_failures", F.lit(0).cast("bigint"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,11 +54,24 @@ class Lake:
         REBALANCE lets adaptive execution split a month into files of the advisory size and merge small ones,
         so neither a big month nor many tiny ones hurt; the sort makes listing filters skip row groups.
         """
+        return self._write_monthly(df, layer, table, "static")
+
+    def refresh_fact(self, df: DataFrame, layer: str, table: str, first: date, last: date) -> int:
+        """Recompute only the months from ``first`` to ``last``; other months stay untouched.
+
+        ``df`` is the full lazy model. Whole months are replaced, so late rows of a month are taken along.
+        """
+        month = month_of("date")
+        wanted = df.where(month.between(F.trunc(F.lit(first), "month"), F.lit(last)))
+        return self._write_monthly(wanted, layer, table, "dynamic")
+
+    def _write_monthly(self, df: DataFrame, layer: str, table: str, overwrite: str) -> int:
         monthly = df.withColumn("month", month_of("date")).hint("rebalance", "month")
         arranged = monthly.sortWithinPartitions("month", "listing_id", "date")
         seen = Observation()
         counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").partitionBy("month").parquet(self.path(layer, table))
+        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+        writer.partitionBy("month").parquet(self.path(layer, table))
         return int(seen.get.get("rows", 0))
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:

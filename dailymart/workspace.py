@@ -12,8 +12,11 @@ from dailymart.session import shared_folder
 from dailymart.sinks.lake import Lake
 from dailymart.sources.projection import raw_tables
 
-# Deduplicated and joined models that several checks read; renamed or small ones stay views.
+# Deduplicated and joined models that several checks read; renamed ones stay views.
 STORED = {
+    "stg_listing",
+    "stg_outlet",
+    "stg_org",
     "stg_orders",
     "stg_orders_daily",
     "stg_ratings_agg",

@@ -185,3 +185,17 @@ def test_fact_table_is_partitioned_by_month(spark, tmp_path):
     assert lake.build_fact(df, "mart", "f") == 4
     assert sorted(p.name for p in (tmp_path / "mart" / "f").glob("month=*")) == ["month=2024-01-01", "month=2024-02-01"]
     assert lake.read("mart", "f").where("month = date'2024-02-01'").count() == 2
+
+
+def test_refresh_replaces_whole_months_only(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+
+    def days(value):
+        return spark.sql(
+            f"select explode(sequence(date'2024-01-30', date'2024-03-02')) date, 1L listing_id, {value} x"
+        )
+
+    assert lake.build_fact(days(1), "mart", "f") == 33
+    assert lake.refresh_fact(days(2), "mart", "f", date(2024, 2, 10), date(2024, 2, 11)) == 29
+    found = {(r.month, r.x): r["count"] for r in lake.read("mart", "f").groupBy("month", "x").count().collect()}
+    assert found == {(date(2024, 1, 1), 1): 2, (date(2024, 2, 1), 2): 29, (date(2024, 3, 1), 1): 2}
