@@ -166,8 +166,8 @@ CTES: dict[str, str] = {
                cancelled_orders + refunded_orders AS failed_orders,
                {rounded("100.0 * (cancelled_orders + refunded_orders) / total_orders", 1)} AS order_failure_rate
         FROM (SELECT order_date AS date, listing_id, count(*) AS total_orders,
-                     count_if(status = 'completed') AS completed_orders, count_if(status = 'pending') AS pending_orders,
-                     count_if(status = 'cancelled') AS cancelled_orders, count_if(status = 'refunded') AS refunded_orders
+                     count(*) FILTER (WHERE status = 'completed') AS completed_orders, count(*) FILTER (WHERE status = 'pending') AS pending_orders,
+                     count(*) FILTER (WHERE status = 'cancelled') AS cancelled_orders, count(*) FILTER (WHERE status = 'refunded') AS refunded_orders
               FROM stg_orders GROUP BY ALL)""",
     "all_days": """
         SELECT date, listing_id FROM (SELECT DISTINCT date FROM stg_orders_daily),
@@ -297,8 +297,8 @@ def _correlation(x: str, y: str) -> str:
 
 
 def _issue(name: str, condition: str) -> str:
-    return f"""SELECT '{name}' AS issue_type, count_if({condition}) AS occurrences,
-                      {rounded(f"100.0 * count_if({condition}) / count(*)", 2)} AS pct_of_total FROM fct"""
+    return f"""SELECT '{name}' AS issue_type, count(*) FILTER (WHERE {condition}) AS occurrences,
+                      {rounded(f"100.0 * count(*) FILTER (WHERE {condition}) / count(*)", 2)} AS pct_of_total FROM fct"""
 
 
 def _share(group: str, count_as: str, where: str = "") -> str:
@@ -337,7 +337,7 @@ def _report_queries() -> dict[str, str]:
             FROM fct WHERE temperature_category <> 'Unknown' GROUP BY temperature_category""",
         "rpt06_availability_impact": f"""
             SELECT availability_category, count(*) AS num_days, {average("daily_orders", 2)} AS avg_daily_orders,
-                   {UPTIME}, {FAILURE}, count_if(is_offline_order_anomaly) AS offline_order_anomalies
+                   {UPTIME}, {FAILURE}, count(*) FILTER (WHERE is_offline_order_anomaly) AS offline_order_anomalies
             FROM fct GROUP BY availability_category""",
         "rpt07_top_organizations": f"""
             SELECT org_name, count(DISTINCT listing_id) AS num_listings, {ORDERS},
@@ -528,20 +528,20 @@ def _quality_queries() -> dict[str, str]:
             WHERE w.outlet_id IS NULL AND l.outlet_id IS NOT NULL GROUP BY l.outlet_id""",
         "dq_source_rows": """
             SELECT count(*) AS outlets,
-                   count_if(latitude IS NOT NULL AND longitude IS NOT NULL AND (latitude <> 0 OR longitude <> 0))
+                   count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND (latitude <> 0 OR longitude <> 0))
                        AS valid_outlets, true AS passed FROM raw_outlet""",
         "dq_rowcount_recon": """
             SELECT count(*) AS stored_rows, count(*) AS fetched_rows, true AS passed FROM raw_weather""",
         "dq_null_profile": """
-            SELECT count_if(outlet_id IS NULL) AS null_outlet_id, count_if(datetime IS NULL) AS null_datetime,
-                   count_if(temperature_2m IS NULL) AS null_temperature_2m,
-                   count_if(relative_humidity_2m IS NULL) AS null_relative_humidity_2m,
-                   count_if(wind_speed_10m IS NULL) AS null_wind_speed_10m,
-                   if(count_if(temperature_2m IS NULL) > 0, 'error', 'pass') AS status FROM raw_weather""",
+            SELECT count(*) FILTER (WHERE outlet_id IS NULL) AS null_outlet_id, count(*) FILTER (WHERE datetime IS NULL) AS null_datetime,
+                   count(*) FILTER (WHERE temperature_2m IS NULL) AS null_temperature_2m,
+                   count(*) FILTER (WHERE relative_humidity_2m IS NULL) AS null_relative_humidity_2m,
+                   count(*) FILTER (WHERE wind_speed_10m IS NULL) AS null_wind_speed_10m,
+                   if(count(*) FILTER (WHERE temperature_2m IS NULL) > 0, 'error', 'pass') AS status FROM raw_weather""",
         "dq_range_profile": """
-            SELECT count_if(temperature_2m NOT BETWEEN -50 AND 60) AS bad_temp,
-                   count_if(relative_humidity_2m NOT BETWEEN 0 AND 100) AS bad_humidity,
-                   count_if(wind_speed_10m NOT BETWEEN 0 AND 200) AS bad_wind,
+            SELECT count(*) FILTER (WHERE temperature_2m NOT BETWEEN -50 AND 60) AS bad_temp,
+                   count(*) FILTER (WHERE relative_humidity_2m NOT BETWEEN 0 AND 100) AS bad_humidity,
+                   count(*) FILTER (WHERE wind_speed_10m NOT BETWEEN 0 AND 200) AS bad_wind,
                    CAST(min(temperature_2m) AS DOUBLE) AS min_temp, CAST(max(temperature_2m) AS DOUBLE) AS max_temp,
                    'pass' AS status FROM raw_weather""",
         "dq_coverage": """
