@@ -21,10 +21,11 @@ _NULL_KEY_SALTS = 4096
 def hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Keys with more than ``rows_per_salt`` rows and the number of salts each needs.
 
-    Counted with map-side combine. There can be at most ``count(rows) / rows_per_salt`` such keys, so
+    NULL counts as a key here: it matches nothing, but its rows need scattering as well. Counted with
+    map-side combine. There can be at most ``count(rows) / rows_per_salt`` such keys, so
     the result is a million times smaller than its input and safe to broadcast.
     """
-    counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counted = rows.groupBy(key).agg(F.count("*").alias("_n"))
     hot = counted.where(F.col("_n") > rows_per_salt)
     return hot.select(
         key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("bigint").alias("_salts")

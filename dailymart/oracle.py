@@ -519,6 +519,15 @@ def _quality_queries() -> dict[str, str]:
         "dq_discrepancy_rows": """
             SELECT date, listing_id, data_quality_flag FROM fct
             WHERE data_quality_flag IN ('large_discrepancy', 'snapshot_negative')""",
+        "dq_stored_failures": """
+            SELECT 'expression_no_large_discrepancy' AS table_name, count(*) AS row_count FROM fct
+            WHERE data_quality_flag IN ('large_discrepancy', 'snapshot_negative')
+            UNION ALL
+            SELECT 'unique_raw_orders_order_id', count(*)
+            FROM (SELECT order_id FROM raw_orders GROUP BY order_id HAVING count(*) > 1)
+            UNION ALL
+            SELECT 'accepted_values_raw_orders_status', count(DISTINCT status) FROM raw_orders
+            WHERE status NOT IN ('completed', 'pending', 'refunded', 'cancelled')""",
         "dq_unplaced_listings": """
             SELECT listing_id, outlet_id FROM stg_listing l WHERE outlet_id IS NOT NULL AND NOT EXISTS
                 (SELECT 1 FROM stg_outlet u WHERE u.outlet_id = l.outlet_id AND u.has_valid_coordinates)""",
@@ -574,6 +583,7 @@ def _source_queries() -> dict[str, str]:
         "src_date_range": """
             SELECT outlet_id, datetime FROM raw_weather
             WHERE datetime >= TIMESTAMP '2024-01-10' AND datetime < TIMESTAMP '2024-01-21'""",
+        "src_weather_ingest": f"SELECT * REPLACE ({_doubles('min_temperature', 'max_temperature')}) FROM stg_weather",
         "load_audit": " UNION ALL ".join(
             [
                 f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, count(*) AS total_rows, 'loaded' AS status"

@@ -15,7 +15,8 @@ from dailymart.operators import orphan_keys, orphans
 from dailymart.plans import reports
 from dailymart.plans.mart import FACT
 from dailymart.plans.models import failure_rates_by_listing
-from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks
+from dailymart.plans.staging import stg_weather
+from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.schemas import HOURLY_METRICS, LOADED_AT
 from dailymart.sinks.loading import audit_summary, load_manifest
@@ -150,6 +151,13 @@ def _hot_days(w: Workspace) -> DataFrame:
     )
 
 
+def _stored_failures(w: Workspace) -> DataFrame:
+    """Failing rows of three checks written to ``test_results`` and counted there."""
+    checks = [EXPRESSIONS[1], DUPLICATE_ORDERS, RAW_STATUS]
+    store_failures(w.results, w.checked, checks)
+    return reports.layer_row_counts({c.name: w.results.read("test_results", c.name) for c in checks})
+
+
 def quality_queries() -> dict[str, Query]:
     return {
         "dq_not_null": _checks(lambda c: c.kind == "not_null" and not c.where),
@@ -173,6 +181,7 @@ def quality_queries() -> dict[str, Query]:
         "dq_discrepancy_rows": _query(
             lambda w: failing_rows(EXPRESSIONS[1], w.checked).select("date", "listing_id", "data_quality_flag")
         ),
+        "dq_stored_failures": _query(_stored_failures),
         "dq_unplaced_listings": _query(_unplaced_listings),
         "dq_missing_parents": _query(
             lambda w: orphan_keys(w.lazy["stg_listing"], "outlet_id", w.raw["weather"], "outlet_id")
@@ -236,7 +245,14 @@ def _load_audit(w: Workspace) -> DataFrame:
     folder = w.folder("files/manifest")
     for file, table in MANIFEST.items():
         _write_csv(w.raw[table], f"{folder}/{file}")
-    return audit_summary(load_manifest(w.spark, folder, w.lake, LOAD_TIME))
+    return audit_summary(load_manifest(w.spark, folder, w.results, LOAD_TIME))
+
+
+def _weather_ingest(w: Workspace) -> DataFrame:
+    """Payloads flattened, stored in place of earlier rows, and aggregated per day from storage."""
+    rows, _ = flatten_hourly(_payloads(w))
+    w.results.load_raw(rows, "weather", LOAD_TIME)
+    return stg_weather(w.results.read_raw("weather"))
 
 
 def source_queries() -> dict[str, Query]:
@@ -253,6 +269,7 @@ def source_queries() -> dict[str, Query]:
                 "outlet_id", "datetime"
             )
         ),
+        "src_weather_ingest": _query(_weather_ingest),
         "load_audit": _query(_load_audit),
     }
 

@@ -48,10 +48,15 @@ class Workspace:
         self.lake = Lake(spark, f"{folder}/dailymart/{label}") if folder else None
         self.checked = Models(self.raw, self._keep)
 
-    def folder(self, name: str) -> str:
+    @property
+    def results(self) -> Lake:
+        """Where queries that store something write to."""
         if self.lake is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        return f"{self.lake.root}/{name}"
+        return self.lake
+
+    def folder(self, name: str) -> str:
+        return f"{self.results.root}/{name}"
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         """Store what several checks or reports read again and is costly to plan anew."""

@@ -11,6 +11,7 @@ from dailymart.operators import (
     orphan_keys,
     orphans,
     prev_by,
+    probe_hot_keys,
     salted_join,
     share_of_total,
     top_k,
@@ -64,6 +65,16 @@ def test_hot_keys_count_salts(sides):
     assert rows(hot_keys(left, "k", 1000)) == []
 
 
+def test_frequent_null_key_is_hot(spark):
+    left = spark.range(50).select(F.when(F.col("id") < 10, F.col("id")).alias("k"), "id")
+    right = spark.createDataFrame([(1, "one")], "k long, name string")
+    hot = hot_keys(left, "k", 20)
+    assert rows(hot.select("k")) == [(None,)]
+    assert probe_hot_keys(left, "k", 40) is None
+    joined = salted_join(left, right, ["k"], "left", hot, spread=["id"])
+    assert rows(joined) == rows(left.join(right, "k", "left").select(*joined.columns))
+
+
 def test_orphans(spark):
     child = spark.createDataFrame([(1, 10), (2, 99), (3, None), (4, 99)], "id int, fk int")
     parent = spark.createDataFrame([(10,), (10,), (None,)], "pk int")

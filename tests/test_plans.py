@@ -9,7 +9,7 @@ from conftest import SMALL
 from dailymart.plans import reports
 
 # Building these runs jobs, so only their results are tested.
-EAGER = {"src_csv", "load_audit"}
+EAGER = {"src_csv", "src_weather_ingest", "load_audit", "dq_stored_failures"}
 LAZY = sorted(set(entry.queries()) - EAGER)
 
 
