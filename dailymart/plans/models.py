@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,13 +45,15 @@ class Models:
         self._rows_per_salt = rows_per_salt
         self._store = store
         self._built: dict[str, DataFrame] = {}
+        self._lock = RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self.raw[name.removeprefix("raw_")]
-        if name not in self._built:
-            self._built[name] = self._store(name, self._build(name))
-        return self._built[name]
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = self._store(name, self._build(name))
+            return self._built[name]
 
     def _build(self, name: str) -> DataFrame:
         if name in STAGING:

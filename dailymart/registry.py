@@ -154,7 +154,7 @@ def _hot_days(w: Workspace) -> DataFrame:
 def _stored_failures(w: Workspace) -> DataFrame:
     """Failing rows of three checks written to ``test_results`` and counted there."""
     checks = [EXPRESSIONS[1], DUPLICATE_ORDERS, RAW_STATUS]
-    store_failures(w.results, w.checked, checks)
+    w.once("stored failures", lambda: store_failures(w.results, w.checked, checks))
     return reports.layer_row_counts({c.name: w.results.read("test_results", c.name) for c in checks})
 
 
@@ -236,22 +236,27 @@ def _csv_round_trip(w: Workspace) -> DataFrame:
     """All raw orders written as CSV with some unreadable times, then read back by the typed scan."""
     path = w.folder("files/orders_with_bad_times.csv")
     bad = F.when(F.col("order_id") % 97 == 0, F.lit("not a time"))
-    _write_csv(w.raw["orders"].withColumn("placed_at", F.coalesce(bad, F.col("placed_at").cast("string"))), path)
+    texts = w.raw["orders"].withColumn("placed_at", F.coalesce(bad, F.col("placed_at").cast("string")))
+    w.once("orders file", lambda: _write_csv(texts, path))
     return read_typed_csv(w.spark, path, "orders")
 
 
 def _load_audit(w: Workspace) -> DataFrame:
     """All manifest files written from the raw entities, then loaded with the audit."""
     folder = w.folder("files/manifest")
-    for file, table in MANIFEST.items():
-        _write_csv(w.raw[table], f"{folder}/{file}")
-    return audit_summary(load_manifest(w.spark, folder, w.results, LOAD_TIME))
+
+    def load() -> DataFrame:
+        for file, table in MANIFEST.items():
+            _write_csv(w.raw[table], f"{folder}/{file}")
+        return load_manifest(w.spark, folder, w.results, LOAD_TIME)
+
+    return audit_summary(w.once("manifest load", load))
 
 
 def _weather_ingest(w: Workspace) -> DataFrame:
     """Payloads flattened, stored in place of earlier rows, and aggregated per day from storage."""
     rows, _ = flatten_hourly(_payloads(w))
-    w.results.load_raw(rows, "weather", LOAD_TIME)
+    w.once("weather ingest", lambda: w.results.load_raw(rows, "weather", LOAD_TIME))
     return stg_weather(w.results.read_raw("weather"))
 
 

@@ -20,8 +20,8 @@ def qualified_name(model: str, layer: str | None = None) -> str:
 
 
 def stamped(df: DataFrame, loaded_at: datetime) -> DataFrame:
-    """One literal load time for the whole load."""
-    return df.withColumn(LOADED_AT, F.lit(loaded_at).cast(TS))
+    """One literal load time for the whole load, independent of any time zone setting."""
+    return df.withColumn(LOADED_AT, F.lit(loaded_at.isoformat(sep=" ")).cast(TS))
 
 
 class Lake:

@@ -32,7 +32,7 @@ def _versions(df: DataFrame, first: dict[str, Column], again: Column, second: di
 
 
 def _finish(df: DataFrame, table: str) -> DataFrame:
-    return conform(df.withColumn(LOADED_AT, F.lit(LOAD_TIME).cast(TS)), table)
+    return conform(df.withColumn(LOADED_AT, _at(LOAD_TIME.isoformat(sep=" "))), table)
 
 
 def platform(region: DataFrame) -> DataFrame:

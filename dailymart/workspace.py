@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from threading import RLock
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +30,8 @@ STORED = {
     FACT,
 }
 
+T = TypeVar("T")
+
 _open: dict[tuple[str, str], Workspace] = {}
 
 
@@ -42,7 +47,8 @@ class Workspace:
         self.spark = spark
         self.raw = raw_tables(spark, sf_dir)
         self.lazy = Models(self.raw)
-        self._fact: DataFrame | None = None
+        self._done: dict[str, object] = {}
+        self._lock = RLock()
         folder = shared_folder(spark)
         label = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
         self.lake = Lake(spark, f"{folder}/dailymart/{label}") if folder else None
@@ -67,19 +73,32 @@ class Workspace:
         self.lake.replace(df, LAYERS[name], name)
         return self.lake.read(LAYERS[name], name)
 
+    def once(self, name: str, work: Callable[[], T]) -> T:
+        """Run a job that stores something a single time; later callers get the first outcome.
+
+        So nothing a lazy result still reads is overwritten, also when queries run in several threads.
+        """
+        with self._lock:
+            if name not in self._done:
+                self._done[name] = work()
+            return self._done[name]
+
     @property
     def fact(self) -> DataFrame:
         """The mart table: built on first use, read from storage afterwards."""
-        if self._fact is None:
-            if self.lake is None:
-                return self.lazy.fact
-            self.lake.build_fact(self.lazy.fact, LAYERS[FACT], FACT)
-            self._fact = self.lake.read(LAYERS[FACT], FACT)
-        return self._fact
+        return self.lazy.fact if self.lake is None else self.once(FACT, self._build_fact)
+
+    def _build_fact(self) -> DataFrame:
+        self.lake.build_fact(self.lazy.fact, LAYERS[FACT], FACT)
+        return self.lake.read(LAYERS[FACT], FACT)
+
+
+_opening = RLock()
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _open:
-        _open[key] = Workspace(spark, sf_dir)
-    return _open[key]
+    with _opening:
+        if key not in _open:
+            _open[key] = Workspace(spark, sf_dir)
+        return _open[key]

@@ -193,3 +193,17 @@ def test_fact_has_published_columns(small):
 
 def test_layers():
     assert LAYERS["stg_orders"] == "staging" and LAYERS[mart.FACT] == "mart"
+
+
+def test_without_shared_folder_nothing_is_stored(spark, monkeypatch):
+    from conftest import SMALL
+
+    from dailymart import workspace as module
+
+    monkeypatch.setattr(module, "shared_folder", lambda _: None)
+    space = module.Workspace(spark, SMALL)
+    assert space.lake is None
+    assert space.fact.columns == mart.FACT_COLUMNS
+    assert space.checked["stg_org"].count() == 25
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        space.folder("files")
