@@ -148,9 +148,10 @@ CTES: dict[str, str] = {
         FROM stg_rank GROUP BY ALL""",
     "int_rank_daily_avg": """
         SELECT *, worst_rank - best_rank AS rank_volatility,
-               CASE WHEN uptime_percentage >= 100 THEN 'Always Online' WHEN uptime_percentage >= 75 THEN 'Mostly Online'
-                    WHEN uptime_percentage >= 25 THEN 'Partially Online'
-                    WHEN uptime_percentage > 0 THEN 'Mostly Offline' ELSE 'Always Offline' END AS availability_category
+               if(uptime_percentage > 0,
+                  ['Mostly Offline', 'Partially Online', 'Mostly Online', 'Always Online']
+                  [1 + (uptime_percentage >= 25)::INT + (uptime_percentage >= 75)::INT + (uptime_percentage >= 100)::INT], 'Always Offline')
+                   AS availability_category
         FROM rank_day""",
     "int_ratings_metrics": """
         SELECT date, listing_id, rating_count - coalesce(lag(rating_count) OVER prior, 0) AS daily_new_ratings,
@@ -174,6 +175,7 @@ CTES: dict[str, str] = {
                                      (SELECT DISTINCT listing_id FROM stg_listing)""",
     "fact_day": """
         SELECT a.date, a.listing_id, s.daily_orders AS snapshot, o.total_orders AS counted,
+               abs(s.daily_orders - coalesce(o.total_orders, 0)) AS gap,
                o.* EXCLUDE (date, listing_id), r.* EXCLUDE (date, listing_id), k.* EXCLUDE (date, listing_id)
         FROM all_days a
              LEFT JOIN stg_orders_daily s USING (date, listing_id)
@@ -189,11 +191,9 @@ CTES: dict[str, str] = {
                l.platform_id, p.platform_name, p.platform_group, p.platform_country,
                CAST(coalesce(snapshot, 0) AS BIGINT) AS daily_orders_from_snapshot,
                coalesce(counted, 0) AS daily_orders, coalesce(counted, 0) AS total_orders,
-               CASE WHEN snapshot IS NULL THEN 'snapshot_missing'
-                    WHEN snapshot < 0 THEN 'snapshot_negative'
-                    WHEN abs(snapshot - coalesce(counted, 0)) > 5 THEN 'large_discrepancy'
-                    WHEN snapshot <> counted THEN 'minor_discrepancy'
-                    ELSE 'match' END AS data_quality_flag,
+               coalesce(CASE WHEN snapshot < 0 THEN 'snapshot_negative' WHEN gap > 5 THEN 'large_discrepancy'
+                             WHEN gap > 0 AND counted > 0 THEN 'minor_discrepancy' WHEN gap >= 0 THEN 'match' END,
+                        'snapshot_missing') AS data_quality_flag,
                coalesce(counted, 0) - coalesce(snapshot, 0) AS snapshot_vs_actual_diff,
                coalesce(completed_orders, 0) AS completed_orders, coalesce(pending_orders, 0) AS pending_orders,
                coalesce(cancelled_orders, 0) AS cancelled_orders, coalesce(refunded_orders, 0) AS refunded_orders,
@@ -214,12 +214,11 @@ CTES: dict[str, str] = {
                CAST(w.min_temperature AS DOUBLE) AS min_temperature,
                CAST(w.max_temperature AS DOUBLE) AS max_temperature,
                coalesce(w.is_complete_day, false) AS weather_data_complete,
-               CASE WHEN avg_rating >= 4.5 THEN 'Excellent' WHEN avg_rating >= 4 THEN 'Good'
-                    WHEN avg_rating >= 3 THEN 'Average' WHEN avg_rating > 0 THEN 'Poor'
-                    ELSE 'No Ratings' END AS rating_category,
-               CASE WHEN w.avg_temperature IS NULL THEN 'Unknown' WHEN w.avg_temperature >= 30 THEN 'Hot'
-                    WHEN w.avg_temperature >= 20 THEN 'Warm' WHEN w.avg_temperature >= 10 THEN 'Mild'
-                    ELSE 'Cold' END AS temperature_category,
+               if(avg_rating > 0, ['Poor', 'Average', 'Good', 'Excellent']
+                                  [1 + (avg_rating >= 3)::INT + (avg_rating >= 4)::INT + (avg_rating >= 4.5)::INT], 'No Ratings')
+                   AS rating_category,
+               coalesce(['Cold', 'Mild', 'Warm', 'Hot']
+                        [1 + (w.avg_temperature >= 10)::INT + (w.avg_temperature >= 20)::INT + (w.avg_temperature >= 30)::INT], 'Unknown') AS temperature_category,
                coalesce(greatest(snapshot, counted), 0) > 0 AND coalesce(uptime_percentage, 0) = 0
                    AS is_offline_order_anomaly,
                coalesce(uptime_percentage > 0 AND uptime_percentage < 50 AND order_failure_rate > 30, false)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
 import pytest
@@ -108,6 +109,19 @@ def test_pct_rounds_half_up_once(spark):
     assert values == expected
 
 
+def test_pct_and_average_against_brute_force(spark):
+    pairs = [(a, b) for b in range(1, 41) for a in range(b + 1)]
+    found = evaluate(spark, "a bigint, b bigint", pairs, pct(F.col("a"), F.col("b"), 1))
+    assert found == [(D(100 * a) / D(b)).quantize(D("0.1"), ROUND_HALF_UP) for a, b in pairs]
+
+    groups = [(g, D(g * k * k % 997) / 100) for g in range(60) for k in range(1, g % 7 + 2)]
+    df = spark.createDataFrame(groups, "g int, x decimal(10,2)")
+    found = {r.g: r.v for r in df.groupBy("g").agg(exact_avg("x", 1).alias("v")).collect()}
+    for g in range(60):
+        values = [x for h, x in groups if h == g]
+        assert found[g] == (sum(values) / len(values)).quantize(D("0.1"), ROUND_HALF_UP)
+
+
 def test_exact_average_does_not_round_twice(spark):
     # 0.004999999 would become 0.005 after a first rounding to six digits, and 0.01 after a second one.
     df = spark.createDataFrame([(D("0.00"),)] * 999 + [(D("4.99"),)], "x decimal(10,2)")
