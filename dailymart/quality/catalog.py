@@ -6,7 +6,7 @@ from dailymart.functions import rules
 from dailymart.plans.mart import FACT
 from dailymart.quality.checks import Check
 
-# Columns that must be present, by model ("source:" names a raw table).
+# Columns that must be present, by model ("raw_" names a raw table).
 NOT_NULL = {
     "raw_listing": "id",
     "stg_listing": "listing_id outlet_id platform_id",
