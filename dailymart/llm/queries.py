@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import hyperminhash
+from dailymart.llm import decontaminate, hyperminhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,19 @@ def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of all documents without strings of 200 bytes that occur twice."""
+    return suffixes.removals(table(spark, sf_dir, "documents"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold a benchmark item or an edited copy of one."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {"op2_hyperminhash": op2_hyperminhash}
+    queries = [op2_hyperminhash, op4_suffixes, op5_decontaminate]
+    return {q.__name__: q for q in queries}
 
 
 def all_sql() -> dict[str, str]:
