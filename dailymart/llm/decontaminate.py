@@ -2,8 +2,8 @@
 
 Words are the runs between ASCII white space and punctuation, in lower case. A *seed* is a run of ``GRAM``
 words of a test item (all its words if it has fewer) that a document contains. How many documents contain
-it is counted over the whole corpus; a seed is rare if at most one in ``RARE`` documents has it, and the
-rarer half of an item's seeds always counts as rare, so an item that leaked into very many documents is
+it is counted over the whole corpus; a seed is rare if at most one in ``RARE`` documents has it or at most
+``FEW`` in all, and the rarer half of an item's seeds always counts as rare, so an item that leaked into very many documents is
 still found. Around its seeds the document's words are aligned with the item: +2 for equal words, -1 for
 others, for a word left out and for one put in. The best local score over 2 * words of the item is the
 ``score``; 1 is a literal copy. From ``THRESHOLD`` on, the document is contaminated by the item.
@@ -32,6 +32,7 @@ from dailymart.llm.texts import U64, chunks, gram_hashes, word_hashes
 
 GRAM = 4
 RARE = 1000
+FEW = 100
 THRESHOLD = 0.5
 BLOCK_WORDS = 1_000_000
 
@@ -210,7 +211,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     # An item has few seeds: as many as words.
     half = Window.partitionBy("item").orderBy("documents", "seed")
     total = F.count("*").over(Window.partitionBy("item"))
-    rare_docs = texts.count() / RARE
+    rare_docs = max(FEW, texts.count() / RARE)
     rare = seeds.withColumns({"place": F.row_number().over(half), "total": total})
     rare = saved(rare.where((F.col("documents") <= rare_docs) | (2 * F.col("place") <= F.col("total") + 1)), "rare")
     rare = rare.groupBy("item").agg(F.collect_set("seed").alias("rare")).join(table, "item")
