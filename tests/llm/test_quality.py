@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dailymart.llm import quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy_and_columns(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.scores(docs, labels)
+    assert got.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
+    rows = got.join(labels, "doc_id").collect()
+    assert got.count() == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 40 and np.mean([r.predicted == r.quality for r in held]) >= 0.97
+    # Nothing but the text counts, and labels of held-out rows do not.
+    other = docs.select("doc_id", "text", F.lit("xx").alias("lang"), F.lit(None).cast("string").alias("score"))
+    swapped = labels.withColumn("quality", F.when(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0, 0).otherwise(F.col("quality")))
+    again = {r.doc_id: r.score for r in quality.scores(other, swapped).collect()}
+    assert all(again[r.doc_id] == pytest.approx(r.score, abs=1e-6) for r in rows)
+
+
+def test_rejected_documents_go(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    kept = quality.accepted(docs, labels)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    marked = {r.doc_id: r.quality for r in labels.collect()}
+    good = [i for i, q in marked.items() if q == 1]
+    bad = [i for i, q in marked.items() if q == 0]
+    assert sum(i in ids for i in good) >= 0.99 * len(good)
+    assert sum(i in ids for i in bad) <= 0.1 * len(bad)
+
+
+def test_nulls_conflicts_and_empty_tables(spark):
+    docs = spark.createDataFrame(
+        [(1, "A good text."), (2, None), (3, ""), (None, "Some text"), (4, "word " * 50000), (4, "Other")], "doc_id long, text string"
+    ).withColumn("label", F.lit(0))
+    labels = spark.createDataFrame(
+        [(1, 1), (2, 0), (2, 1), (None, 1), (3, None), (99, 0), (4, 0)], "doc_id long, quality int"
+    )
+    got = quality.scores(docs, labels).collect()
+    assert len(got) == 6 and all(0 <= r.score <= 1 and r.held_out is not None for r in got)
+    none = quality.scores(docs, labels.limit(0)).collect()
+    assert [r.score for r in none] == [0.5] * 6
+    assert quality.scores(docs.limit(0), labels).collect() == []
+    assert quality.accepted(docs, labels.limit(0)).count() == 6
+
+
+def test_steps_follow_the_gradient_of_the_risk():
+    rng = np.random.default_rng(0)
+    positives = np.hstack([rng.normal(1, 1, (200, 3)), np.ones((200, 1))])
+    unlabelled = np.vstack([np.hstack([rng.normal(1, 1, (300, 3)), np.ones((300, 1))]), np.hstack([rng.normal(-2, 1, (100, 3)), np.ones((100, 1))])])
+
+    def risk(w, prior=0.75):
+        soft = lambda x: np.log1p(np.exp(x))
+        negative = soft(unlabelled @ w).mean() - prior * soft(positives @ w).mean()
+        return prior * soft(-(positives @ w)).mean() + max(0.0, negative)
+
+    start = np.zeros(4)
+    end = quality.descend(start, positives, unlabelled, 0.75, 200)
+    assert risk(end) < 0.6 * risk(start)
+    scores = 1 / (1 + np.exp(-(unlabelled @ end)))
+    assert scores[:300].mean() > 0.8 and scores[300:].mean() < 0.3
+
+
+def test_descriptions():
+    table = quality.describe([b"", "Aé a.".encode(), b"a" * 10, b"x"])
+    assert table.shape == (4, quality.FEATURES) and not table[0].any()
+    pairs = quality.FEATURES - quality.WORD_FEATURES
+    assert table[2, 0] == pytest.approx(1) and (table[:, :pairs] ** 2).sum(1).tolist() == pytest.approx([0, 1, 1, 0])
