@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dailymart.llm.blocks import BLOCK_KEYS, groups, in_blocks, sorted_blocks
 from dailymart.llm.graph import components
 from dailymart.llm.store import matching, saved
 from dailymart.llm.texts import U64, byte_texts, chunks, gram_hashes, mixed, word_hashes, words_of
@@ -182,29 +183,6 @@ def _sets_of(docs: DataFrame, size: int, needed: DataFrame) -> DataFrame:
     return saved(rows.mapInArrow(partial(_sets, size), "doc long, shingles binary"), "sets")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Runs of equal keys in sorted rows, one batch for each run."""
-    open_: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], axis=1)
-        cuts = [0, *(np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1), batch.num_rows]
-        for start, stop in zip(cuts, cuts[1:]):
-            key = columns[start].tobytes()
-            if open_ and key != last:
-                yield pa.Table.from_batches(open_).combine_chunks().to_batches()[0]
-                open_ = []
-            open_.append(batch.slice(start, stop - start))
-            last = key
-    if open_:
-        yield pa.Table.from_batches(open_).combine_chunks().to_batches()[0]
-
-
-BLOCK_KEYS = ["bucket", "one", "other"]
-
-
 def _pairs_of(group: pa.RecordBatch, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each member the later ones that may be linked: other component, other block, sizes, estimate.
 
@@ -237,7 +215,7 @@ def _pairs_of(group: pa.RecordBatch, percent: int) -> Iterator[tuple[int, np.nda
 
 
 def _screened(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in _groups(batches, BLOCK_KEYS):
+    for group in groups(batches, BLOCK_KEYS):
         hit = np.zeros(group.num_rows, bool)
         for i, others in _pairs_of(group, percent):
             hit[i] = True
@@ -247,7 +225,7 @@ def _screened(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 
 def _compared(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links found on full sets in a block: at most one for each member and component."""
-    for group in _groups(batches, BLOCK_KEYS):
+    for group in groups(batches, BLOCK_KEYS):
         docs, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
         n = group.column("n_shingles").to_numpy()
         flat = np.frombuffer(b"".join(group.column("shingles").to_pylist()), U64)
@@ -266,20 +244,6 @@ def _compared(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         )
 
 
-def _in_blocks(members: DataFrame) -> DataFrame:
-    """Each bucket's members (``bucket, doc, size``) dealt to blocks, and blocks to pairs of blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("doc"), blocks).cast("int")})
-    with_each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return dealt.withColumn("with", with_each).withColumns(
-        {"one": F.least("block", "with"), "other": F.greatest("block", "with")}
-    )
-
-
-def _sorted_blocks(df: DataFrame) -> DataFrame:
-    return df.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS, "doc")
-
-
 def links(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFrame:
     """``(node, component)`` of all documents with links; ``signed``: stored signatures of ``docs``."""
     rows = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -329,9 +293,9 @@ def links(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFr
     own = F.coalesce("component", "doc").alias("component")
     placed = members.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(*members.columns, own)
     mixed_buckets = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    blocks = _in_blocks(placed.join(mixed_buckets.select("bucket"), "bucket")).join(slim, ["doc", "set_id"])
+    blocks = in_blocks(placed.join(mixed_buckets.select("bucket"), "bucket"), "doc", BLOCK).join(slim, ["doc", "set_id"])
     fields = "bucket long, one int, other int, block int, doc long, component long, n_shingles long, registers binary"
-    screened = _sorted_blocks(
+    screened = sorted_blocks(
         blocks.select("bucket", "one", "other", "block", "doc", "component", "n_shingles", "registers")
     ).mapInArrow(partial(_screened, percent), fields)
     screened = saved(screened, "screened")
@@ -340,7 +304,7 @@ def links(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFr
     needed = saved(screened.select(F.col("doc").alias("doc_id")).distinct(), "needed")
     sets = _sets_of(docs, size, needed)
     full = screened.join(sets, "doc").where(F.octet_length("shingles") == 8 * F.col("n_shingles"))
-    second = _sorted_blocks(full).mapInArrow(partial(_compared, percent), "a long, b long").distinct()
+    second = sorted_blocks(full).mapInArrow(partial(_compared, percent), "a long, b long").distinct()
     return components(first.union(saved(second, "second")))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import decontaminate, hyperminhash, packing, quality, suffixes
+from dailymart.llm import decontaminate, embeddings, hyperminhash, packing, quality, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,13 +36,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all embeddings at cosine 0.9."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in as few sequences of 4096 tokens as possible."""
     return packing.placements(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def all_queries() -> dict[str, Query]:
-    queries = [op2_hyperminhash, op4_suffixes, op5_decontaminate, op6_quality, op10_packing]
+    queries = [op2_hyperminhash, op4_suffixes, op5_decontaminate, op6_quality, op9_embeddings, op10_packing]
     return {q.__name__: q for q in queries}
 
 
