@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import decontaminate, embeddings, hyperminhash, packing, quality, suffixes
+from dailymart.llm import decontaminate, embeddings, hyperminhash, packing, quality, suffixes, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of all documents, each document encoded as a whole."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents on three-word shingles at similarity 0.85."""
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
@@ -36,6 +42,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels of held-out ones are not learnt from."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all embeddings at cosine 0.9."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -47,7 +58,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    queries = [op2_hyperminhash, op4_suffixes, op5_decontaminate, op6_quality, op9_embeddings, op10_packing]
+    queries = [
+        op1_token_counts,
+        op2_hyperminhash,
+        op4_suffixes,
+        op5_decontaminate,
+        op6_quality,
+        op8_toxicity,
+        op9_embeddings,
+        op10_packing,
+    ]
     return {q.__name__: q for q in queries}
 
 
