@@ -81,7 +81,7 @@ def attribute(ends: np.ndarray, spans: np.ndarray, rule: str) -> tuple[np.ndarra
     An interval join: for each token the first and the last span it meets are found by position, then the
     overlaps in between are listed.
     """
-    begins = np.concatenate([[0], ends[:-1]])
+    begins = np.concatenate([[0], ends])[:-1]
     low, high = spans[:, 0], spans[:, 1]
     first = np.searchsorted(high, begins, "right")
     last = np.searchsorted(low, ends, "left") - 1
@@ -135,7 +135,7 @@ def _counted(path: str, pattern: str, rule: str, spans: bool, batches: Iterator[
 
 def _outside(ends: np.ndarray, spans: np.ndarray) -> int:
     """Tokens that meet no span."""
-    begins = np.concatenate([[0], ends[:-1]])
+    begins = np.concatenate([[0], ends])[:-1]
     filled = spans[spans[:, 1] > spans[:, 0]]
     return int((np.searchsorted(filled[:, 1], begins, "right") >= np.searchsorted(filled[:, 0], ends, "left")).sum())
 
