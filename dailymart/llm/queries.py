@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import decontaminate, embeddings, hyperminhash, packing, quality, suffixes, token_counts, toxicity
+from dailymart.llm import decontaminate, embeddings, hyperminhash, packing, quality, sharding, suffixes, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Small enough to split even the small tables; a parameter like any other.
+SHARD_BYTES = 1 << 20
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of at most ``SHARD_BYTES`` bytes of text."""
+    return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; labels of held-out ones are not learnt from."""
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -64,6 +73,7 @@ def all_queries() -> dict[str, Query]:
         op4_suffixes,
         op5_decontaminate,
         op6_quality,
+        op7_sharding,
         op8_toxicity,
         op9_embeddings,
         op10_packing,
@@ -72,4 +82,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op7_sharding": sharding.sql(SHARD_BYTES)}
