@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import decontaminate, embeddings, hyperminhash, packing, quality, sharding, suffixes, token_counts, toxicity
+from dailymart.llm import decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, declared in it or inherited."""
+    return licenses.scan(table(spark, sf_dir, "documents").withColumn("path", licenses.document_path()))
+
+
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of all documents without strings of 200 bytes that occur twice."""
     return suffixes.removals(table(spark, sf_dir, "documents"))
@@ -70,6 +75,7 @@ def all_queries() -> dict[str, Query]:
     queries = [
         op1_token_counts,
         op2_hyperminhash,
+        op3_licenses,
         op4_suffixes,
         op5_decontaminate,
         op6_quality,
@@ -82,4 +88,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_sharding": sharding.sql(SHARD_BYTES)}
+    return {"op3_licenses": licenses.sql(), "op7_sharding": sharding.sql(SHARD_BYTES)}
