@@ -2,27 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailymart.operators.skew import probe_hot_keys, salted_join
-
-
-def orphans(
-    child: DataFrame,
-    fk: str,
-    parent: DataFrame,
-    pk: str,
-    spread: Sequence[str],
-    null_is_orphan: bool = False,
-) -> DataFrame:
-    """Child rows whose ``fk`` is absent from ``parent.pk``; NULL keys count only when asked to."""
-    rows = child if null_is_orphan else child.where(F.col(fk).isNotNull())
-    known = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
-    return salted_join(rows, known, [fk], "left_anti", probe_hot_keys(rows, fk), spread)
-
 
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, null_is_orphan: bool = False) -> DataFrame:
     """Absent key values with their number of child rows.
@@ -33,3 +15,14 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, null_is_o
     counted = rows.groupBy(F.col(fk).alias("fk")).agg(F.count("*").alias("n_rows"))
     known = parent.select(F.col(pk).alias("fk")).where(F.col("fk").isNotNull()).distinct()
     return counted.join(known, "fk", "left_anti")
+
+
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, null_is_orphan: bool = False) -> DataFrame:
+    """Child rows whose ``fk`` is absent from ``parent.pk``; NULL keys count only when asked to.
+
+    Each absent key is found once and then taken back to its rows. Those of one key all match the same row, so
+    the join may be split anywhere, which adaptive execution does for a key in very many of them.
+    """
+    absent = orphan_keys(child, fk, parent, pk).select(F.col("fk").alias(fk))
+    found = child.join(absent, fk, "left_semi").select(*child.columns)
+    return found.unionByName(child.where(F.col(fk).isNull())) if null_is_orphan else found

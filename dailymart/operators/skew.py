@@ -1,10 +1,9 @@
 """Equi-joins that stay balanced when one key holds a large part of the left side.
 
-Catalyst decides by measured size whether the right side is broadcast. Beyond that size the join
-shuffles, and a hot key would land in one task. So the keys of the left side are counted first: with no
-hot key a plain join is safe, otherwise hot keys are spread over several salts while the matching right
-rows are copied once per salt. Cold keys keep a single salt and are not copied, so the right side grows by
-at most ``rows / rows_per_salt`` rows per matching key.
+A key is hot if it has more than its fair share of the left rows: more than one in as many rows as there
+are shuffle partitions. At most that many keys can be hot, whatever the data. They are counted inside the plan
+(map-side combine), spread over as many salts as fair shares they fill, and the matching right rows are
+copied once per salt. Other keys keep a single salt. There is one plan for every size; building it runs no job.
 """
 
 from __future__ import annotations
@@ -14,28 +13,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SALT = 1_000_000
-_NULL_KEY_SALTS = 4096
 
+def fair_shares(rows: DataFrame) -> int:
+    """Parts that a shuffle deals rows to."""
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Keys with more than ``rows_per_salt`` rows and the number of salts each needs.
-
-    NULL counts as a key here: it matches nothing, but its rows need scattering as well. Counted with
-    map-side combine. There can be at most ``count(rows) / rows_per_salt`` such keys, so
-    the result is a million times smaller than its input and safe to broadcast.
-    """
-    counted = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = counted.where(F.col("_n") > rows_per_salt)
-    return hot.select(
-        key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("bigint").alias("_salts")
-    )
 
+def hot_keys(rows: DataFrame, key: str, shares: int | None = None) -> DataFrame:
+    """Keys with more than one in ``shares`` of the rows, and the salts each needs (``_salts``).
 
-def probe_hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame | None:
-    """:func:`hot_keys`, or None when a count job finds none."""
-    hot = hot_keys(rows, key, rows_per_salt)
-    return None if hot.isEmpty() else hot
+    The total is a scalar subquery over the counts. NULL is no key here, see :func:`salted_join`.
+    """
+    shares = shares or fair_shares(rows)
+    counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    total = counted.agg(F.sum("_n")).scalar()
+    hot = counted.where(F.col("_n") * shares > total)
+    return hot.select(key, F.ceil(F.col("_n") * shares / total).cast("bigint").alias("_salts"))
 
 
 def salted_join(
@@ -43,28 +36,31 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     how: str,
-    hot: DataFrame | None,
     spread: Sequence[str],
+    hot_from: DataFrame | None = None,
+    shares: int | None = None,
 ) -> DataFrame:
-    """Join on ``on`` (inner, left, left_semi or left_anti) with the keys in ``hot`` spread over salts.
+    """Join on ``on`` (inner, left, left_semi or left_anti) with the hot values of ``on[0]`` spread over salts.
 
-    ``hot`` comes from :func:`hot_keys` and names one of the ``on`` columns; None means a plain join.
-    ``spread`` are left columns that differ between the rows of one key (ids); hashing them keeps the salt
-    repeatable when a lost task is run again. Rows with a NULL key never match and are scattered.
+    Hot values are counted in ``hot_from``, by default ``left``; any rows with about the same distribution
+    that are cheaper to count will do, as too many or too few salts do not change the result. ``spread`` are
+    left columns that differ between the rows of one key (ids); hashing them keeps the salt repeatable when
+    a lost task is run again. Rows with a NULL key match nothing: inner and semi joins leave them out
+    first, the others deal them to all partitions.
     """
     columns = list(left.columns)
     if how not in ("left_semi", "left_anti"):
         columns += [c for c in right.columns if c not in on]
-    if hot is None:
-        return left.join(right, [*on], how).select(*columns)
-
-    hot_key = hot.columns[0]
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    scatter = F.xxhash64(*spread)
-    salt = F.when(F.col(hot_key).isNull(), F.pmod(scatter, F.lit(_NULL_KEY_SALTS))).otherwise(F.pmod(scatter, salts))
-
-    salted_left = left.join(F.broadcast(hot), hot_key, "left").withColumn("_salt", salt).drop("_salts")
+    key = on[0]
+    shares = shares or fair_shares(left)
+    hot = hot_keys(left if hot_from is None else hot_from, key, shares)
+    if how in ("inner", "left_semi"):
+        left = left.where(F.col(key).isNotNull())
+    salts = F.coalesce(F.col("_salts"), F.lit(1).cast("bigint"))
+    dealt = F.when(F.col(key).isNull(), F.lit(shares).cast("bigint")).otherwise(salts)
+    salt = F.pmod(F.xxhash64(*spread), dealt)
+    # At most ``shares`` rows, by the definition of hot.
+    salted_left = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
-    salted_right = right.join(F.broadcast(hot), hot_key, "left").withColumn("_salt", copies).drop("_salts")
-
+    salted_right = right.join(F.broadcast(hot), key, "left").withColumn("_salt", copies).drop("_salts")
     return salted_left.join(salted_right, [*on, "_salt"], how).select(*columns)

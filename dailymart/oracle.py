@@ -148,19 +148,17 @@ CTES: dict[str, str] = {
         FROM stg_rank GROUP BY ALL""",
     "int_rank_daily_avg": """
         SELECT *, worst_rank - best_rank AS rank_volatility,
-               if(uptime_percentage > 0,
-                  ['Mostly Offline', 'Partially Online', 'Mostly Online', 'Always Online']
-                  [1 + (uptime_percentage >= 25)::INT + (uptime_percentage >= 75)::INT + (uptime_percentage >= 100)::INT], 'Always Offline')
-                   AS availability_category
+               CASE WHEN uptime_percentage = 100 THEN 'Always Online' WHEN uptime_percentage >= 75 THEN 'Mostly Online'
+                    WHEN uptime_percentage >= 25 THEN 'Partially Online'
+                    WHEN uptime_percentage > 0 THEN 'Mostly Offline' ELSE 'Always Offline' END AS availability_category
         FROM rank_day""",
     "int_ratings_metrics": """
         SELECT date, listing_id, rating_count - coalesce(lag(rating_count) OVER prior, 0) AS daily_new_ratings,
                rating_count AS cumulative_rating_count, coalesce(avg_rating, 0) AS avg_rating,
                coalesce(avg_rating - lag(avg_rating) OVER prior, 0) AS rating_delta,
                CASE WHEN lag(avg_rating) OVER prior IS NULL THEN 'new'
-                    ELSE coalesce(['declining', 'stable', 'improving']
-                                  [CAST(sign(avg_rating - lag(avg_rating) OVER prior) AS INT) + 2], 'stable')
-               END AS rating_trend
+                    WHEN avg_rating > lag(avg_rating) OVER prior THEN 'improving'
+                    WHEN avg_rating < lag(avg_rating) OVER prior THEN 'declining' ELSE 'stable' END AS rating_trend
         FROM stg_ratings_agg WINDOW prior AS (PARTITION BY listing_id ORDER BY date NULLS LAST)""",
     "orders_by_status": f"""
         SELECT *, completed_orders + pending_orders AS successful_orders,
@@ -175,7 +173,6 @@ CTES: dict[str, str] = {
                                      (SELECT DISTINCT listing_id FROM stg_listing)""",
     "fact_day": """
         SELECT a.date, a.listing_id, s.daily_orders AS snapshot, o.total_orders AS counted,
-               abs(s.daily_orders - coalesce(o.total_orders, 0)) AS gap,
                o.* EXCLUDE (date, listing_id), r.* EXCLUDE (date, listing_id), k.* EXCLUDE (date, listing_id)
         FROM all_days a
              LEFT JOIN stg_orders_daily s USING (date, listing_id)
@@ -191,9 +188,9 @@ CTES: dict[str, str] = {
                l.platform_id, p.platform_name, p.platform_group, p.platform_country,
                CAST(coalesce(snapshot, 0) AS BIGINT) AS daily_orders_from_snapshot,
                coalesce(counted, 0) AS daily_orders, coalesce(counted, 0) AS total_orders,
-               coalesce(CASE WHEN snapshot < 0 THEN 'snapshot_negative' WHEN gap > 5 THEN 'large_discrepancy'
-                             WHEN gap > 0 AND counted > 0 THEN 'minor_discrepancy' WHEN gap >= 0 THEN 'match' END,
-                        'snapshot_missing') AS data_quality_flag,
+               CASE WHEN snapshot IS NULL THEN 'snapshot_missing' WHEN snapshot < 0 THEN 'snapshot_negative'
+                    WHEN abs(snapshot - coalesce(counted, 0)) > 5 THEN 'large_discrepancy'
+                    WHEN snapshot <> counted THEN 'minor_discrepancy' ELSE 'match' END AS data_quality_flag,
                coalesce(counted, 0) - coalesce(snapshot, 0) AS snapshot_vs_actual_diff,
                coalesce(completed_orders, 0) AS completed_orders, coalesce(pending_orders, 0) AS pending_orders,
                coalesce(cancelled_orders, 0) AS cancelled_orders, coalesce(refunded_orders, 0) AS refunded_orders,
@@ -214,11 +211,12 @@ CTES: dict[str, str] = {
                CAST(w.min_temperature AS DOUBLE) AS min_temperature,
                CAST(w.max_temperature AS DOUBLE) AS max_temperature,
                coalesce(w.is_complete_day, false) AS weather_data_complete,
-               if(avg_rating > 0, ['Poor', 'Average', 'Good', 'Excellent']
-                                  [1 + (avg_rating >= 3)::INT + (avg_rating >= 4)::INT + (avg_rating >= 4.5)::INT], 'No Ratings')
-                   AS rating_category,
-               coalesce(['Cold', 'Mild', 'Warm', 'Hot']
-                        [1 + (w.avg_temperature >= 10)::INT + (w.avg_temperature >= 20)::INT + (w.avg_temperature >= 30)::INT], 'Unknown') AS temperature_category,
+               CASE WHEN avg_rating >= 4.5 THEN 'Excellent' WHEN avg_rating >= 4.0 THEN 'Good'
+                    WHEN avg_rating >= 3.0 THEN 'Average' WHEN avg_rating > 0 THEN 'Poor'
+                    ELSE 'No Ratings' END AS rating_category,
+               CASE WHEN w.avg_temperature < 10 THEN 'Cold' WHEN w.avg_temperature < 20 THEN 'Mild'
+                    WHEN w.avg_temperature < 30 THEN 'Warm' WHEN w.avg_temperature IS NOT NULL THEN 'Hot'
+                    ELSE 'Unknown' END AS temperature_category,
                coalesce(greatest(snapshot, counted), 0) > 0 AND coalesce(uptime_percentage, 0) = 0
                    AS is_offline_order_anomaly,
                coalesce(uptime_percentage > 0 AND uptime_percentage < 50 AND order_failure_rate > 30, false)
@@ -278,6 +276,18 @@ def _model_queries() -> dict[str, str]:
         out[name] = sql(f"SELECT *{replaced} FROM {name}")
     out["date_listing_spine"] = sql("SELECT date, listing_id FROM fact_day")
     out["fct_daily"] = sql("SELECT * FROM fct")
+    skewed = {
+        "raw_listing": f"""
+            SELECT * REPLACE (CASE WHEN id % 3 <> 0 THEN 1 WHEN id % 10 <> 0 THEN outlet_id END AS outlet_id)
+            FROM ({CTES["raw_listing"]})""",
+        "raw_orders": f"""
+            SELECT * REPLACE (CASE WHEN order_id % 2 = 0 THEN (SELECT min(user_id) FROM events)
+                                   WHEN order_id % 7 <> 0 THEN listing_id END AS listing_id)
+            FROM ({CTES["raw_orders"]})""",
+    }
+    places = f" REPLACE ({_doubles('latitude', 'longitude')})"
+    out["int_orders_enriched_skewed"] = sql(f"SELECT *{places} FROM int_orders_enriched", skewed)
+    out["fct_daily_skewed"] = sql("SELECT * FROM fct", skewed)
     out["listing_failure_rates"] = sql(
         f"""SELECT listing_id, count(*) AS active_days, CAST(sum(total_orders) AS BIGINT) AS total_orders,
                    CAST(sum(failed_orders) AS BIGINT) AS failed_orders,
@@ -306,6 +316,11 @@ def _share(group: str, count_as: str, where: str = "") -> str:
                FROM fct {where} GROUP BY {group}"""
 
 
+def _domain(column: str, *order: str) -> str:
+    """Sort key that puts values in the stated order."""
+    return f"CASE {column} " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(order)) + " END"
+
+
 def _report_queries() -> dict[str, str]:
     ranges = "CASE WHEN avg_temperature < 10 THEN '{}' WHEN avg_temperature < 20 THEN '{}' ELSE '{}' END"
     daily = f"""{plain_mean("avg_rating")} AS avg_rating, {plain_mean("avg_temperature")} AS avg_temp"""
@@ -324,19 +339,23 @@ def _report_queries() -> dict[str, str]:
         "rpt03_platform_comparison": f"""
             SELECT platform_name, count(DISTINCT listing_id) AS num_listings, {ORDERS},
                    {average("daily_orders", 2)} AS avg_orders_per_day, {FAILURE},
-                   {average("avg_rating", 2, RATED)} AS avg_rating_when_rated, {UPTIME}
+                   {average("avg_rating", 2, RATED)} AS avg_rating_when_rated, {UPTIME},
+                   row_number() OVER (ORDER BY sum(daily_orders) DESC, platform_name) AS position
             FROM fct GROUP BY platform_name""",
         "rpt04_rating_impact": f"""
             SELECT rating_category, count(*) AS num_days, {ORDERS}, {average("daily_orders", 2)} AS avg_daily_orders,
-                   {FAILURE}, {average("avg_rating", 2)} AS avg_rating_score, {UPTIME}
+                   {FAILURE}, {average("avg_rating", 2)} AS avg_rating_score, {UPTIME},
+                   row_number() OVER (ORDER BY {_domain("rating_category", "Excellent", "Good", "Average", "Poor", "No Ratings")}) AS position
             FROM fct GROUP BY rating_category""",
         "rpt05_weather_impact": f"""
             SELECT temperature_category, count(*) AS num_days, {average("daily_orders", 2)} AS avg_daily_orders,
-                   {average("avg_temperature", 1)} AS avg_temp, {FAILURE}
+                   {average("avg_temperature", 1)} AS avg_temp, {FAILURE},
+                   row_number() OVER (ORDER BY {_domain("temperature_category", "Cold", "Mild", "Warm", "Hot")}) AS position
             FROM fct WHERE temperature_category <> 'Unknown' GROUP BY temperature_category""",
         "rpt06_availability_impact": f"""
             SELECT availability_category, count(*) AS num_days, {average("daily_orders", 2)} AS avg_daily_orders,
-                   {UPTIME}, {FAILURE}, count(*) FILTER (WHERE is_offline_order_anomaly) AS offline_order_anomalies
+                   {UPTIME}, {FAILURE}, count(*) FILTER (WHERE is_offline_order_anomaly) AS offline_order_anomalies,
+                   row_number() OVER (ORDER BY {_domain("availability_category", "Always Online", "Mostly Online", "Partially Online", "Mostly Offline", "Always Offline", "No Data")}) AS position
             FROM fct GROUP BY availability_category""",
         "rpt07_top_organizations": f"""
             SELECT org_name, count(DISTINCT listing_id) AS num_listings, {ORDERS},
@@ -346,8 +365,9 @@ def _report_queries() -> dict[str, str]:
         "rpt08_monthly_trend": f"""
             SELECT CAST(date_trunc('month', date) AS DATE) AS month, {ORDERS},
                    {average("daily_orders", 2)} AS avg_daily_orders, {FAILURE},
-                   {average("avg_rating", 2, RATED)} AS avg_rating, {UPTIME}
-            FROM fct GROUP BY 1""",
+                   {average("avg_rating", 2, RATED)} AS avg_rating, {UPTIME},
+                   row_number() OVER (ORDER BY date_trunc('month', date)) AS position
+            FROM fct GROUP BY date_trunc('month', date)""",
         "rpt09_issue_summary": " UNION ALL ".join(
             [
                 _issue("Offline Order Anomalies", "is_offline_order_anomaly"),
@@ -361,11 +381,17 @@ def _report_queries() -> dict[str, str]:
                    {average("avg_rating", 2, RATED)} AS avg_rating
             FROM fct WHERE daily_orders > 0 GROUP BY {PER_LISTING} HAVING sum(failed_orders) > 20
             ORDER BY avg_failure_rate DESC, listing_id LIMIT 10""",
+        "rpt10_worst_listings_published": f"""
+            SELECT {PER_LISTING}, {ORDERS}, CAST(sum(failed_orders) AS BIGINT) AS total_failed, {FAILURE}, {UPTIME},
+                   {average("avg_rating", 2, RATED)} AS avg_rating
+            FROM fct WHERE daily_orders > 0 GROUP BY {PER_LISTING} HAVING sum(failed_orders) > 100
+            ORDER BY avg_failure_rate DESC, listing_id LIMIT 10""",
         "rpt11_quality_flags": _share("data_quality_flag", "records"),
         "rpt12_day_of_week": f"""
             SELECT rpad(dayname(date), 9, ' ') AS day_of_week, isodow(date) AS day_number, count(*) AS num_days,
-                   {average("daily_orders", 2)} AS avg_orders, {FAILURE}, {ORDERS}
-            FROM fct GROUP BY 1, 2""",
+                   {average("daily_orders", 2)} AS avg_orders, {FAILURE}, {ORDERS},
+                   row_number() OVER (ORDER BY isodow(date)) AS position
+            FROM fct GROUP BY dayname(date), isodow(date)""",
         "rpt13_problem_records": """
             SELECT date, listing_id, daily_orders_from_snapshot, daily_orders, snapshot_vs_actual_diff,
                    data_quality_flag, completed_orders, pending_orders, cancelled_orders

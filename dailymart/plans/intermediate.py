@@ -17,23 +17,18 @@ def listing_profile(
     org: DataFrame,
     platform: DataFrame,
     how: str,
-    hot_orgs: DataFrame | None = None,
-    hot_outlets: DataFrame | None = None,
 ) -> DataFrame:
     """Listing with its outlet, organization and platform attributes (``how``: inner or left).
 
     Built once at listing grain, so the day- and order-grain tables carry out one dimension join
-    instead of four. ``hot_orgs`` and ``hot_outlets`` are hot keys of the outlets and listings. Platforms
-    are not unique, so a doubled platform doubles its listings; they are read as they are, so Catalyst
-    knows their size, and if they ever outgrow a broadcast both sides of that join come straight from
-    a shuffle, where adaptive execution splits a hot platform.
+    instead of four. Every platform has very many listings, so that join is salted as well. Platforms are
+    not unique: a doubled platform doubles its listings.
     """
     owned = salted_join(
         outlet.select("outlet_id", "org_id", "outlet_name", "latitude", "longitude", "has_valid_coordinates"),
         org.select("org_id", "org_name"),
         ["org_id"],
         how,
-        hot_orgs,
         spread=["outlet_id"],
     )
     placed = salted_join(
@@ -41,27 +36,31 @@ def listing_profile(
         owned,
         ["outlet_id"],
         how,
-        hot_outlets,
         spread=["listing_id"],
     )
-    return placed.join(
-        platform.select("platform_id", "platform_name", "platform_group", "platform_country"), "platform_id", how
+    return salted_join(
+        placed,
+        platform.select("platform_id", "platform_name", "platform_group", "platform_country"),
+        ["platform_id"],
+        how,
+        spread=["listing_id"],
+        hot_from=listing,
     )
 
 
-def int_orders_enriched(orders: DataFrame, profile: DataFrame, hot_listings: DataFrame | None = None) -> DataFrame:
+def int_orders_enriched(orders: DataFrame, profile: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Orders with all attributes of their listing; orders without a full profile are dropped.
 
-    ``profile`` is the inner :func:`listing_profile`. ``hot_listings`` are hot keys of the orders; they may
-    be counted on the raw orders (a superset), which saves deduplicating twice.
+    ``profile`` is the inner :func:`listing_profile`. ``counted`` are rows to find hot listings in: the raw
+    orders (a superset) save deduplicating twice.
     """
     joined = salted_join(
         orders.select("order_id", "order_date", "placed_at", "status", "listing_id"),
         profile,
         ["listing_id"],
         "inner",
-        hot_listings,
         spread=["order_id"],
+        hot_from=counted,
     )
     return joined.select(
         "order_id",

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
 from threading import RLock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import rules
-from dailymart.operators import ROWS_PER_SALT, probe_hot_keys
 from dailymart.plans import intermediate, mart
 from dailymart.plans.staging import STAGING
 
@@ -32,17 +30,13 @@ def _as_is(name: str, df: DataFrame) -> DataFrame:
 
 class Models:
     """Models by name: ``Models(raw)["stg_orders"]``; ``raw_<table>`` gives the raw table.
-    ``rows_per_salt`` is the size from which a join key counts as hot.
 
     ``store(name, df)`` may write a model and hand back the stored copy; by default every model stays a
     lazy DataFrame and Spark plans each query from the raw tables.
     """
 
-    def __init__(
-        self, raw: Mapping[str, DataFrame], store: Store = _as_is, rows_per_salt: int = ROWS_PER_SALT
-    ):
+    def __init__(self, raw: Mapping[str, DataFrame], store: Store = _as_is):
         self.raw = raw
-        self._rows_per_salt = rows_per_salt
         self._store = store
         self._built: dict[str, DataFrame] = {}
         self._lock = RLock()
@@ -65,7 +59,7 @@ class Models:
             return intermediate.int_ratings_metrics(self["stg_ratings_agg"])
         if name == "int_orders_enriched":
             return intermediate.int_orders_enriched(
-                self["stg_orders"], self.profile("inner"), self._hot("orders", "listing_id")
+                self["stg_orders"], self.profile("inner"), self.raw["orders"]
             )
         if name == mart.FACT:
             return mart.fct_daily(
@@ -76,23 +70,10 @@ class Models:
                 self.profile("left"),
                 self["stg_weather"],
                 snapshot_dates=self.raw["orders_daily"],
-                hot_outlets=self.hot_outlets,
+                listing=self["stg_listing"],
             )
         raise KeyError(name)
 
-    # Hot keys are counted on the raw tables (a superset of the staged rows), once per model set.
-
-    def _hot(self, table: str, key: str) -> DataFrame | None:
-        return probe_hot_keys(self.raw[table], key, self._rows_per_salt)
-
-    @cached_property
-    def hot_orgs(self) -> DataFrame | None:
-        return self._hot("outlet", "org_id")
-
-    @cached_property
-    def hot_outlets(self) -> DataFrame | None:
-        return self._hot("listing", "outlet_id")
-
     def profile(self, how: str) -> DataFrame:
         return intermediate.listing_profile(
             self["stg_listing"],
@@ -100,8 +81,6 @@ class Models:
             self["stg_org"],
             self["stg_platform"],
             how,
-            self.hot_orgs,
-            self.hot_outlets,
         )
 
     def orders_by_status(self) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ from dailymart.functions import rules
 from dailymart.operators import orphan_keys, orphans
 from dailymart.plans import reports
 from dailymart.plans.mart import FACT
-from dailymart.plans.models import failure_rates_by_listing
+from dailymart.plans.models import Models, failure_rates_by_listing
 from dailymart.plans.staging import stg_weather
 from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
@@ -52,6 +52,34 @@ def _on_fact(report: Callable[[DataFrame], DataFrame]) -> Query:
     return _query(lambda w: report(w.fact))
 
 
+def _ordered_on_fact(report: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report of few rows with each row's place in its order, so that the order is compared as well."""
+
+    def build(w: Workspace) -> DataFrame:
+        placed = report(w.fact).withColumn("at", F.monotonically_increasing_id())
+        return placed.withColumn("position", F.row_number().over(Window.orderBy("at")).cast("bigint")).drop("at")
+
+    return _query(build)
+
+
+def _skewed(w: Workspace) -> Models:
+    """Models over raw tables in which one listing has half of the orders and one outlet most listings.
+
+    Some keys are NULL.
+    """
+    hot = w.raw["listing"].agg(F.min("id")).scalar()
+    order, listing = F.col("order_id"), F.col("id")
+    by_listing = F.when(order % 2 == 0, hot).when(order % 7 != 0, F.col("listing_id"))
+    by_outlet = F.when(listing % 3 != 0, F.lit(1).cast("bigint")).when(listing % 10 != 0, F.col("outlet_id"))
+    return Models(
+        {
+            **w.raw,
+            "orders": w.raw["orders"].withColumn("listing_id", by_listing),
+            "listing": w.raw["listing"].withColumn("outlet_id", by_outlet),
+        }
+    )
+
+
 def _model(name: str) -> Query:
     return _query(lambda w: w.lazy[name])
 
@@ -75,6 +103,8 @@ def model_queries() -> dict[str, Query]:
         "orders_by_status": _query(lambda w: w.lazy.orders_by_status()),
         "date_listing_spine": _query(lambda w: w.lazy.date_listing_spine()),
         "fct_daily": _query(lambda w: w.lazy.fact),
+        "int_orders_enriched_skewed": _query(lambda w: _skewed(w)["int_orders_enriched"]),
+        "fct_daily_skewed": _query(lambda w: _skewed(w).fact),
         "listing_failure_rates": _query(lambda w: failure_rates_by_listing(w.lazy.orders_by_status())),
     }
 
@@ -94,16 +124,17 @@ def report_queries() -> dict[str, Query]:
     return {
         "rpt01_overall_summary": _on_fact(reports.overall_summary),
         "rpt02_top_listings": _on_fact(reports.top_listings),
-        "rpt03_platform_comparison": _on_fact(reports.platform_comparison),
-        "rpt04_rating_impact": _on_fact(reports.rating_impact),
-        "rpt05_weather_impact": _on_fact(reports.weather_impact),
-        "rpt06_availability_impact": _on_fact(reports.availability_impact),
+        "rpt03_platform_comparison": _ordered_on_fact(reports.platform_comparison),
+        "rpt04_rating_impact": _ordered_on_fact(reports.rating_impact),
+        "rpt05_weather_impact": _ordered_on_fact(reports.weather_impact),
+        "rpt06_availability_impact": _ordered_on_fact(reports.availability_impact),
         "rpt07_top_organizations": _on_fact(reports.top_organizations),
-        "rpt08_monthly_trend": _on_fact(reports.monthly_trend),
+        "rpt08_monthly_trend": _ordered_on_fact(reports.monthly_trend),
         "rpt09_issue_summary": _on_fact(reports.issue_summary),
         "rpt10_worst_listings": _on_fact(partial(reports.worst_listings, failed_above=20)),
+        "rpt10_worst_listings_published": _on_fact(reports.worst_listings),
         "rpt11_quality_flags": _on_fact(reports.quality_flag_distribution),
-        "rpt12_day_of_week": _on_fact(reports.day_of_week),
+        "rpt12_day_of_week": _ordered_on_fact(reports.day_of_week),
         "rpt13_problem_records": _on_fact(reports.problem_records),
         "rpt14_listing_history": _on_fact(partial(reports.listing_history, listing_id=43)),
         "rpt15_correlation_matrix": _on_fact(reports.correlation_matrix),
@@ -134,7 +165,7 @@ RAW_RATING = Check("raw_ratings_agg", "range", expression=RATING_RANGE.expressio
 def _unplaced_listings(w: Workspace) -> DataFrame:
     """Listings (whole rows) whose outlet has no usable coordinates."""
     placed = w.lazy["stg_outlet"].where(F.col("has_valid_coordinates"))
-    rows = orphans(w.lazy["stg_listing"], "outlet_id", placed, "outlet_id", spread=["listing_id"])
+    rows = orphans(w.lazy["stg_listing"], "outlet_id", placed, "outlet_id")
     return rows.select("listing_id", "outlet_id")
 
 

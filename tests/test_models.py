@@ -167,15 +167,6 @@ def test_enriched_orders_drop_incomplete_profiles(spark):
     assert [r.order_id for r in tiny(spark)["int_orders_enriched"].orderBy("order_id").collect()] == [100, 102, 103]
 
 
-@pytest.mark.parametrize("model", [mart.FACT, "int_orders_enriched"])
-def test_salted_models_equal_plain_ones(small, model):
-    salted = Models(small.raw, rows_per_salt=1)
-    assert salted.hot_orgs is not None and salted.hot_outlets is not None
-    plain, spread = small.lazy[model], salted[model]
-    assert spread.count() == plain.count()
-    assert spread.exceptAll(plain).count() == 0
-
-
 def test_fact_invariants(small):
     fact = small.fact
     assert fact.count() == fact.select("date", "listing_id").distinct().count()

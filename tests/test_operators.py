@@ -11,7 +11,6 @@ from dailymart.operators import (
     orphan_keys,
     orphans,
     prev_by,
-    probe_hot_keys,
     salted_join,
     share_of_total,
     top_k,
@@ -51,35 +50,45 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("per_salt", [10, 1_000_000])
-def test_salted_join_equals_plain_join(sides, how, per_salt):
+@pytest.mark.parametrize("shares", [1, 60, None])
+def test_salted_join_equals_plain_join(sides, how, shares):
     left, right = sides
-    salted = salted_join(left, right, ["k"], how, hot_keys(left, "k", per_salt), spread=["id"])
+    salted = salted_join(left, right, ["k"], how, spread=["id"], shares=shares)
     plain = left.join(right, "k", how).select(*salted.columns)
     assert rows(salted) == rows(plain)
 
 
-def test_hot_keys_count_salts(sides):
+def test_hot_keys_fill_more_than_a_fair_share(sides):
     left, _ = sides
-    assert rows(hot_keys(left, "k", 100)) == [(0, 5)]
-    assert rows(hot_keys(left, "k", 1000)) == []
-
-
-def test_frequent_null_key_is_hot(spark):
-    left = spark.range(50).select(F.when(F.col("id") < 10, F.col("id")).alias("k"), "id")
-    right = spark.createDataFrame([(1, "one")], "k long, name string")
-    hot = hot_keys(left, "k", 20)
-    assert rows(hot.select("k")) == [(None,)]
-    assert probe_hot_keys(left, "k", 40) is None
-    joined = salted_join(left, right, ["k"], "left", hot, spread=["id"])
-    assert rows(joined) == rows(left.join(right, "k", "left").select(*joined.columns))
+    counts = {r.k: r["count"] for r in left.where("k is not null").groupBy("k").count().collect()}
+    total = sum(counts.values())
+    for shares in (1, 2, 20, 100):
+        want = [(k, -(-n * shares // total)) for k, n in counts.items() if n * shares > total]
+        assert rows(hot_keys(left, "k", shares)) == sorted(want, key=str)
+        assert len(want) <= shares
+
+
+def test_salted_join_deals_hot_and_null_keys(spark, sides):
+    """No partition of the join holds much more than its share, though one key and NULL hold most rows."""
+    left = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).when(F.col("id") % 4 == 1, F.col("id")).alias("k"), "id")
+    right = spark.range(4000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in zip(before, ("-1", "false", "16")):
+            spark.conf.set(key, value)
+        joined = salted_join(left, right, ["k"], "left", spread=["id"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 4000 and max(sizes) < 1000
 
 
 def test_orphans(spark):
     child = spark.createDataFrame([(1, 10), (2, 99), (3, None), (4, 99)], "id int, fk int")
     parent = spark.createDataFrame([(10,), (10,), (None,)], "pk int")
-    assert rows(orphans(child, "fk", parent, "pk", ["id"]).select("id")) == [(2,), (4,)]
-    assert rows(orphans(child, "fk", parent, "pk", ["id"], null_is_orphan=True).select("id")) == [(2,), (3,), (4,)]
+    assert rows(orphans(child, "fk", parent, "pk").select("id")) == [(2,), (4,)]
+    assert rows(orphans(child, "fk", parent, "pk", null_is_orphan=True).select("id")) == [(2,), (3,), (4,)]
     assert rows(orphan_keys(child, "fk", parent, "pk")) == [(99, 2)]
     assert rows(orphan_keys(child, "fk", parent, "pk", null_is_orphan=True)) == [(99, 2), (None, 1)]
 

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SMALL
+from dailymart import registry
 from dailymart.plans import reports
 
 # Building these runs jobs, so only their results are tested.
 EAGER = {"src_csv", "src_weather_ingest", "load_audit", "dq_stored_failures"}
-LAZY = sorted(set(entry.queries()) - EAGER)
+LAZY = sorted(set(registry.all_queries()) - EAGER)
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_python(spark, plan_of, name):
-    plan = plan_of(entry.queries()[name](spark, SMALL))
+    plan = plan_of(registry.all_queries()[name](spark, SMALL))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in plan, operator
 
@@ -44,3 +44,24 @@ def test_sources_share_one_partitioning_in_the_fold(small, spark):
     above_union = final[: final.index("Union")]
     fold = above_union[above_union.rindex("HashAggregate") :]
     assert "Exchange" not in fold
+
+
+def test_building_a_query_runs_no_job(spark, small):
+    """Queries are lazy, whatever the keys look like; stored side results are made before."""
+    small.checked.fact
+    for name in ("stg_listing", "stg_outlet", "stg_org", "stg_orders", "int_orders_enriched"):
+        small.checked[name]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building queries")
+    try:
+        for name in ("int_orders_enriched", "fct_daily", "int_orders_enriched_skewed", "fct_daily_skewed", "dq_unplaced_listings", "rpt03_platform_comparison"):
+            registry.all_queries()[name](spark, SMALL)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_daily_listings_are_counted_without_a_shuffle_of_pairs(small, plan_of):
+    plan = plan_of(reports.daily_summary(small.fact))
+    exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert exchanges and not any("listing_id" in line for line in exchanges)

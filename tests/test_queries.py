@@ -7,8 +7,9 @@ from compare import compare, connect
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from dailymart import oracle, registry
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.all_queries(), oracle.all_queries()
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +17,9 @@ def duck():
     return connect(SMALL)
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
