@@ -609,14 +609,31 @@ def _source_queries() -> dict[str, str]:
             SELECT outlet_id, datetime FROM raw_weather
             WHERE datetime >= TIMESTAMP '2024-01-10' AND datetime < TIMESTAMP '2024-01-21'""",
         "src_weather_ingest": f"SELECT * REPLACE ({_doubles('min_temperature', 'max_temperature')}) FROM stg_weather",
+        "src_csv_parts": """
+            SELECT listing_id, order_id, placed_at, status FROM raw_orders
+            WHERE NOT (order_id % 2 = 0 AND order_id % 101 = 0)""",
+        "src_csv_rejects": """
+            SELECT order_id, 'more fields than columns' AS reason FROM raw_orders
+            WHERE order_id % 2 = 0 AND order_id % 101 = 0""",
+        "load_append": """
+            SELECT 'org' AS table_name, count(*) AS rows_loaded, 2 * count(*) AS total_rows, 'loaded' AS status,
+                   CAST(NULL AS VARCHAR) AS reason FROM raw_org""",
+        "load_failed_keeps_rows": """
+            SELECT 'org' AS table_name, 0 AS rows_loaded, 0 AS total_rows, 'empty' AS status,
+                   CAST(NULL AS VARCHAR) AS reason, 0 AS stored
+            UNION ALL SELECT 'platform', 0, count(*), 'missing', 'PATH_NOT_FOUND', count(*) FROM raw_platform
+            UNION ALL SELECT 'outlet', 0, count(*), 'failed', 'CAST_INVALID_INPUT', count(*) FROM raw_outlet
+            UNION ALL SELECT 'listing', 0, count(*), 'failed', 'listing: unexpected columns [''colour'']', count(*)
+            FROM raw_listing""",
+        "fct_refreshed": "SELECT * FROM fct",
         "load_audit": " UNION ALL ".join(
             [
-                f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, count(*) AS total_rows, 'loaded' AS status"
-                f" FROM raw_{t}"
+                f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, count(*) AS total_rows, 'loaded' AS status,"
+                f" CAST(NULL AS VARCHAR) AS reason FROM raw_{t}"
                 for t in LOADED_FROM_FILES
             ]
             + [
-                f"SELECT 'TOTAL', {_sum_of_counts()}, {_sum_of_counts()}, '8/8'",
+                f"SELECT 'TOTAL', {_sum_of_counts()}, {_sum_of_counts()}, '8/8', NULL",
             ]
         ),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,8 +19,9 @@ from dailymart.plans.staging import stg_weather
 from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.schemas import HOURLY_METRICS, LOADED_AT
+from dailymart.sinks.lake import Lake
 from dailymart.sinks.loading import audit_summary, load_manifest
-from dailymart.sources.files import MANIFEST, read_typed_csv
+from dailymart.sources.files import MANIFEST, read_typed_csv, scan_csv
 from dailymart.sources.projection import LOAD_TIME
 from dailymart.sources.weather import flatten_hourly, split_coordinates, weather_locations, within_dates
 from dailymart.workspace import Workspace, workspace
@@ -219,7 +220,7 @@ def quality_queries() -> dict[str, Query]:
         ),
         "dq_source_rows": _query(lambda w: profiles.source_rows(w.raw["outlet"])),
         "dq_rowcount_recon": _query(
-            lambda w: profiles.row_count_reconciliation(w.raw["weather"], flatten_hourly(_payloads(w))[0])
+            lambda w: profiles.row_count_reconciliation(_stored_weather(w), flatten_hourly(_payloads(w))[0])
         ),
         "dq_null_profile": _query(lambda w: profiles.null_profile(w.raw["weather"])),
         "dq_range_profile": _query(lambda w: profiles.range_profile(w.raw["weather"])),
@@ -272,6 +273,32 @@ def _csv_round_trip(w: Workspace) -> DataFrame:
     return read_typed_csv(w.spark, path, "orders")
 
 
+def _csv_parts(w: Workspace) -> tuple[DataFrame, DataFrame]:
+    """All raw orders in part files with two orders of columns; some lines have a field too many."""
+    path = w.folder("files/order_parts")
+
+    def write() -> None:
+        even = F.col("order_id") % 2 == 0
+        # Without a quote character a comma in the last column separates one more field.
+        status = F.when(F.col("order_id") % 101 == 0, F.concat("status", F.lit(",surplus"))).otherwise(F.col("status"))
+        parts = [
+            w.raw["orders"].where(even).select("listing_id", "order_id", "placed_at", status.alias("status")),
+            w.raw["orders"].where(~even).select("order_id", "status", "listing_id", "placed_at"),
+        ]
+        for mode, part in zip(("overwrite", "append"), parts):
+            texts = part.select(*[F.col(c).cast("string").alias(c) for c in part.columns])
+            writer = texts.write.mode(mode).option("header", True).option("quote", "\u0000")
+            writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+    w.once("order parts", write)
+    return scan_csv(w.spark, path, "orders")
+
+
+def _csv_rejects(w: Workspace) -> DataFrame:
+    fields = F.split("line", ",")
+    return _csv_parts(w)[1].select(fields[1].cast("bigint").alias("order_id"), "reason")
+
+
 def _load_audit(w: Workspace) -> DataFrame:
     """All manifest files written from the raw entities, then loaded with the audit."""
     folder = w.folder("files/manifest")
@@ -284,11 +311,67 @@ def _load_audit(w: Workspace) -> DataFrame:
     return audit_summary(w.once("manifest load", load))
 
 
-def _weather_ingest(w: Workspace) -> DataFrame:
-    """Payloads flattened, stored in place of earlier rows, and aggregated per day from storage."""
+def _load_again(w: Workspace) -> DataFrame:
+    """Organizations loaded twice, the second time added to the first."""
+    folder, lake = w.folder("files/again"), Lake(w.spark, w.folder("again"))
+
+    def load() -> DataFrame:
+        _write_csv(w.raw["org"], f"{folder}/org.csv")
+        for _ in range(2):
+            audit = load_manifest(w.spark, folder, lake, LOAD_TIME, manifest={"org.csv": "org"})
+        return audit
+
+    return w.once("load again", load)
+
+
+def _load_faults(w: Workspace) -> DataFrame:
+    """A replacing load after a good one: a missing, an empty and two bad files leave the stored rows alone."""
+    folder, lake = w.folder("files/faults"), Lake(w.spark, w.folder("faults"))
+
+    def load() -> DataFrame:
+        good, bad = f"{folder}/good", f"{folder}/bad"
+        tables = ["org", "platform", "outlet", "listing"]
+        manifest = {f"{t}.csv": t for t in tables}
+        for table in tables:
+            _write_csv(w.raw[table], f"{good}/{table}.csv")
+        load_manifest(w.spark, good, lake, LOAD_TIME, manifest=manifest)
+        _write_csv(w.raw["org"].where("id < 0"), f"{bad}/org.csv")
+        _write_csv(w.raw["outlet"].withColumn("id", F.concat(F.lit("no. "), F.col("id").cast("string"))), f"{bad}/outlet.csv")
+        _write_csv(w.raw["listing"].withColumn("colour", F.lit("red")), f"{bad}/listing.csv")
+        return load_manifest(w.spark, bad, lake, LOAD_TIME, replace=True, manifest=manifest)
+
+    audit = w.once("load with faults", load)
+    stored = reduce(
+        DataFrame.union,
+        [lake.read_raw(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("stored")) for t in ("org", "platform", "outlet", "listing")],
+    )
+    return audit.withColumn("reason", F.substring_index("reason", " in ", 1)).join(stored, "table_name")
+
+
+def _fact_refreshed(w: Workspace) -> DataFrame:
+    """The fact built without the orders of the first half of January, then refreshed for that month."""
+    lake = Lake(w.spark, w.folder("refreshed"))
+    late = F.col("placed_at") < F.lit("2024-01-16").cast("timestamp_ntz")
+
+    def build() -> None:
+        before = Models({**w.raw, "orders": w.raw["orders"].where(~late)})
+        lake.build_fact(before.fact, "mart", FACT)
+        lake.refresh_fact(w.lazy.fact, "mart", FACT, date(2023, 12, 5), date(2024, 12, 31))
+
+    w.once("refreshed fact", build)
+    return lake.read("mart", FACT).drop("month")
+
+
+def _stored_weather(w: Workspace) -> DataFrame:
+    """Payloads flattened and stored in place of earlier rows, read back from storage."""
     rows, _ = flatten_hourly(_payloads(w))
     w.once("weather ingest", lambda: w.results.load_raw(rows, "weather", LOAD_TIME))
-    return stg_weather(w.results.read_raw("weather"))
+    return w.results.read_raw("weather")
+
+
+def _weather_ingest(w: Workspace) -> DataFrame:
+    """Stored weather aggregated per day."""
+    return stg_weather(_stored_weather(w))
 
 
 def source_queries() -> dict[str, Query]:
@@ -306,7 +389,12 @@ def source_queries() -> dict[str, Query]:
             )
         ),
         "src_weather_ingest": _query(_weather_ingest),
+        "src_csv_parts": _query(lambda w: _csv_parts(w)[0]),
+        "src_csv_rejects": _query(_csv_rejects),
         "load_audit": _query(_load_audit),
+        "load_append": _query(_load_again),
+        "load_failed_keeps_rows": _query(_load_faults),
+        "fct_refreshed": _query(_fact_refreshed),
     }
 
 

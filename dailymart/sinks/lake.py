@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,7 +26,12 @@ def stamped(df: DataFrame, loaded_at: datetime) -> DataFrame:
 
 
 class Lake:
-    """Tables at ``root/<layer>/<table>``. ``root`` must be reachable from every executor."""
+    """Tables at ``root/<layer>/<table>/v<number>``. ``root`` must be reachable from every executor.
+
+    The rows of a table are those of its highest complete version. Replacing writes the next version: until that
+    job has succeeded, and if it fails, readers find the old rows. The version before is kept for readers that
+    have already listed its files; older ones are deleted.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -34,60 +40,95 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def _files(self, path: str):
+        """Hadoop's file system and path object of ``path``."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def versions(self, layer: str, table: str) -> list[int]:
+        """Complete versions, oldest first; a job marks its folder when all of it is there."""
+        files, base = self._files(self.path(layer, table))
+        if not files.exists(base):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(base)]
+        numbers = sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())
+        return [n for n in numbers if files.exists(self._files(f"{self._version(layer, table, n)}/_SUCCESS")[1])]
+
+    def _version(self, layer: str, table: str, number: int) -> str:
+        return f"{self.path(layer, table)}/v{number}"
+
+    def current(self, layer: str, table: str) -> str:
+        """Folder of the rows readers see (of the first version where there is none yet)."""
+        return self._version(layer, table, (self.versions(layer, table) or [1])[-1])
+
     def append(self, df: DataFrame, layer: str, table: str) -> int:
         """Add rows and return how many; the count rides along with the write."""
-        return self._write(df, layer, table, "append")
+        return self._write(df, self.current(layer, table), "append")
 
     def replace(self, df: DataFrame, layer: str, table: str) -> int:
-        """Put ``df`` in place of all rows; readers keep the same path."""
-        return self._write(df, layer, table, "overwrite")
-
-    def _write(self, df: DataFrame, layer: str, table: str, mode: str) -> int:
+        """Put ``df`` in place of all rows once it is stored completely."""
+        return self._replaced(layer, table, lambda path: self._write(df, path, "overwrite"))
+
+    def _replaced(self, layer: str, table: str, write: Callable[[str], int]) -> int:
+        versions = self.versions(layer, table)
+        rows = write(self._version(layer, table, (versions or [0])[-1] + 1))
+        for number in versions[:-1]:
+            files, old = self._files(self._version(layer, table, number))
+            files.delete(old, True)
+        return rows
+
+    def _write(self, df: DataFrame, path: str, mode: str) -> int:
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode(mode).parquet(self.path(layer, table))
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
         return int(seen.get.get("rows", 0))
 
     def build_fact(self, df: DataFrame, layer: str, table: str) -> int:
-        """Rebuild a dated table, one folder per month, sorted by listing and date inside a file.
+        """Rebuild a dated table, one folder per month.
 
-        REBALANCE lets adaptive execution split a month into files of the advisory size and merge small ones,
-        so neither a big month nor many tiny ones hurt; the sort makes listing filters skip row groups.
+        Rows are ranged by month and listing, so a month is split where it is big, and its files hold
+        listings apart from each other: a filter on a listing opens few of them.
         """
-        return self._write_monthly(df, layer, table, "static")
+        return self._replaced(layer, table, lambda path: self._write_monthly(df, path, "static")[0])
 
     def refresh_fact(self, df: DataFrame, layer: str, table: str, first: date, last: date) -> int:
         """Recompute only the months from ``first`` to ``last``; other months stay untouched.
 
-        ``df`` is the full lazy model. Whole months are replaced, so late rows of a month are taken along.
+        ``df`` is the full lazy model. Whole months are replaced, so late rows of a month are taken along; a
+        month that has no rows any more loses its old ones.
         """
         month = month_of("date")
         wanted = df.where(month.between(F.trunc(F.lit(first), "month"), F.lit(last)))
-        return self._write_monthly(wanted, layer, table, "dynamic")
-
-    def _write_monthly(self, df: DataFrame, layer: str, table: str, overwrite: str) -> int:
-        monthly = df.withColumn("month", month_of("date")).hint("rebalance", "month")
+        path = self.current(layer, table)
+        rows, written = self._write_monthly(wanted, path, "dynamic")
+        files, base = self._files(path)
+        for status in files.listStatus(base):
+            name = status.getPath().getName()
+            if name.startswith("month=") and str(first.replace(day=1)) <= name[6:] <= str(last) and name[6:] not in written:
+                files.delete(status.getPath(), True)
+        return rows
+
+    def _write_monthly(self, df: DataFrame, path: str, overwrite: str) -> tuple[int, set[str]]:
+        """Rows and months written."""
+        monthly = df.withColumn("month", month_of("date")).repartitionByRange("month", "listing_id")
         arranged = monthly.sortWithinPartitions("month", "listing_id", "date")
         seen = Observation()
-        counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col("month").cast("string")).alias("months"))
         writer = counted.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-        writer.partitionBy("month").parquet(self.path(layer, table))
-        return int(seen.get.get("rows", 0))
+        writer.partitionBy("month").parquet(path)
+        return int(seen.get.get("rows", 0)), set(seen.get.get("months") or [])
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(layer, table))
+        return reader.parquet(self.current(layer, table))
 
     def read_raw(self, table: str) -> DataFrame:
         return self.read("raw", table, RAW[table])
 
     def count(self, layer: str, table: str) -> int:
-        """Rows in a table; 0 when it cannot be read."""
-        try:
-            schema = RAW.get(table) if layer == "raw" else None
-            return self.read(layer, table, schema).count()
-        except Exception:
+        """Rows in a table; 0 where nothing has been stored. Other problems are errors."""
+        if not self.versions(layer, table):
             return 0
+        return self.read(layer, table, RAW.get(table) if layer == "raw" else None).count()
 
     def load_raw(self, df: DataFrame, table: str, loaded_at: datetime, replace: bool = True) -> int:
         """Stamp rows, conform them to the table and store them."""

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from dailymart.sinks.lake import Lake
 from dailymart.sources.files import MANIFEST, read_typed_csv
 
-AUDIT = "table_name string, rows_loaded bigint, total_rows bigint, status string"
+AUDIT = "table_name string, rows_loaded bigint, total_rows bigint, status string, reason string"
+
+
+def _reason(problem: Exception) -> str:
+    """Spark's names for what went wrong, the innermost last, or the message."""
+    names = re.findall(r"\[([A-Z][A-Z_.]+)\]", str(problem))
+    return names[-1] if names else str(problem).splitlines()[0]
 
 
 def load_manifest(
@@ -19,26 +28,32 @@ def load_manifest(
     folder: str,
     lake: Lake,
     loaded_at: datetime,
-    replace: bool = True,
+    replace: bool = False,
     manifest: dict[str, str] | None = None,
 ) -> DataFrame:
     """Load every file of the manifest into ``raw``; one file's failure does not stop the rest.
 
-    A missing file and a failed one count (0, 0); an empty file loads 0 rows. Appending a file twice doubles
-    its rows, therefore ``replace`` is the default. Returns one audit row per table.
+    Rows are added to what is stored unless ``replace`` is set, so loading a file twice doubles its rows. A
+    missing file and a failed one load 0 rows and leave the stored ones as they are, also when replacing; an
+    empty file loads 0 rows. Only problems with the data or its storage are recorded; programming
+    errors are raised. Files are loaded side by side. Returns one audit row per table.
     """
-    audit = []
-    for file, table in (manifest or MANIFEST).items():
+
+    def load(entry: tuple[str, str]) -> tuple[str, int, int, str, str | None]:
+        file, table = entry
+        loaded, status, reason = 0, "failed", None
         try:
-            loaded = lake.load_raw(
-                read_typed_csv(spark, f"{folder}/{file}", table), table, loaded_at, replace
-            )
-            audit.append((table, loaded, lake.count("raw", table), "loaded" if loaded else "empty"))
+            loaded = lake.load_raw(read_typed_csv(spark, f"{folder}/{file}", table), table, loaded_at, replace)
+            status = "loaded" if loaded else "empty"
         except AnalysisException as problem:
-            missing = "PATH_NOT_FOUND" in str(problem)
-            audit.append((table, 0, 0, "missing" if missing else "failed"))
-        except Exception:
-            audit.append((table, 0, 0, "failed"))
+            reason = _reason(problem)
+            status = "missing" if "PATH_NOT_FOUND" in str(problem) else "failed"
+        except (PySparkException, Py4JError, ValueError) as problem:
+            reason = _reason(problem)
+        return table, loaded, lake.count("raw", table), status, reason
+
+    with ThreadPoolExecutor(4) as pool:
+        audit = list(pool.map(load, (manifest or MANIFEST).items()))
     return spark.createDataFrame(audit, AUDIT)
 
 
@@ -50,6 +65,7 @@ def audit_summary(audit: DataFrame) -> DataFrame:
         F.sum("rows_loaded").alias("rows_loaded"),
         F.sum("total_rows").alias("total_rows"),
         F.concat(good.cast("string"), F.lit("/"), F.count("*").cast("string")).alias("status"),
+        F.lit(None).cast("string").alias("reason"),
     )
     return audit.unionByName(total)
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +25,26 @@ MANIFEST = {
 }
 
 # Texts read as missing, the usual list of dataframe CSV readers.
-MISSING_TEXTS = """
-#N/A|#N/A N/A|#NA|-1.#IND|-1.#QNAN|-NaN|-nan|1.#IND|1.#QNAN|<NA>|N/A|NA|NULL|NaN|None|n/a|nan|null
-""".strip().split("|")
+MISSING_TEXTS = [
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
 
 
 def file_columns(table: str) -> list[T.StructField]:
@@ -44,26 +65,80 @@ def _coerce(field: T.StructField) -> Column:
     return text.cast(field.dataType)
 
 
-def read_typed_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
-    """Read one CSV file, or a folder of part files, with the declared types of ``table``.
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by the column names in their first line; files without a line are left out.
 
-    Columns are matched by header name; a column the file lacks is NULL, a column the table lacks is an
-    error. Only the header line is read ahead; types are never inferred. ``multi_line`` allows line breaks
-    inside quotes, at the price of reading each file in one task.
+    Looks at the first block of each file only. One row per file reaches the driver, which lists them anyway.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
+    first = lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.groupBy("file").agg(F.min_by("value", "at").alias("line")).collect():
+        names = tuple(name.strip() for name in next(csv.reader([row.line.lstrip("\ufeff")]), []))
+        found.setdefault(names, []).append(unquote(row.file))
+    return found
+
+
+_BROKEN = "_broken_line"
+
+
+def _scan(spark: SparkSession, path: str, table: str, multi_line: bool) -> list[tuple[DataFrame, list[T.StructField], Column]]:
+    """For each order of columns found: all fields as text, the table's fields, and whether a line has too many."""
     fields = file_columns(table)
-    unknown = set(text.columns) - {f.name for f in fields}
-    if unknown:
-        raise ValueError(f"{table}: unexpected columns {sorted(unknown)}")
+    known = {f.name for f in fields}
+    scans = []
+    by_header = _headers(spark, path)
+    for names, files in sorted(by_header.items()):
+        unknown = sorted(set(names) - known)
+        if unknown or len(set(names)) < len(names):
+            raise ValueError(f"{table}: unexpected columns {unknown or sorted(names)} in {sorted(files)[0]}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BROKEN)])
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN)
+        # Quoted parts may hold commas; what is left of them after that separates fields.
+        bare = F.regexp_replace(F.col(_BROKEN), '"[^"]*"', "")
+        surplus = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(","))) >= len(names), F.lit(False))
+        # Always true, but reads all columns: Spark counts the fields of a line only then.
+        surplus &= F.length(F.concat_ws("", *[F.col(f"`{n}`") for n in names])) >= 0
+        scans.append((reader.csv(path if len(by_header) == 1 else files), fields, surplus))
+    return scans
+
+
+def _typed(text: DataFrame, fields: list[T.StructField]) -> DataFrame:
     return text.select(
-        *[
-            (_coerce(f) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in fields
-        ]
+        *[(_coerce(f) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields]
     )
+
+
+def _nothing(spark: SparkSession, fields: list[T.StructField]) -> DataFrame:
+    return spark.createDataFrame([], T.StructType(fields))
+
+
+def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The readable rows of :func:`read_typed_csv`, and ``(line, reason)`` of lines with more fields than columns."""
+    scans = _scan(spark, path, table, multi_line)
+    rows = [_typed(text.where(~surplus), fields) for text, fields, surplus in scans]
+    rejects = [
+        text.where(surplus).select(F.col(_BROKEN).alias("line"), F.lit("more fields than columns").alias("reason"))
+        for text, _, surplus in scans
+    ]
+    nothing = spark.createDataFrame([], "line string, reason string")
+    return reduce(DataFrame.unionByName, rows, _nothing(spark, file_columns(table))), reduce(DataFrame.union, rejects, nothing)
+
+
+def read_typed_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """Read one CSV file, or a folder of part files, with the declared types of ``table``.
+
+    Columns are matched by the header names of each file, so parts may order them differently; a column the
+    file lacks is NULL, a column the table lacks is an error. A line with fewer fields ends in NULLs, one with
+    more fails the read (see :func:`scan_csv` to set such lines aside). Types are never inferred. ``multi_line``
+    allows line breaks inside quotes, at the price of reading each file in one task.
+    """
+    problem = F.concat(F.lit(f"{table}: more fields than columns: "), F.col(_BROKEN))
+    rows = [
+        _typed(text.where(F.when(surplus, F.raise_error(problem).cast("boolean")).otherwise(True)), fields)
+        for text, fields, surplus in _scan(spark, path, table, multi_line)
+    ]
+    return reduce(DataFrame.unionByName, rows) if rows else _nothing(spark, file_columns(table))

@@ -7,11 +7,12 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from dailymart.schemas import RAW
 from dailymart.sinks.lake import Lake, qualified_name, register_views
 from dailymart.sinks.loading import audit_summary, load_manifest, load_succeeded
-from dailymart.sources.files import read_typed_csv
+from dailymart.sources.files import read_typed_csv, scan_csv
 from dailymart.sources.weather import flatten_hourly, split_coordinates, weather_locations, within_dates
 
 T0 = datetime(2024, 2, 1)
@@ -68,9 +69,51 @@ def test_csv_missing_column_and_empty_files(spark, tmp_path):
         assert read_typed_csv(spark, write(tmp_path / "e.csv", text), "org").count() == 0
 
 
+def test_csv_parts_in_different_orders_and_surplus_fields(spark, tmp_path):
+    """Each part is read by its own header; a field too many is set aside or fails the read, never dropped."""
+    folder = tmp_path / "parts of it"
+    folder.mkdir()
+    write(folder / "a.csv", "order_id,listing_id,status,placed_at\n1,10,a,2024-01-01\n2,20\n")
+    write(folder / "b.csv", 'listing_id,order_id,status\n30,3,"x, y"\n40,4,z,more\n50,5,,,,\n')
+    write(folder / "empty.csv", "")
+    write(folder / "header.csv", "status,order_id\n")
+    rows, rejects = scan_csv(spark, str(folder), "orders")
+    found = sorted((r.order_id, r.listing_id, r.status, r.placed_at) for r in rows.collect())
+    assert found == [(1, 10, "a", datetime(2024, 1, 1)), (2, 20, None, None), (3, 30, "x, y", None)]
+    assert sorted(tuple(r) for r in rejects.collect()) == [("40,4,z,more", "more fields than columns"), ("50,5,,,,", "more fields than columns")]
+    with pytest.raises(Exception, match="more fields than columns"):
+        read_typed_csv(spark, str(folder), "orders").collect()
+    write(folder / "c.csv", "order_id,colour\n1,red\n")
+    with pytest.raises(ValueError, match="colour"):
+        scan_csv(spark, str(folder), "orders")
+
+
 MANIFEST = {"org.csv": "org", "platform.csv": "platform", "outlet.csv": "outlet", "listing.csv": "listing"}
 
 
+def test_failed_replace_keeps_rows_and_old_versions_go(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    good = "id,name,timestamp\n1,a,2020-01-01\n2,b,2020-01-01\n"
+    for _ in range(3):
+        write(tmp_path / "org.csv", good)
+        load_manifest(spark, str(tmp_path), lake, T0, replace=True, manifest={"org.csv": "org"})
+    assert lake.versions("raw", "org") == [2, 3]
+    before = lake.read_raw("org")
+    write(tmp_path / "org.csv", "id,name,timestamp\nx,a,2020-01-01\n")
+    audit = load_manifest(spark, str(tmp_path), lake, T0, replace=True, manifest={"org.csv": "org"})
+    assert tuple(audit.first()) == ("org", 0, 2, "failed", "CAST_INVALID_INPUT")
+    assert before.count() == lake.read_raw("org").count() == 2
+    write(tmp_path / "org.csv", good)
+    load_manifest(spark, str(tmp_path), lake, T0, replace=True, manifest={"org.csv": "org"})
+    assert before.count() == 2  # a reader of the version before still finds its files
+
+
+def test_programming_errors_are_raised(spark, tmp_path):
+    with pytest.raises(KeyError):
+        write(tmp_path / "org.csv", "id\n1\n")
+        load_manifest(spark, str(tmp_path), Lake(spark, str(tmp_path / "lake")), T0, manifest={"org.csv": "no such table"})
+
+
 def test_manifest_continues_after_failures(spark, tmp_path):
     write(tmp_path / "org.csv", "id,name,timestamp\n1,a,2020-01-01\n2,b,2020-01-01\n")
     write(tmp_path / "platform.csv", "id,group,name,country\n")
@@ -79,7 +122,7 @@ def test_manifest_continues_after_failures(spark, tmp_path):
 
     def load(**options):
         audit = load_manifest(spark, str(tmp_path), lake, T0, manifest=MANIFEST, **options)
-        return audit, {r.table_name: tuple(r)[1:] for r in audit_summary(audit).collect()}
+        return audit, {r.table_name: tuple(r)[1:4] for r in audit_summary(audit).collect()}
 
     audit, found = load()
     assert found == {
@@ -90,10 +133,12 @@ def test_manifest_continues_after_failures(spark, tmp_path):
         "TOTAL": (2, 2, "2/4"),
     }
     assert load_succeeded(audit).first().succeeded
-    _, again = load()
-    assert again["org"] == (2, 2, "loaded")
-    _, doubled = load(replace=False)
+    reasons = {r.table_name: r.reason for r in audit.collect()}
+    assert reasons == {"org": None, "platform": None, "outlet": "CAST_INVALID_INPUT", "listing": "PATH_NOT_FOUND"}
+    _, doubled = load()
     assert doubled["org"] == (2, 4, "loaded")
+    _, again = load(replace=True)
+    assert again["org"] == (2, 2, "loaded")
     stored = lake.read_raw("org")
     assert stored.schema == RAW["org"]
     assert {r.loaded_at for r in stored.collect()} == {T0}
@@ -183,7 +228,7 @@ def test_fact_table_is_partitioned_by_month(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     df = spark.sql("select explode(sequence(date'2024-01-30', date'2024-02-02')) date, 1L listing_id, 2 x")
     assert lake.build_fact(df, "mart", "f") == 4
-    assert sorted(p.name for p in (tmp_path / "mart" / "f").glob("month=*")) == ["month=2024-01-01", "month=2024-02-01"]
+    assert sorted(p.name for p in (tmp_path / "mart" / "f" / "v1").glob("month=*")) == ["month=2024-01-01", "month=2024-02-01"]
     assert lake.read("mart", "f").where("month = date'2024-02-01'").count() == 2
 
 
@@ -199,3 +244,28 @@ def test_refresh_replaces_whole_months_only(spark, tmp_path):
     assert lake.refresh_fact(days(2), "mart", "f", date(2024, 2, 10), date(2024, 2, 11)) == 29
     found = {(r.month, r.x): r["count"] for r in lake.read("mart", "f").groupBy("month", "x").count().collect()}
     assert found == {(date(2024, 1, 1), 1): 2, (date(2024, 2, 1), 2): 29, (date(2024, 3, 1), 1): 2}
+
+
+def test_refresh_empties_months_without_rows(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    df = spark.sql("select explode(sequence(date'2024-01-01', date'2024-04-30')) date, 1L listing_id")
+    lake.build_fact(df, "mart", "f")
+    late = df.where("date < '2024-02-01' OR date >= '2024-03-31'")
+    assert lake.refresh_fact(late, "mart", "f", date(2024, 2, 3), date(2024, 3, 1)) == 1
+    assert lake.read("mart", "f").drop("month").exceptAll(late).isEmpty()
+    assert lake.read("mart", "f").count() == late.count()
+
+
+def test_fact_files_hold_listings_apart(spark, tmp_path):
+    """Within a month the files' ranges of listings do not overlap."""
+    lake = Lake(spark, str(tmp_path))
+    df = spark.sql("select d.date, l.id listing_id from (select explode(sequence(date'2024-01-01', date'2024-02-29')) date) d cross join range(300) l")
+    lake.build_fact(df, "mart", "f")
+    files = lake.read("mart", "f").selectExpr("month", "listing_id", "_metadata.file_path file")
+    ranges = files.groupBy("month", "file").agg({"listing_id": "min"}).count()
+    assert ranges >= 2
+    bounds = sorted(tuple(r) for r in files.groupBy("month", "file").agg(F.min("listing_id"), F.max("listing_id")).collect())
+    for a in bounds:
+        for b in bounds:
+            if a[0] == b[0] and a[1] != b[1]:
+                assert a[3] <= b[2] or b[3] <= a[2]
