@@ -23,18 +23,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_temporary: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str | None:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """A folder of this application that every executor can reach, inside ``spark.checkpoint.dir``.
 
-    The setting wins. Only a single-machine session without it gets a fresh temporary folder; a
-    cluster session without it gets ``None`` and the callers stay fully lazy.
+    Nothing is set in the caller's session. Only a single-machine session without the setting gets a fresh
+    temporary folder; a cluster session without it gets ``None`` and the callers stay fully lazy.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder is None and (named := spark.conf.get("spark.checkpoint.dir", None)):
-        context.setCheckpointDir(named)
-        folder = context.getCheckpointDir()
-    if folder is None and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="dailymart-"))
-        folder = context.getCheckpointDir()
-    return folder
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is not None:
+        return f"{named.rstrip('/')}/dailymart-{context.applicationId}"
+    if not context.master.startswith("local"):
+        return None
+    return _temporary.setdefault(context.applicationId, tempfile.mkdtemp(prefix="dailymart-"))

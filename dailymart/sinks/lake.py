@@ -130,6 +130,11 @@ class Lake:
             return 0
         return self.read(layer, table, RAW.get(table) if layer == "raw" else None).count()
 
+    def drop(self) -> None:
+        """Delete all tables and files under the root."""
+        files, base = self._files(self.root)
+        files.delete(base, True)
+
     def load_raw(self, df: DataFrame, table: str, loaded_at: datetime, replace: bool = True) -> int:
         """Stamp rows, conform them to the table and store them."""
         rows = conform(stamped(df, loaded_at), table)

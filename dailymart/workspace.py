@@ -45,14 +45,26 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.raw = raw_tables(spark, sf_dir)
-        self.lazy = Models(self.raw)
-        self._done: dict[str, object] = {}
+        self.sf_dir = sf_dir
         self._lock = RLock()
         folder = shared_folder(spark)
         label = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-        self.lake = Lake(spark, f"{folder}/dailymart/{label}") if folder else None
-        self.checked = Models(self.raw, self._keep)
+        self.lake = Lake(spark, f"{folder}/{label}") if folder else None
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Look at the input tables anew: what was stored of them is made again when next asked for."""
+        with self._lock:
+            self.raw = raw_tables(self.spark, self.sf_dir)
+            self.lazy = Models(self.raw)
+            self.checked = Models(self.raw, self._keep)
+            self._done: dict[str, object] = {}
+
+    def close(self) -> None:
+        """Delete everything stored here; the next query starts over."""
+        if self.lake is not None:
+            self.lake.drop()
+        self.refresh()
 
     @property
     def results(self) -> Lake:

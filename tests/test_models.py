@@ -198,3 +198,36 @@ def test_without_shared_folder_nothing_is_stored(spark, monkeypatch):
     assert space.checked["stg_org"].count() == 25
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         space.folder("files")
+
+
+def test_stored_copies_follow_the_input_and_can_be_deleted(spark, tmp_path):
+    from pathlib import Path
+    from shutil import copytree
+
+    import pandas as pd
+    from conftest import SMALL
+
+    from dailymart.workspace import Workspace
+
+    source = copytree(SMALL, tmp_path / "in")
+    space = Workspace(spark, str(source))
+    before = space.fact.count()
+    events = pd.read_parquet(f"{SMALL}/events.parquet")
+    late = events.head(1).assign(event_id=events.event_id.max() // 11 * 11 + 12, user_id=events.user_id.max() + 1)
+    pd.concat([events, late]).to_parquet(f"{source}/events.parquet", coerce_timestamps="us", allow_truncated_timestamps=True)
+    assert space.fact.count() == before
+    space.refresh()
+    assert space.fact.count() == before + 1
+    assert Path(space.results.root).exists()
+    space.close()
+    assert not Path(space.results.root).exists()
+    assert space.fact.count() == before + 1
+    space.close()
+
+
+def test_a_shared_folder_leaves_the_session_alone(spark):
+    from dailymart.session import shared_folder
+
+    before = spark.sparkContext.getCheckpointDir()
+    assert shared_folder(spark) == shared_folder(spark)
+    assert spark.sparkContext.getCheckpointDir() == before
