@@ -138,16 +138,21 @@ def _linked(cosine: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         home = homes == cell
         block = group.column("block").to_numpy()
         table = _table(group.column("vector"))
-        linked = table @ table.T >= cosine
-        linked |= linked.T
-        np.fill_diagonal(linked, False)
-        linked &= home[:, None] | home[None, :]
+        # Every pair has a member that is at home here: only their rows of the product are needed.
+        rows = np.flatnonzero(home)
+        near = table[rows] @ table.T >= cosine
+        near[np.arange(len(rows)), rows] = False
         if group.column("one")[0].as_py() != group.column("other")[0].as_py():
-            linked &= block[:, None] != block[None, :]
-        busy = np.flatnonzero(linked.any(axis=1))
+            near &= block[rows][:, None] != block[None, :]
+        row, column = np.nonzero(near)
+        row = rows[row]
+        busy = np.union1d(row, column)
         if not len(busy):
             continue
-        linked, home, homes = linked[np.ix_(busy, busy)], home[busy], homes[busy]
+        linked = np.zeros((len(busy), len(busy)), bool)
+        linked[np.searchsorted(busy, row), np.searchsorted(busy, column)] = True
+        linked |= linked.T
+        home, homes = home[busy], homes[busy]
         # Of two cells where a pair meets, the lower one counts it.
         for guest in np.flatnonzero(~home & (homes < cell)):
             for host in np.flatnonzero(linked[guest]):
