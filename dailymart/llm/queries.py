@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from dailymart.llm import decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity
+from dailymart.llm.store import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

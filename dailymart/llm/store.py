@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the workers, once per application, for executors that do not have it installed."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = f"{tempfile.mkdtemp(prefix='llm-')}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder of the shared one and read it back."""
     spark = df.sparkSession
