@@ -22,6 +22,22 @@ def in_blocks(members: DataFrame, key: str, most: int) -> DataFrame:
     )
 
 
+def in_blocks_around(members: DataFrame, key: str, most: int, inner: str) -> DataFrame:
+    """Like :func:`in_blocks` where only pairs with an ``inner`` member count.
+
+    Members carry the bucket's numbers of ``inners`` and ``outers``. Blocks of the outer ones meet blocks of the
+    inner ones only, so an outer member is copied once for each block of inner ones.
+    """
+    counted = members.withColumns(
+        {"ins": F.ceil(F.col("inners") / most).cast("int"), "outs": F.ceil(F.col("outers") / most).cast("int")}
+    ).where("ins > 0")
+    place = F.xxhash64(key)
+    block = F.when(F.col(inner), F.pmod(place, F.col("ins"))).otherwise(F.col("ins") + F.pmod(place, F.col("outs")))
+    last = F.when(F.col(inner), F.col("ins") + F.col("outs") - 1).otherwise(F.col("ins") - 1)
+    dealt = counted.withColumn("block", block.cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.withColumns({"one": F.least("block", "with"), "other": F.greatest("block", "with")})
+
+
 def sorted_blocks(df: DataFrame) -> DataFrame:
     """Rows of a pair of blocks together, in runs."""
     return df.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)

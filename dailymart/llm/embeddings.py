@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailymart.llm.blocks import BLOCK_KEYS, groups, in_blocks, sorted_blocks
+from dailymart.llm.blocks import BLOCK_KEYS, groups, in_blocks_around, sorted_blocks
 from dailymart.llm.graph import components
 from dailymart.llm.store import saved
 
@@ -110,10 +110,11 @@ def _assigned(cells: dict[int, Cells], batches: Iterator[pa.RecordBatch]) -> Ite
                 yield pa.record_batch(
                     [
                         (int(dim) << 32) + cell,
+                        cell == home[row],
                         pa.array(lists, pa.binary()).take(pa.array(row)),
                         *(part.column(c).take(pa.array(row)) for c in ("node", "content", "n", "vector")),
                     ],
-                    ["bucket", "cells", "node", "content", "n", "vector"],
+                    ["bucket", "home", "cells", "node", "content", "n", "vector"],
                 )
 
 
@@ -135,7 +136,7 @@ def _linked(cosine: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         cell = group.column("bucket")[0].as_py() & 0xFFFFFFFF
         cells = [np.frombuffer(c, "<i4") for c in group.column("cells").to_pylist()]
         homes = np.array([c[0] for c in cells])
-        home = homes == cell
+        home = group.column("home").to_numpy(zero_copy_only=False)
         block = group.column("block").to_numpy()
         table = _table(group.column("vector"))
         # Every pair has a member that is at home here: only their rows of the product are needed.
@@ -184,10 +185,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         sample = _table(sample.select("vector").toArrow().column("vector").combine_chunks())
         centres = max(1, min(count // PER_CELL, CENTRES, len(sample) // 16))
         cells[dim] = Cells(spherical_kmeans(sample, centres), cosine)
-    fields = "bucket long, cells binary, node long, content binary, n long, vector binary"
+    fields = "bucket long, home boolean, cells binary, node long, content binary, n long, vector binary"
     placed = saved(chosen.mapInArrow(partial(_assigned, cells), fields), "placed")
-    sizes = placed.groupBy("bucket").agg(F.count("*").alias("size"))
-    blocks = sorted_blocks(in_blocks(placed.join(sizes, "bucket"), "content", BLOCK))
+    sizes = placed.groupBy("bucket").agg(F.count_if("home").alias("inners"), F.count_if(~F.col("home")).alias("outers"))
+    blocks = sorted_blocks(in_blocks_around(placed.join(sizes, "bucket"), "content", BLOCK, "home"))
     found = "content binary, node long, links long, first long"
     found = saved(blocks.mapInArrow(partial(_linked, cosine), found), "links")
 
