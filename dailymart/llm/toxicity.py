@@ -86,18 +86,17 @@ def variants(words: set[bytes], swap: dict[bytes, list[bytes]]) -> list[set[byte
     return [words - {term} | {other} for term in sorted(words & swap.keys()) for other in swap[term]]
 
 
+def _hashes(words: set[bytes]) -> bytes:
+    return np.array([f for w in words for f in features_of(w)], "<i4").tobytes()
+
+
 def _sampled(swap: dict[bytes, list[bytes]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of labelled rows (``copy`` 0) and of their counterfactual copies."""
+    """Features of labelled rows and of their counterfactual copies."""
     for batch in chunks(batches):
-        rows = []
-        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
-            words = words_of(text)
-            for copy, own in enumerate([words, *variants(words, swap)]):
-                found = np.array([f for w in own for f in features_of(w)], "<i4")
-                rows.append((label, copy, found.tobytes()))
-        columns = list(zip(*rows)) or [()] * 3
-        kinds = [pa.int32(), pa.int32(), pa.binary()]
-        yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["label", "copy", "features"])
+        texts = [words_of(t) for t in batch.column("text").to_pylist()]
+        own = pa.array([_hashes(w) for w in texts], pa.binary())
+        copies = pa.array([[_hashes(v) for v in variants(w, swap)] for w in texts], pa.list_(pa.binary()))
+        yield pa.record_batch([batch.column("label"), own, copies], ["label", "features", "copies"])
 
 
 class Model:
@@ -179,20 +178,19 @@ def fit(docs: DataFrame, labels: DataFrame, terms: dict[str, list[tuple]] = IDEN
     by_hash = [F.xxhash64("doc_id"), "doc_id"]
     sample = [stored.where(F.col("label") == c).orderBy(*by_hash).limit(SAMPLE) for c in (0, 1)]
     swap = swaps(terms)
-    rows = docs.join(F.broadcast(sample[0].union(sample[1])), "doc_id").limit(3 * SAMPLE)
-    found = rows.mapInArrow(partial(_sampled, swap), "label int, copy int, features binary").toArrow()
+    rows = docs.join(F.broadcast(sample[0].union(sample[1])), "doc_id")
+    # Ids with many rows do not make the sample larger. Features, not texts, come together here.
+    found = rows.mapInArrow(partial(_sampled, swap), "label int, features binary, copies array<binary>").limit(3 * SAMPLE).toArrow()
     features = [np.frombuffer(x, "<i4") for x in found.column("features").to_pylist()]
-    copy, label = found.column("copy").to_numpy(), found.column("label").to_numpy()
-    own = np.flatnonzero(copy == 0)
-    if not len(own):
+    label = found.column("label").to_numpy()
+    if not features:
         return Model(0.0, none, none)
     identity = np.unique([f for term in swap for f in features_of(term)]).astype(np.int64)
-    chosen = _chosen([features[k] for k in own], label[own], identity)
-    table = _dense([features[k] for k in own], chosen)
-    copies = np.flatnonzero(copy)
-    origin = np.searchsorted(own, copies) - 1
-    changes = _dense([features[k] for k in copies], chosen) - table[origin] if len(copies) else np.empty((0, len(chosen)))
-    bias, weights = train(table, label[own], changes, fairness)
+    chosen = _chosen(features, label, identity)
+    table = _dense(features, chosen)
+    copies = [(k, np.frombuffer(x, "<i4")) for k, own in enumerate(found.column("copies").to_pylist()) for x in own]
+    changes = _dense([x for _, x in copies], chosen) - table[[k for k, _ in copies]] if copies else np.empty((0, len(chosen)))
+    bias, weights = train(table, label, changes, fairness)
     return Model(bias, chosen, weights)
 
 
