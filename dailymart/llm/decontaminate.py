@@ -1,14 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment.
 
 Words are the runs between ASCII white space and punctuation, in lower case. A *seed* is a run of ``GRAM``
-words of a test item (all its words if it has fewer) that a document contains. How many documents contain
-it is counted over the whole corpus; a seed is rare if at most one in ``RARE`` documents has it or at most
-``FEW`` in all, and the rarer half of an item's seeds always counts as rare, so an item that leaked into very many documents is
-still found. Around its seeds the document's words are aligned with the item: +2 for equal words, -1 for
-others, for a word left out and for one put in. The best local score over 2 * words of the item is the
-``score``; 1 is a literal copy. From ``THRESHOLD`` on, the document is contaminated by the item.
-
-Documents are read once and not shuffled; only windows around seeds are. Test items go to the tasks in
+words of a test item (all its words if it has fewer) that a document contains, however common it is. Around
+its seeds the document's words are aligned with the item: +2 for equal words, -1 for others, for a word left
+out and for one put in. The best local score over 2 * words of the item is the ``score``; 1 is a literal
+copy. From ``THRESHOLD`` on, the document is contaminated by the item. A stretch that has too few of the
+item's words to reach the threshold, were they all in order, is not aligned; it cannot match.
+
+Documents are read once and not shuffled; only matches are. Test items go to the tasks in
 blocks of at most ``BLOCK_WORDS`` words, one pass over the documents for each block.
 
 Defined cases: null and empty texts, and items without words, match nothing. Null ids are carried along.
@@ -24,15 +23,13 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.llm.store import saved
 from dailymart.llm.texts import U64, chunks, gram_hashes, word_hashes
 
 GRAM = 4
-RARE = 1000
-FEW = 100
 THRESHOLD = 0.5
 BLOCK_WORDS = 1_000_000
 
@@ -48,6 +45,7 @@ class Seeds:
 
     def __init__(self, texts: list[str | None]):
         self.words = [word_hashes(words_of(t)) for t in texts]
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
         self.sizes = sorted({min(GRAM, len(w)) for w in self.words} - {0})
         self.tables = {}
         for size in self.sizes:
@@ -61,8 +59,15 @@ class Seeds:
             present[gram & U64(len(present) - 1)] = True
             self.tables[size] = gram[order], item[order], place[order], present
 
+    def common(self, item: int, words: np.ndarray) -> int:
+        """How many words of an item are among ``words``, repeated ones as often as in both."""
+        own, counts = self.bags[item]
+        at = np.searchsorted(own, words)
+        at[at == len(own)] = 0
+        return int(np.minimum(np.bincount(at[own[at] == words], minlength=len(own)), counts).sum())
+
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, ...] | None:
-        """(item, place in item, place in text, hash) of all seeds in a text."""
+        """(item, place in item, place in text) of all seeds in a text."""
         found = []
         for size in self.sizes:
             gram, item, place, present = self.tables[size]
@@ -76,45 +81,15 @@ class Seeds:
             if len(at):
                 index = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 at = np.repeat(at, many)
-                found.append((item[index], place[index], at, own[at]))
+                found.append((item[index], place[index], at))
         return tuple(np.concatenate(c) for c in zip(*found)) if found else None
 
 
-def margin(length: int) -> int:
+def margin(length: np.ndarray) -> np.ndarray:
     """Words a window reaches beyond the item's place on either side."""
     return 8 + length // 3
 
 
-WINDOWS = "doc_id long, item long, first long, words binary, seeds array<long>"
-
-
-def _windows(seeds: Seeds, items: list[int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words around seeds, one row for each item and stretch of touching windows."""
-    for batch in chunks(batches):
-        rows = []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            words = word_hashes(words_of(text))
-            hits = seeds.hits(words)
-            if hits is None:
-                continue
-            item, place, at, gram = hits
-            order = np.lexsort((at - place, item))
-            item, place, at, gram = (x[order] for x in (item, place, at, gram))
-            length = np.array([len(seeds.words[i]) for i in item])
-            reach = 8 + length // 3
-            begin, end = np.maximum(at - place - reach, 0), np.minimum(at - place + length + reach, len(words))
-            cut = np.concatenate([[True], (item[1:] != item[:-1]) | (begin[1:] > end[:-1])])
-            lows = np.flatnonzero(cut)
-            for low, high in zip(lows, [*lows[1:], len(item)]):
-                a, b = int(begin[low]), int(end[low:high].max())
-                rows.append((doc, items[item[low]], a, words[a:b].tobytes(), np.unique(gram[low:high].view(np.int64))))
-        if rows:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.record_batch(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "item", "first", "words", "seeds"]
-            )
-
-
 def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment score of each item with its window, and the window's word after its (first) end.
 
@@ -149,30 +124,63 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
 MATCHES = "doc_id long, item_id long, score double, first_word long, last_word long"
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        items = [np.frombuffer(x, U64) for x in batch.column("item_words").to_pylist()]
-        windows = [np.frombuffer(x, U64) for x in batch.column("words").to_pylist()]
-        order = sorted(range(len(items)), key=lambda k: (len(windows[k]), len(items[k])))
-        scores, begins, ends = np.zeros(len(items)), np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
-        low = 0
-        while low < len(order):
-            # About a million cells at once, whatever the lengths.
-            high = low + 1
-            while high < len(order) and high - low < 256 and (high - low) * len(windows[order[high]]) < 1 << 20:
-                high += 1
-            own = order[low:high]
-            best, end = align([items[k] for k in own], [windows[k] for k in own])
-            back, length = align([items[k][::-1] for k in own], [windows[k][:e][::-1] for k, e in zip(own, np.maximum(end, 1))])
-            for k, score, e, n in zip(own, best, end, length):
-                scores[k] = score / (2 * len(items[k]))
-                begins[k], ends[k] = e - n, e
-            low = high
-        first = batch.column("first").to_numpy()
-        yield pa.record_batch(
-            [batch.column("doc_id"), batch.column("item"), scores, first + begins, first + ends - 1],
-            ["doc_id", "item_id", "score", "first_word", "last_word"],
-        )
+def _aligned(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """(score, first word, word after the last) of the best match of each item in its window."""
+    order = sorted(range(len(items)), key=lambda k: (len(windows[k]), len(items[k])))
+    scores, begins, ends = np.zeros(len(items)), np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+    low = 0
+    while low < len(order):
+        # About a million cells at once, whatever the lengths.
+        high = low + 1
+        while high < len(order) and high - low < 256 and (high - low) * len(windows[order[high]]) < 1 << 20:
+            high += 1
+        own = order[low:high]
+        best, end = align([items[k] for k in own], [windows[k] for k in own])
+        back, length = align([items[k][::-1] for k in own], [windows[k][:e][::-1] for k, e in zip(own, np.maximum(end, 1))])
+        for k, score, e, n in zip(own, best, end, length):
+            scores[k] = score / (2 * len(items[k]))
+            begins[k], ends[k] = e - n, e
+        low = high
+    return scores, begins, ends
+
+
+def _windows(seeds: Seeds, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, begin, end) of each stretch of touching windows around the seeds of an item."""
+    hits = seeds.hits(words)
+    if hits is None:
+        return
+    item, place, at = hits
+    order = np.lexsort((at - place, item))
+    item, place, at = (x[order] for x in (item, place, at))
+    length = np.array([len(seeds.words[i]) for i in item])
+    reach = margin(length)
+    begin, end = np.maximum(at - place - reach, 0), np.minimum(at - place + length + reach, len(words))
+    cut = np.concatenate([[True], (item[1:] != item[:-1]) | (begin[1:] > end[:-1])])
+    lows = np.flatnonzero(cut)
+    for low, high in zip(lows, [*lows[1:], len(item)]):
+        yield int(item[low]), int(begin[low]), int(end[low:high].max())
+
+
+def _found(seeds: Seeds, ids: list[int | None], threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The matches of a block of items; equal words around seeds of an item are aligned once in a chunk."""
+    for batch in chunks(batches):
+        rows: list[tuple] = []
+        distinct: dict[tuple[int, bytes], int] = {}
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            words = word_hashes(words_of(text))
+            for item, begin, end in _windows(seeds, words):
+                window = words[begin:end]
+                # Every equal word scores 2 at most: with fewer in common no alignment reaches the threshold.
+                if seeds.common(item, window) / len(seeds.words[item]) >= threshold:
+                    rows.append((doc, ids[item], begin, distinct.setdefault((item, window.tobytes()), len(distinct))))
+        if not rows:
+            continue
+        scores, begins, ends = _aligned([seeds.words[i] for i, _ in distinct], [np.frombuffer(w, U64) for _, w in distinct])
+        docs, items, firsts, pairs = (list(c) for c in zip(*rows))
+        pair, first = np.array(pairs), np.array(firsts, np.int64)
+        kept = pa.array(scores[pair] >= threshold)
+        columns = [pa.array(docs, pa.int64()), pa.array(items, pa.int64()), scores[pair], first + begins[pair], first + ends[pair] - 1]
+        yield pa.record_batch([pa.array(c) for c in columns], MATCHES.replace(" long", "").replace(" double", "").split(", ")).filter(kept)
 
 
 def _blocks(items: DataFrame) -> Iterator[list]:
@@ -189,35 +197,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
 
     ``first_word`` and ``last_word`` are the ends of the aligned stretch, counted in words of the text.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("length(text) > 0")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
     items = saved(items.distinct(), "items")
-    found, item_words = [], []
-    number = 0
+    found = []
     for block in _blocks(items):
         seeds = Seeds([r.text for r in block])
-        numbers = list(range(number, number + len(block)))
-        number += len(block)
-        found.append(texts.mapInArrow(partial(_windows, seeds, numbers), WINDOWS))
-        rows = [(n, r.item_id, w.tobytes()) for n, r, w in zip(numbers, block, seeds.words)]
-        item_words.append(spark.createDataFrame(rows, "item long, item_id long, item_words binary"))
-    windows = saved(reduce(DataFrame.union, found), "windows")
-    table = saved(reduce(DataFrame.union, item_words), "item-words")
-
-    hits = windows.select("doc_id", "item", F.explode("seeds").alias("seed"))
-    having = hits.select("doc_id", "seed").distinct().groupBy("seed").agg(F.count("*").alias("documents"))
-    seeds = hits.select("item", "seed").distinct().join(having, "seed")
-    # An item has few seeds: as many as words.
-    half = Window.partitionBy("item").orderBy("documents", "seed")
-    total = F.count("*").over(Window.partitionBy("item"))
-    rare_docs = max(FEW, texts.count() / RARE)
-    rare = seeds.withColumns({"place": F.row_number().over(half), "total": total})
-    rare = saved(rare.where((F.col("documents") <= rare_docs) | (2 * F.col("place") <= F.col("total") + 1)), "rare")
-    rare = rare.groupBy("item").agg(F.collect_set("seed").alias("rare")).join(table, "item")
-    chosen = windows.join(rare, "item").where(F.arrays_overlap("seeds", "rare"))
-    aligned = chosen.select("doc_id", F.col("item_id").alias("item"), "first", "words", "item_words")
-    scored = aligned.mapInArrow(_aligned, MATCHES).where(F.col("score") >= threshold)
+        found.append(texts.mapInArrow(partial(_found, seeds, [r.item_id for r in block], threshold), MATCHES))
+    scored = saved(reduce(DataFrame.union, found), "matches")
     best = F.max(F.struct("score", (-F.col("first_word")).alias("first"), "last_word")).alias("best")
     return (
         scored.groupBy("doc_id", "item_id")

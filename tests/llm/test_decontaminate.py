@@ -104,3 +104,17 @@ def test_alignment_of_many_at_once():
     best, _ = dc.align(items, windows)
     want = [brute_score(i.tolist(), w.tolist()) * 2 * len(i) for i, w in zip(items, windows)]
     assert best.tolist() == pytest.approx(want)
+
+
+def test_edited_copies_beside_many_literal_ones_are_found(spark):
+    """Seeds that stand in very many documents are often the only ones an edited copy has."""
+    rng = random.Random(8)
+    item = rng.sample(WORDS, 15)
+    copies = [item] * 260 + [item[:6] + ["x", "y", "z"] + item[9:], item[:5] + ["x"] * 10]
+    texts = [rng.choices(WORDS, k=8) + copy + rng.choices(WORDS, k=8) for copy in copies]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in dc.matches(frame, bench).collect()}
+    want = {i: brute_score(item, t) for i, t in enumerate(texts)}
+    assert got == pytest.approx({i: s for i, s in want.items() if s >= 0.5})
+    assert got.keys() == set(range(261))
