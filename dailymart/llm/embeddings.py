@@ -2,11 +2,10 @@
 
 Equal vectors are one with a count. The centres are fitted on a bounded sample (``SAMPLE`` vectors by hash of
 the id); every vector is assigned. A vector is at home in the cell of its nearest centre and a guest in each
-cell whose border is near: its distance to the hyperplane between the two centres is at most ``MARGIN``
-standard deviations of the distance that a pair at the threshold has across a random direction. A pair is
-compared in one cell, where either is at home and the other at home or a guest. So a pair just at the
-threshold is missed with a probability of about 2 %, closer ones with less; in two or three dimensions the
-margin reaches as far as any link and nothing is missed. Cells of any size are compared in blocks of at most
+cell whose border is near: its distance to the hyperplane between the two centres is at most half of the
+distance of a pair at the threshold. The hyperplane lies between two vectors of different homes, so one of them
+is at most half their distance away from it, whatever the data: every link is found. A pair is compared in one
+cell, where either is at home and the other at home or a guest. Cells of any size are compared in blocks of at most
 ``BLOCK`` vectors; no pairs are shuffled, only counts and, per block, links that span its groups.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing
@@ -34,7 +33,6 @@ SAMPLE = 20_000
 PER_CELL = 2048
 CENTRES = SAMPLE // 16
 ITERATIONS = 8
-MARGIN = 2.0
 BLOCK = 2048
 
 VECTORS = "vec_id long, dim int, content binary, vector binary"
@@ -83,8 +81,8 @@ class Cells:
     def __init__(self, centres: np.ndarray, cosine: float):
         self.centres = centres
         self.apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 1e-12))
-        reach = (2 - 2 * cosine) ** 0.5
-        self.margin = min(reach, MARGIN * reach / centres.shape[1] ** 0.5)
+        # Half the distance of a pair at the threshold, and a little for rounding.
+        self.margin = max(2 - 2 * cosine, 0.0) ** 0.5 / 2 + 1e-7
 
     def places(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(home, whether home or guest in each cell)."""

@@ -65,6 +65,24 @@ def test_exact_within_one_cell_and_in_two_dimensions(spark, monkeypatch):
     assert {r.vec_id: (r.n_links, r.component_id) for r in check(spark, flat)} == brute(flat)
 
 
+@pytest.mark.parametrize("rank", [16, 384])
+def test_every_pair_at_the_threshold_meets_whatever_the_rank(rank):
+    """Vectors of few effective dimensions come nearer to borders than their nominal dimension suggests."""
+    rng = np.random.default_rng(7)
+    basis = np.linalg.qr(rng.normal(size=(384, rank)))[0].T
+    one, across = rng.normal(size=(2, 3000, rank))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    across -= (across * one).sum(axis=1, keepdims=True) * one
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    other = (0.901 * one + (1 - 0.901**2) ** 0.5 * across) @ basis
+    one = one @ basis
+    cells = embeddings.Cells(embeddings.spherical_kmeans(one, 60), 0.9)
+    (home, there), (home_too, there_too) = cells.places(one), cells.places(other)
+    row = np.arange(len(one))
+    assert (home != home_too).any()
+    assert (there[row, home_too] | there_too[row, home]).mean() == 1
+
+
 def test_vectors_that_link_with_nothing(spark):
     rows = [(1, [1, 0]), (2, [2, 0.0]), (3, [1, -0.0]), (9, [1e300, 1e299]), (9, [1e300, 1e299])]
     extra = [
