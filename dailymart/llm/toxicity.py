@@ -90,13 +90,33 @@ def _hashes(words: set[bytes]) -> bytes:
     return np.array([f for w in words for f in features_of(w)], "<i4").tobytes()
 
 
+def pairs(swap: dict[bytes, list[bytes]]) -> list[tuple[bytes, bytes]]:
+    """(term, other) of all swaps."""
+    return [(term, other) for term in sorted(swap) for other in swap[term]]
+
+
+def _swapped(words: set[bytes], swap: dict[bytes, list[bytes]], number: dict[tuple[bytes, bytes], int]) -> list[int]:
+    """For each of ``variants`` its pair: 2 * number, and 1 more if the other word is there already."""
+    return [2 * number[term, other] + (other in words) for term in sorted(words & swap.keys()) for other in swap[term]]
+
+
 def _sampled(swap: dict[bytes, list[bytes]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of labelled rows and of their counterfactual copies."""
+    """Features of labelled rows, and the swaps that lead to their counterfactual copies."""
+    number = {pair: k for k, pair in enumerate(pairs(swap))}
     for batch in chunks(batches):
         texts = [words_of(t) for t in batch.column("text").to_pylist()]
         own = pa.array([_hashes(w) for w in texts], pa.binary())
-        copies = pa.array([[_hashes(v) for v in variants(w, swap)] for w in texts], pa.list_(pa.binary()))
-        yield pa.record_batch([batch.column("label"), own, copies], ["label", "features", "copies"])
+        swapped = pa.array([np.array(_swapped(w, swap, number), "<i4").tobytes() for w in texts], pa.binary())
+        yield pa.record_batch([batch.column("label"), own, swapped], ["label", "features", "swapped"])
+
+
+def _changes(swapped: list[bytes], swap: dict[bytes, list[bytes]], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different changes that swaps make to the counts of ``features``, and how often each occurs."""
+    kinds, times = np.unique(np.frombuffer(b"".join(swapped), "<i4"), return_counts=True)
+    every = pairs(swap)
+    gone = [np.array(features_of(every[k // 2][0]), "<i4") for k in kinds]
+    come = [np.array([] if k % 2 else features_of(every[k // 2][1]), "<i4") for k in kinds]
+    return _dense(come, features) - _dense(gone, features), times
 
 
 class Model:
@@ -146,9 +166,13 @@ def _dense(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
     return table
 
 
-def train(table: np.ndarray, labels: np.ndarray, changes: np.ndarray, fairness: float = FAIRNESS) -> tuple[float, np.ndarray]:
-    """Bias and weights by Adam; ``changes``: features of counterfactual copies less those of their texts."""
+def train(
+    table: np.ndarray, labels: np.ndarray, changes: np.ndarray, fairness: float = FAIRNESS, times: np.ndarray | None = None
+) -> tuple[float, np.ndarray]:
+    """Bias and weights by Adam; ``changes``: features of counterfactual copies less those of their texts, each so many ``times``."""
     table, changes = table.astype(np.float32), changes.astype(np.float32)
+    times = np.ones(len(changes)) if times is None else times
+    share = (times / max(times.sum(), 1)).astype(np.float32)
     weights, bias = np.zeros(table.shape[1], np.float32), 0.0
     first, second = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
     # Both classes weigh alike, or the rarer one would be missed at the usual threshold.
@@ -158,7 +182,7 @@ def train(table: np.ndarray, labels: np.ndarray, changes: np.ndarray, fairness:
         wrong = ((p - labels) * weigh).astype(np.float32)
         gradient = table.T @ wrong + L2 * weights
         if len(changes):
-            gradient += 2 * fairness / len(changes) * (changes.T @ (changes @ weights))
+            gradient += 2 * fairness * (changes.T @ (share * (changes @ weights)))
         gradient = np.append(gradient, wrong.sum())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -179,8 +203,9 @@ def fit(docs: DataFrame, labels: DataFrame, terms: dict[str, list[tuple]] = IDEN
     sample = [stored.where(F.col("label") == c).orderBy(*by_hash).limit(SAMPLE) for c in (0, 1)]
     swap = swaps(terms)
     rows = docs.join(F.broadcast(sample[0].union(sample[1])), "doc_id")
-    # Ids with many rows do not make the sample larger. Features, not texts, come together here.
-    found = rows.mapInArrow(partial(_sampled, swap), "label int, features binary, copies array<binary>").limit(3 * SAMPLE).toArrow()
+    # Ids with many rows do not make the sample larger. Features, not texts, come together here, and of a copy only
+    # the number of its swap: a text has at most as many as there are pairs.
+    found = rows.mapInArrow(partial(_sampled, swap), "label int, features binary, swapped binary").limit(3 * SAMPLE).toArrow()
     features = [np.frombuffer(x, "<i4") for x in found.column("features").to_pylist()]
     label = found.column("label").to_numpy()
     if not features:
@@ -188,9 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, terms: dict[str, list[tuple]] = IDEN
     identity = np.unique([f for term in swap for f in features_of(term)]).astype(np.int64)
     chosen = _chosen(features, label, identity)
     table = _dense(features, chosen)
-    copies = [(k, np.frombuffer(x, "<i4")) for k, own in enumerate(found.column("copies").to_pylist()) for x in own]
-    changes = _dense([x for _, x in copies], chosen) - table[[k for k, _ in copies]] if copies else np.empty((0, len(chosen)))
-    bias, weights = train(table, label, changes, fairness)
+    changes, times = _changes(found.column("swapped").to_pylist(), swap, chosen)
+    bias, weights = train(table, label, changes, fairness, times)
     return Model(bias, chosen, weights)
 
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,21 @@ def test_nulls_conflicts_one_class_and_empty_tables(spark):
     assert {r.score for r in tx.scores(docs, labels.limit(0)).collect()} == {0.5}
     assert len({r.score for r in tx.scores(docs, labels.where("toxic = 1")).collect()}) == 1
     assert tx.scores(docs.limit(0), labels).collect() == []
+
+
+def test_copies_come_as_swaps_that_lead_to_the_same_penalty():
+    """What a text sends for its copies does not grow with its length, and the changes are those of whole copies."""
+    swap = tx.swaps()
+    texts = ["muslims and jews met " + " ".join(f"w{i}" for i in range(20_000)), "a gay person and a straight one", "old women, Old men", "", None]
+    batch = pa.record_batch([pa.array([0, 1, 0, 1, 0], pa.int32()), pa.array(texts)], ["label", "text"])
+    out = pa.Table.from_batches(tx._sampled(swap, iter([batch])))
+    assert out.nbytes < 1.1 * out.column("features").nbytes
+    sets = [tx.words_of(t) for t in texts]
+    features = np.unique([f for w in [*swap, *(o for others in swap.values() for o in others)] for f in tx.features_of(w)])
+    changes, times = tx._changes(out.column("swapped").to_pylist(), swap, features)
+    dense = lambda words: tx._dense([np.frombuffer(tx._hashes(words), "<i4")], features)[0]
+    want = sorted(tuple(dense(v) - dense(w)) for w in sets for v in tx.variants(w, swap))
+    assert len(want) and sorted(map(tuple, np.repeat(changes, times, axis=0))) == want
+    table, labels = np.random.default_rng(1).random((4, len(features))), np.array([0, 1, 0, 1])
+    once, whole = tx.train(table, labels, changes, times=times), tx.train(table, labels, np.array(want))
+    assert once[0] == pytest.approx(whole[0], abs=1e-2) and np.allclose(once[1], whole[1], atol=1e-2)
