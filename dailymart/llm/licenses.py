@@ -26,13 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dailymart.llm.license_texts import TEXTS
 from dailymart.llm.store import saved
 
 THRESHOLD = 0.6
 CUES = "licen[cs]e|copyright|copyleft|spdx|permission|public domain"
 LICENCE_FILE = "(?i)^(un)?(licen[cs]e|copying|copyright|notice)([-._].*)?$"
 
-#: Statements by which files declare a licence, and beginnings of licence texts.
+#: Statements by which files declare a licence, beginnings of licence texts, and full texts.
 TEMPLATES = [
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -55,6 +56,7 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *TEXTS,
 ]
 
 
@@ -71,11 +73,11 @@ def _template_words(spark: SparkSession, templates: list[tuple[str, str]]) -> Da
 
 def _weights(files: DataFrame, words: list[str]) -> tuple[DataFrame, Column]:
     """``word, idf`` of the templates' words from all files, and the idf of any other word."""
-    known = F.array(*[F.lit(w) for w in words])
-    found = files.where("text IS NOT NULL").select(F.explode(F.array_intersect(_words(F.col("text")), known)).alias("word"))
+    known = files.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    found = files.where("text IS NOT NULL").select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).join(F.broadcast(known), "word")
     having = saved(found.groupBy("word").agg(F.count("*").alias("files")), "idf")
     total = files.count()
-    every = files.sparkSession.createDataFrame([(w,) for w in words], "word string").join(having, "word", "left")
+    every = known.join(having, "word", "left")
     idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.coalesce("files", F.lit(0)))) + 1
     return every.select("word", idf.alias("idf")), F.log(F.lit(1.0 + total)) + 1
 

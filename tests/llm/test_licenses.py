@@ -88,6 +88,54 @@ def test_nearest_directory_above_passes_its_licence_on(spark):
     }
 
 
+BSD = """Copyright (c) 2009, Some One and Others
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+* Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+  disclaimer.
+* Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+  disclaimer in the documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+THIRD = """* Neither the name of Some One nor the names of its contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+"""
+ISC = """Copyright 2010-2021 Some One
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS.
+"""
+LONG = """We went to the old house by the river, and the keeper of the house gave us permission to stay for the night. It was
+one of the houses that you see in the north of the country, and there was not much to be said for it, or for the work that
+had been done on the roof of it. In the morning we left with all that we had, and walked along the water to the next town.
+"""
+
+
+def test_common_licence_files_are_known_by_their_full_text(spark):
+    texts = {n: t for n, t in licenses.TEMPLATES if len(t) > 5000}
+    rows = [(1, "a/LICENSE", BSD.format("")), (2, "b/LICENSE", BSD.format(THIRD)), (3, "c/LICENSE", ISC), (4, "d/LICENSE", LONG), (5, "e/x", LONG * 9)]
+    rows += [(10 + k, f"f{k}/COPYING", texts[n]) for k, n in enumerate(sorted(texts))]
+    rows += [(100 + k, f"p/{k}", PROSE) for k in range(40)]
+    own = {r.doc_id: (r.license, r.origin) for r in licenses.scan(frame(spark, rows)).collect() if r.doc_id < 100}
+    want = {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "ISC"} | {10 + k: n for k, n in enumerate(sorted(texts))}
+    assert sorted(texts) == ["Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0"]
+    assert own == {i: (n, "file") for i, n in want.items()} | {4: (None, "none"), 5: (None, "none")}
+
+
 def test_repeated_rows_root_licence_and_empty_table(spark):
     rows = [(1, "LICENSE", MIT), (1, "LICENSE", MIT), (2, "/x//y.txt", PROSE), (2, "/x//y.txt", PROSE), (None, "z", "w " * 100_000)]
     got = sorted(((r.doc_id or 0, r.origin, r.from_path) for r in licenses.scan(frame(spark, rows)).collect()))
