@@ -202,14 +202,17 @@ def test_without_shared_folder_nothing_is_stored(spark, monkeypatch):
 
 def test_stored_copies_follow_the_input_and_can_be_deleted(spark, tmp_path):
     from pathlib import Path
-    from shutil import copytree
+    from shutil import copyfile
 
     import pandas as pd
     from conftest import SMALL
 
     from dailymart.workspace import Workspace
 
-    source = copytree(SMALL, tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    for file in Path(SMALL).glob("*.parquet"):  # not copytree: it copies a read-only folder's mode
+        copyfile(file, tmp_path / "in" / file.name)
+    source = tmp_path / "in"
     space = Workspace(spark, str(source))
     before = space.fact.count()
     events = pd.read_parquet(f"{SMALL}/events.parquet")
