@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity
+from dailymart.llm import decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity, urls
 from dailymart.llm.store import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.placements(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: The rules that overrule the vocabulary.
+URL_RULES = [
+    urls.Rule("org/", "allow"),
+    urls.Rule("example.org/es/", "block"),
+    urls.Rule("example.org/en/1", "block"),
+    urls.Rule("com/fr/", "allow"),
+    urls.Rule("com/de/", "block"),
+]
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the URL of every page."""
+    return urls.verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def all_queries() -> dict[str, Query]:
     queries = [
         op1_token_counts,
@@ -85,9 +100,14 @@ def all_queries() -> dict[str, Query]:
         op8_toxicity,
         op9_embeddings,
         op10_packing,
+        op11_urls,
     ]
     return {q.__name__: q for q in queries}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_licenses": licenses.sql(), "op7_sharding": sharding.sql(SHARD_BYTES)}
+    return {
+        "op3_licenses": licenses.sql(),
+        "op7_sharding": sharding.sql(SHARD_BYTES),
+        "op11_urls": urls.sql(URL_RULES),
+    }
