@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity, urls
+from dailymart.llm import conversations, decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity, urls
 from dailymart.llm.store import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,12 @@ def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a fixed rule, with their faults and cheapest repair."""
+    every = table(spark, sf_dir, "conversations")
+    return conversations.repaired(every, conversations.damaged(conversations.turns(every)), texts=False)
+
+
 def all_queries() -> dict[str, Query]:
     queries = [
         op1_token_counts,
@@ -101,6 +107,7 @@ def all_queries() -> dict[str, Query]:
         op9_embeddings,
         op10_packing,
         op11_urls,
+        op12_conversations,
     ]
     return {q.__name__: q for q in queries}
 
@@ -110,4 +117,5 @@ def all_sql() -> dict[str, str]:
         "op3_licenses": licenses.sql(),
         "op7_sharding": sharding.sql(SHARD_BYTES),
         "op11_urls": urls.sql(URL_RULES),
+        "op12_conversations": conversations.sql(),
     }
