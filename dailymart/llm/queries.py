@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dailymart.llm import conversations, decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity, urls
+from dailymart.llm import conversations, decontaminate, embeddings, hyperminhash, licenses, packing, quality, sharding, suffixes, token_counts, toxicity, urls, vector_codes
 from dailymart.llm.store import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired(every, conversations.damaged(conversations.turns(every)), texts=False)
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings, eight parts of sixteen entries each."""
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Query]:
     queries = [
         op1_token_counts,
@@ -108,6 +113,7 @@ def all_queries() -> dict[str, Query]:
         op10_packing,
         op11_urls,
         op12_conversations,
+        op13_vector_codes,
     ]
     return {q.__name__: q for q in queries}
 
@@ -118,4 +124,5 @@ def all_sql() -> dict[str, str]:
         "op7_sharding": sharding.sql(SHARD_BYTES),
         "op11_urls": urls.sql(URL_RULES),
         "op12_conversations": conversations.sql(),
+        "op13_vector_codes": vector_codes.sql(),
     }
