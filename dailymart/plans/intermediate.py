@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import avg_where, count_where, rules
-from dailymart.operators import prev_by, salted_join
+from dailymart.operators import Hot, prev_by, salted_join
 
 DAY_KEYS = ["listing_id", "date"]
 
@@ -17,26 +17,26 @@ def listing_profile(
     org: DataFrame,
     platform: DataFrame,
     how: str,
+    hot_outlets: Hot | None = None,
+    hot_platforms: Hot | None = None,
 ) -> DataFrame:
     """Listing with its outlet, organization and platform attributes (``how``: inner or left).
 
     Built once at listing grain, so the day- and order-grain tables carry out one dimension join
-    instead of four. Every platform has very many listings, so that join is salted as well. Platforms are
-    not unique: a doubled platform doubles its listings.
+    instead of four. Every platform has very many listings, so that join is salted, and so is the one by outlet if
+    an outlet has many; the hot keys are those of the listings. Outlets by organization are few: adaptive execution
+    splits what is skewed there. Platforms are not unique: a doubled platform doubles its listings.
     """
-    owned = salted_join(
-        outlet.select("outlet_id", "org_id", "outlet_name", "latitude", "longitude", "has_valid_coordinates"),
-        org.select("org_id", "org_name"),
-        ["org_id"],
-        how,
-        spread=["outlet_id"],
-    )
+    owned = outlet.select(
+        "outlet_id", "org_id", "outlet_name", "latitude", "longitude", "has_valid_coordinates"
+    ).join(org.select("org_id", "org_name"), "org_id", how)
     placed = salted_join(
         listing.select("listing_id", "listing_timestamp", "outlet_id", "platform_id"),
         owned,
         ["outlet_id"],
         how,
         spread=["listing_id"],
+        hot_from=hot_outlets,
     )
     return salted_join(
         placed,
@@ -44,15 +44,15 @@ def listing_profile(
         ["platform_id"],
         how,
         spread=["listing_id"],
-        hot_from=listing,
+        hot_from=listing if hot_platforms is None else hot_platforms,
     )
 
 
-def int_orders_enriched(orders: DataFrame, profile: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def int_orders_enriched(orders: DataFrame, profile: DataFrame, counted: DataFrame | Hot | None = None) -> DataFrame:
     """Orders with all attributes of their listing; orders without a full profile are dropped.
 
-    ``profile`` is the inner :func:`listing_profile`. ``counted`` are rows to find hot listings in: the raw
-    orders (a superset) save deduplicating twice.
+    ``profile`` is the inner :func:`listing_profile`. ``counted`` are rows to find hot listings in (the raw
+    orders, a superset, save deduplicating twice), or the hot listings.
     """
     joined = salted_join(
         orders.select("order_id", "order_date", "placed_at", "status", "listing_id"),

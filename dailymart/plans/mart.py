@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import rules
-from dailymart.operators import salted_join
+from dailymart.operators import Hot, salted_join
 from dailymart.plans.intermediate import DAY_KEYS
 
 FACT = "fct_daily_business_performance"
@@ -81,7 +81,7 @@ def fct_daily(
     profile: DataFrame,
     weather: DataFrame,
     snapshot_dates: DataFrame | None = None,
-    listing: DataFrame | None = None,
+    listing: DataFrame | Hot | None = None,
 ) -> DataFrame:
     """The 51-column fact from the staged sources.
 
@@ -89,8 +89,8 @@ def fct_daily(
     be the raw snapshot table: deduplication never removes a date.
 
     A listing has at most one folded row per date, so the profile join cannot be skewed. The weather
-    join can: one outlet may own many listings, which share its daily weather row. Hot outlets are found by
-    their listings in ``listing``, by default in the days themselves.
+    join can: one outlet may own many listings, which share its daily weather row. Hot outlets are given, or found
+    by their listings in ``listing``, by default in the days themselves.
     """
     dates = snapshots if snapshot_dates is None else snapshot_dates
     days = day_columns(on_spine(daily_measures(snapshots, outcomes, ratings, ranks), dates))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.functions import rules
+from dailymart.operators import HotKeys
 from dailymart.plans import intermediate, mart
 from dailymart.plans.staging import STAGING
 
@@ -33,6 +34,9 @@ class Models:
 
     ``store(name, df)`` may write a model and hand back the stored copy; by default every model stays a
     lazy DataFrame and Spark plans each query from the raw tables.
+
+    The joins of all models share the hot keys of the raw tables (``hot``): the first model that joins on a key has
+    them counted, in one job per table that reads the keys alone.
     """
 
     def __init__(self, raw: Mapping[str, DataFrame], store: Store = _as_is):
@@ -40,6 +44,7 @@ class Models:
         self._store = store
         self._built: dict[str, DataFrame] = {}
         self._lock = RLock()
+        self.hot = HotKeys(raw, {"listing": ["outlet_id", "platform_id"], "orders": ["listing_id"]})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
@@ -59,7 +64,7 @@ class Models:
             return intermediate.int_ratings_metrics(self["stg_ratings_agg"])
         if name == "int_orders_enriched":
             return intermediate.int_orders_enriched(
-                self["stg_orders"], self.profile("inner"), self.raw["orders"]
+                self["stg_orders"], self.profile("inner"), self.hot.of("orders", "listing_id")
             )
         if name == mart.FACT:
             return mart.fct_daily(
@@ -70,7 +75,7 @@ class Models:
                 self.profile("left"),
                 self["stg_weather"],
                 snapshot_dates=self.raw["orders_daily"],
-                listing=self["stg_listing"],
+                listing=self.hot.of("listing", "outlet_id"),
             )
         raise KeyError(name)
 
@@ -81,6 +86,8 @@ class Models:
             self["stg_org"],
             self["stg_platform"],
             how,
+            self.hot.of("listing", "outlet_id"),
+            self.hot.of("listing", "platform_id"),
         )
 
     def orders_by_status(self) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dailymart.operators import (
+    HotKeys,
     hot_keys,
     latest_per_key,
     orphan_keys,
@@ -68,6 +69,36 @@ def test_hot_keys_fill_more_than_a_fair_share(sides):
         assert len(want) <= shares
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_join_with_keys_counted_before(spark, sides, how, plan_of):
+    left, right = sides
+    for rows_, salted in ((left, True), (left.where("k is null"), how.startswith("left") and how != "left_semi"), (left.select("id", F.col("id").alias("k")), False)):
+        hot = HotKeys({"t": rows_}, {"t": ["k"]}).of("t", "k")
+        joined = salted_join(rows_, right, ["k"], how, spread=["id"], hot_from=hot)
+        assert rows(joined) == rows(rows_.join(right, "k", how).select(*joined.columns))
+        assert ("_salt" in plan_of(joined)) == salted
+
+
+def test_shared_hot_keys_are_counted_in_one_job(spark, sides):
+    left, _ = sides
+    keys = HotKeys({"t": left.withColumn("name", F.lit("x"))}, {"t": ["k", "id", "name"]})
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = {r.k: r["count"] for r in left.groupBy("k").count().collect()}
+    want = sorted((k, -(-n * shares // 600)) for k, n in counts.items() if k is not None and n * shares > 600)
+    assert rows(keys.of("t", "k").salts) == want and keys.of("t", "k").nulls == (counts[None] * shares > 600)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("again", "keys that are known")
+    try:
+        assert keys.of("t", "id").salts is None
+        name = keys.of("t", "name").salts
+        assert not tracker.getJobIdsForGroup("again")
+        assert [tuple(r) for r in name.collect()] == [("x", shares)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    nothing = HotKeys({"t": left.limit(0)}, {"t": ["k"]}).of("t", "k")
+    assert nothing.salts is None and not nothing.nulls
+
+
 def test_salted_join_deals_hot_and_null_keys(spark, sides):
     """No partition of the join holds much more than its share, though one key and NULL hold most rows."""
     left = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).when(F.col("id") % 4 == 1, F.col("id")).alias("k"), "id")
