@@ -626,6 +626,9 @@ def _source_queries() -> dict[str, str]:
             UNION ALL SELECT 'listing', 0, count(*), 'failed', 'listing: unexpected columns [''colour'']', count(*)
             FROM raw_listing""",
         "fct_refreshed": "SELECT * FROM fct",
+        "fct_two_loads": "SELECT * FROM fct",
+        "fct_late_ratings": "SELECT * FROM fct",
+        "load_repeated_id": "SELECT * FROM raw_org",
         "load_audit": " UNION ALL ".join(
             [
                 f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, count(*) AS total_rows, 'loaded' AS status,"

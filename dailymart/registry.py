@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import date
 from functools import partial, reduce
 
@@ -19,6 +20,7 @@ from dailymart.plans.staging import stg_weather
 from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.schemas import HOURLY_METRICS, LOADED_AT
+from dailymart.sinks.incremental import IncrementalMart
 from dailymart.sinks.lake import Lake
 from dailymart.sinks.loading import audit_summary, load_manifest
 from dailymart.sources.files import MANIFEST, read_typed_csv, scan_csv
@@ -362,6 +364,69 @@ def _fact_refreshed(w: Workspace) -> DataFrame:
     return lake.read("mart", FACT).drop("month")
 
 
+DIMENSIONS = ("listing", "outlet", "org", "platform")
+
+
+def _incremental(w: Workspace, name: str) -> IncrementalMart:
+    lake = Lake(w.spark, w.folder(name))
+    return IncrementalMart(lake, {t: w.raw[t] for t in DIMENSIONS}, period="week")
+
+
+def _two_loads(w: Workspace) -> DataFrame:
+    """The fact after two loads: late orders, and versions of earlier ones, are merged into the weeks they touch."""
+    mart = _incremental(w, "two_loads")
+    facts = {t: df for t, df in w.raw.items() if t not in DIMENSIONS}
+    order = F.col("order_id")
+    # Of every tenth order the version that counts comes late, and with it all orders of some listings in one week.
+    late = ((order % 10 == 0) & (F.col("status") != "pending")) | (
+        (F.col("listing_id") % 3 == 0) & F.col("placed_at").between(F.lit("2024-01-08").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz"))
+    )
+
+    def build() -> None:
+        mart.load("first", {**facts, "orders": facts["orders"].where(~late)})
+        mart.load("second", {"orders": facts["orders"].where(late)})
+
+    w.once("two loads", build)
+    return mart.fact.drop("period")
+
+
+def _late_ratings(w: Workspace) -> DataFrame:
+    """The fact after late ratings: those of one day come a load later, and one listing's are corrected."""
+    mart = _incremental(w, "late_ratings")
+    facts = {t: df for t, df in w.raw.items() if t not in DIMENSIONS}
+    ratings = facts["ratings_agg"]
+    late = F.col("date") == F.lit(date(2024, 1, 12))
+    corrected = F.col("listing_id") % 10 == 2
+    earlier = F.lit("2024-01-31").cast("timestamp_ntz")
+    wrong = ratings.where(~late).withColumns(
+        {
+            "cnt_ratings": F.when(corrected, F.col("cnt_ratings") + 3).otherwise(F.col("cnt_ratings")).cast("int"),
+            LOADED_AT: F.when(corrected, earlier).otherwise(F.col(LOADED_AT)),
+        }
+    )
+
+    def build() -> None:
+        mart.load("first", {**facts, "ratings_agg": wrong})
+        mart.load("second", {"ratings_agg": ratings.where(late | corrected)})
+
+    w.once("late ratings", build)
+    return mart.fact.drop("period")
+
+
+def _load_repeated(w: Workspace) -> DataFrame:
+    """Two loads of organizations under ids; the second one's id, given again, is refused."""
+    lake = Lake(w.spark, w.folder("load_ids"))
+
+    def load() -> None:
+        for load_id, part in (("monday", 0), ("tuesday", 1), ("tuesday", 1)):
+            rows = w.raw["org"].where(F.col("id") % 2 == part)
+            with suppress(ValueError):
+                lake.load_raw(rows.drop(LOADED_AT), "org", LOAD_TIME, replace=False, load_id=load_id)
+
+    w.once("load ids", load)
+    return lake.read_raw("org")
+
+
 def _stored_weather(w: Workspace) -> DataFrame:
     """Payloads flattened and stored in place of earlier rows, read back from storage."""
     rows, _ = flatten_hourly(_payloads(w))
@@ -394,7 +459,10 @@ def source_queries() -> dict[str, Query]:
         "load_audit": _query(_load_audit),
         "load_append": _query(_load_again),
         "load_failed_keeps_rows": _query(_load_faults),
+        "load_repeated_id": _query(_load_repeated),
         "fct_refreshed": _query(_fact_refreshed),
+        "fct_two_loads": _query(_two_loads),
+        "fct_late_ratings": _query(_late_ratings),
     }
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date, datetime
+import re
+import uuid
+from collections.abc import Callable, Collection, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from dailymart.functions import month_of
 from dailymart.schemas import LOADED_AT, RAW, TS, conform
 
 DEFAULT_LAYER = "public"
+#: Marks a load as complete; Spark does not read files that begin so.
+COMMITTED = "_COMMITTED"
 
 
 def qualified_name(model: str, layer: str | None = None) -> str:
@@ -26,11 +30,16 @@ def stamped(df: DataFrame, loaded_at: datetime) -> DataFrame:
 
 
 class Lake:
-    """Tables at ``root/<layer>/<table>/v<number>``. ``root`` must be reachable from every executor.
+    """Tables at ``root/<layer>/<table>/v<number>-<unique>``. ``root`` must be reachable from every executor.
 
-    The rows of a table are those of its highest complete version. Replacing writes the next version: until that
-    job has succeeded, and if it fails, readers find the old rows. The version before is kept for readers that
-    have already listed its files; older ones are deleted.
+    The rows of a table are those of its highest complete version, and of a version those of its complete loads:
+    every write goes to a folder of its own, ``load=<id>``, that counts once it is marked as committed, after
+    Spark's job. A write that dies leaves nothing a reader sees, and loading the same id again starts over.
+
+    Replacing writes the next version. The version before is kept for readers that have already listed its files;
+    older ones are deleted. Parted tables (one folder per month, say) are refreshed part by part: a load says which
+    parts it replaces, and of each part the latest load counts. Two
+    writers at a time never write to one folder; of their versions or parts the one with the later name counts.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -45,50 +54,150 @@ class Lake:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
-    def versions(self, layer: str, table: str) -> list[int]:
-        """Complete versions, oldest first; a job marks its folder when all of it is there."""
-        files, base = self._files(self.path(layer, table))
-        if not files.exists(base):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(base)]
-        numbers = sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())
-        return [n for n in numbers if files.exists(self._files(f"{self._version(layer, table, n)}/_SUCCESS")[1])]
+    def _names(self, path: str) -> list[str]:
+        files, base = self._files(path)
+        return sorted(s.getPath().getName() for s in files.listStatus(base)) if files.exists(base) else []
+
+    def _filled(self, path: str) -> bool:
+        return any(not n.startswith(("_", ".")) for n in self._names(path))
+
+    def _exists(self, path: str) -> bool:
+        files, where = self._files(path)
+        return files.exists(where)
+
+    def _delete(self, path: str) -> None:
+        files, where = self._files(path)
+        files.delete(where, True)
+
+    def _numbered(self, folder: str, prefix: str) -> list[str]:
+        """Names in ``folder`` that :meth:`_next` gave, in order."""
+        found = [m for n in self._names(folder) if (m := re.fullmatch(rf"{prefix}(\d+)-(\w+)", n))]
+        return [m[0] for m in sorted(found, key=lambda m: (int(m[1]), m[2]))]
+
+    def _next(self, folder: str, prefix: str) -> str:
+        """A name behind all others. Two writers may draw the same number, but never the same name."""
+        last = self._numbered(folder, prefix)[-1:]
+        number = int(last[0].removeprefix(prefix).partition("-")[0]) + 1 if last else 1
+        return f"{prefix}{number}-{uuid.uuid4().hex[:12]}"
 
-    def _version(self, layer: str, table: str, number: int) -> str:
-        return f"{self.path(layer, table)}/v{number}"
+    def versions(self, layer: str, table: str) -> list[str]:
+        """Complete versions, oldest first."""
+        base = self.path(layer, table)
+        return [v for v in self._numbered(base, "v") if self._committed(f"{base}/{v}")]
 
     def current(self, layer: str, table: str) -> str:
-        """Folder of the rows readers see (of the first version where there is none yet)."""
-        return self._version(layer, table, (self.versions(layer, table) or [1])[-1])
+        """Folder of the version readers see (of an empty first one where there is none yet)."""
+        return f"{self.path(layer, table)}/{(self.versions(layer, table) or ['v0-appended'])[-1]}"
 
-    def append(self, df: DataFrame, layer: str, table: str) -> int:
-        """Add rows and return how many; the count rides along with the write."""
-        return self._write(df, self.current(layer, table), "append")
+    def _committed(self, folder: str) -> list[str]:
+        return [n for n in self._names(folder) if n.startswith("load=") and self._exists(f"{folder}/{n}/{COMMITTED}")]
+
+    def loads(self, layer: str, table: str) -> list[str]:
+        """Ids of the committed loads that make up a table."""
+        return [n.removeprefix("load=") for n in self._committed(self.current(layer, table))]
+
+    def append(self, df: DataFrame, layer: str, table: str, load_id: str | None = None) -> int:
+        """Add rows and return how many; the count rides along with the write.
+
+        With a ``load_id`` a load that is already stored is refused (``ValueError``) and one that died is written anew.
+        """
+        folder = self.current(layer, table)
+        if load_id is None:
+            load_id = f"{uuid.uuid4().hex}"
+        elif not re.fullmatch(r"[\w.-]+", load_id):
+            raise ValueError(f"a load id is made of letters, digits, dots, dashes and underscores: {load_id!r}")
+        elif load_id in self.loads(layer, table):
+            raise ValueError(f"{layer}.{table}: load {load_id} is already stored")
+        return self._load(df, f"{folder}/load={load_id}")
 
     def replace(self, df: DataFrame, layer: str, table: str) -> int:
         """Put ``df`` in place of all rows once it is stored completely."""
-        return self._replaced(layer, table, lambda path: self._write(df, path, "overwrite"))
+        return self._replaced(layer, table, lambda version: self._load(df, f"{version}/load=all"))
 
     def _replaced(self, layer: str, table: str, write: Callable[[str], int]) -> int:
+        base = self.path(layer, table)
         versions = self.versions(layer, table)
-        rows = write(self._version(layer, table, (versions or [0])[-1] + 1))
-        for number in versions[:-1]:
-            files, old = self._files(self._version(layer, table, number))
-            files.delete(old, True)
+        rows = write(f"{base}/{self._next(base, 'v')}")
+        for old in versions[:-1]:
+            self._delete(f"{base}/{old}")
+        return rows
+
+    def _load(self, df: DataFrame, path: str) -> int:
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        self._commit(path)
+        return int(seen.get.get("rows", 0))
+
+    def _commit(self, path: str) -> None:
+        files, mark = self._files(f"{path}/{COMMITTED}")
+        files.createNewFile(mark)
+
+    def build_parts(self, df: DataFrame, layer: str, table: str, part: str, within: Sequence[str] = ()) -> int:
+        """Rebuild a parted table, one folder per value of the column ``part``; rows are ranged by it and ``within``."""
+        return self._replaced(layer, table, lambda version: self._load_parts(df, f"{version}/{self._next(version, 'load=')}", part, within))
+
+    def replace_parts(
+        self, df: DataFrame, layer: str, table: str, part: str, values: Collection[object], within: Sequence[str] = ()
+    ) -> int:
+        """Put ``df`` in place of the parts ``values`` alone; those without rows in ``df`` are empty from then on.
+
+        All rows of ``df`` must be of these parts. Files of other parts stay as they are. What the replaced parts held is
+        kept for readers that have listed it, until they are replaced again.
+        """
+        if not self.versions(layer, table):
+            return self.build_parts(df, layer, table, part, within)
+        folder = self.current(layer, table)
+        before = self._parts(folder, part)
+        path = f"{folder}/{self._next(folder, 'load=')}"
+        rows = self._load_parts(df, path, part, within, values)
+        for value in map(str, values):
+            for old in before.get(value, [])[:-1]:
+                self._delete(f"{folder}/{old}/{part}={value}")
         return rows
 
-    def _write(self, df: DataFrame, path: str, mode: str) -> int:
+    def _parts(self, folder: str, part: str) -> dict[str, list[str]]:
+        """The committed loads that hold each part, oldest first; the last one counts."""
+        found: dict[str, list[str]] = {}
+        for load in self._numbered(folder, "load="):
+            names = self._names(f"{folder}/{load}")
+            for name in names if COMMITTED in names else []:
+                if name.startswith(f"{part}="):
+                    found.setdefault(name.removeprefix(f"{part}="), []).append(load)
+        return found
+
+    def _load_parts(
+        self, df: DataFrame, path: str, part: str, within: Sequence[str], values: Collection[object] = ()
+    ) -> int:
+        arranged = df.repartitionByRange(part, *within).sortWithinPartitions(part, *within)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+        counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").partitionBy(part).parquet(path)
+        for value in values:  # also those that are empty now
+            files, where = self._files(f"{path}/{part}={value}")
+            files.mkdirs(where)
+        self._commit(path)
         return int(seen.get.get("rows", 0))
 
+    def read_parts(self, layer: str, table: str, part: str, schema: T.StructType) -> DataFrame:
+        """A parted table with its ``part`` as a column; ``schema`` are all its columns.
+
+        Folders are told to Spark, which prunes them by filters on ``part`` as usual.
+        """
+        folder = self.current(layer, table)
+        paths = [f"{folder}/{loads[-1]}/{part}={value}" for value, loads in self._parts(folder, part).items()]
+        filled = [p for p in paths if self._filled(p)]
+        if not filled:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("load", T.StringType())]))
+        return reader.option("basePath", folder).parquet(*filled).select(*schema.names)
+
     def build_fact(self, df: DataFrame, layer: str, table: str) -> int:
         """Rebuild a dated table, one folder per month.
 
         Rows are ranged by month and listing, so a month is split where it is big, and its files hold
         listings apart from each other: a filter on a listing opens few of them.
         """
-        return self._replaced(layer, table, lambda path: self._write_monthly(df, path, "static")[0])
+        return self.build_parts(df.withColumn("month", month_of("date")), layer, table, "month", ["listing_id", "date"])
 
     def refresh_fact(self, df: DataFrame, layer: str, table: str, first: date, last: date) -> int:
         """Recompute only the months from ``first`` to ``last``; other months stay untouched.
@@ -96,30 +205,30 @@ class Lake:
         ``df`` is the full lazy model. Whole months are replaced, so late rows of a month are taken along; a
         month that has no rows any more loses its old ones.
         """
-        month = month_of("date")
-        wanted = df.where(month.between(F.trunc(F.lit(first), "month"), F.lit(last)))
-        path = self.current(layer, table)
-        rows, written = self._write_monthly(wanted, path, "dynamic")
-        files, base = self._files(path)
-        for status in files.listStatus(base):
-            name = status.getPath().getName()
-            if name.startswith("month=") and str(first.replace(day=1)) <= name[6:] <= str(last) and name[6:] not in written:
-                files.delete(status.getPath(), True)
-        return rows
-
-    def _write_monthly(self, df: DataFrame, path: str, overwrite: str) -> tuple[int, set[str]]:
-        """Rows and months written."""
-        monthly = df.withColumn("month", month_of("date")).repartitionByRange("month", "listing_id")
-        arranged = monthly.sortWithinPartitions("month", "listing_id", "date")
-        seen = Observation()
-        counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col("month").cast("string")).alias("months"))
-        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-        writer.partitionBy("month").parquet(path)
-        return int(seen.get.get("rows", 0)), set(seen.get.get("months") or [])
+        begin = first.replace(day=1)
+        months = [begin]
+        while months[-1] <= last:
+            months.append((months[-1] + timedelta(days=31)).replace(day=1))
+        monthly = df.withColumn("month", month_of("date"))
+        wanted = monthly.where(F.col("month").between(F.lit(begin), F.lit(last)))
+        return self.replace_parts(wanted, layer, table, "month", months[:-1], ["listing_id", "date"])
+
+    def read_fact(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        """A dated table with its ``month``; ``schema`` without it."""
+        return self.read_parts(layer, table, "month", T.StructType([*schema.fields, T.StructField("month", T.DateType())]))
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """All rows of a table. A parted one whose columns are known is better read by :meth:`read_parts`."""
+        folder = self.current(layer, table)
+        loads = self._committed(folder)
+        parts = {n.partition("=")[0] for load in loads for n in self._names(f"{folder}/{load}") if "=" in n}
+        if parts:
+            (part,) = parts
+            held = [f"{folder}/{kept[-1]}" for value, kept in self._parts(folder, part).items() if self._filled(f"{folder}/{kept[-1]}/{part}={value}")]
+            return self.read_parts(layer, table, part, self.spark.read.parquet(held[0]).schema if held else schema or T.StructType())
+        paths = [f"{folder}/{load}" for load in loads] or [folder]
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.current(layer, table))
+        return reader.parquet(*paths)
 
     def read_raw(self, table: str) -> DataFrame:
         return self.read("raw", table, RAW[table])
@@ -132,13 +241,12 @@ class Lake:
 
     def drop(self) -> None:
         """Delete all tables and files under the root."""
-        files, base = self._files(self.root)
-        files.delete(base, True)
+        self._delete(self.root)
 
-    def load_raw(self, df: DataFrame, table: str, loaded_at: datetime, replace: bool = True) -> int:
+    def load_raw(self, df: DataFrame, table: str, loaded_at: datetime, replace: bool = True, load_id: str | None = None) -> int:
         """Stamp rows, conform them to the table and store them."""
         rows = conform(stamped(df, loaded_at), table)
-        return self.replace(rows, "raw", table) if replace else self.append(rows, "raw", table)
+        return self.replace(rows, "raw", table) if replace else self.append(rows, "raw", table, load_id)
 
 
 def register_views(models: dict[str, DataFrame]) -> None:

@@ -97,7 +97,7 @@ def test_failed_replace_keeps_rows_and_old_versions_go(spark, tmp_path):
     for _ in range(3):
         write(tmp_path / "org.csv", good)
         load_manifest(spark, str(tmp_path), lake, T0, replace=True, manifest={"org.csv": "org"})
-    assert lake.versions("raw", "org") == [2, 3]
+    assert [v.partition("-")[0] for v in lake.versions("raw", "org")] == ["v2", "v3"]
     before = lake.read_raw("org")
     write(tmp_path / "org.csv", "id,name,timestamp\nx,a,2020-01-01\n")
     audit = load_manifest(spark, str(tmp_path), lake, T0, replace=True, manifest={"org.csv": "org"})
@@ -228,10 +228,65 @@ def test_fact_table_is_partitioned_by_month(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     df = spark.sql("select explode(sequence(date'2024-01-30', date'2024-02-02')) date, 1L listing_id, 2 x")
     assert lake.build_fact(df, "mart", "f") == 4
-    assert sorted(p.name for p in (tmp_path / "mart" / "f" / "v1").glob("month=*")) == ["month=2024-01-01", "month=2024-02-01"]
+    assert sorted(p.name for p in (tmp_path / "mart" / "f").glob("v1-*/load=1-*/month=*")) == ["month=2024-01-01", "month=2024-02-01"]
     assert lake.read("mart", "f").where("month = date'2024-02-01'").count() == 2
 
 
+def test_append_counts_only_when_complete(spark, tmp_path):
+    """A load that dies leaves the old rows; the same id then starts over, and a stored id is refused."""
+    lake = Lake(spark, str(tmp_path))
+    assert lake.append(spark.range(5), "raw", "t", "monday") == 5
+    dies = spark.range(0, 100, 1, 4).select(F.when(F.col("id") > 90, F.raise_error(F.lit("died")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="died"):
+        lake.append(dies, "raw", "t", "tuesday")
+    half = tmp_path / "raw" / "t" / "v0-appended" / "load=wednesday"
+    spark.range(7).write.parquet(str(half))  # all files are there, but the writer died before it said so
+    assert lake.loads("raw", "t") == ["monday"] and lake.count("raw", "t") == 5
+    assert lake.append(spark.range(10, 13), "raw", "t", "tuesday") == 3
+    assert lake.append(spark.range(20, 21), "raw", "t", "wednesday") == 1
+    for again in ("monday", "wednesday"):
+        with pytest.raises(ValueError, match="already stored"):
+            lake.append(spark.range(1), "raw", "t", again)
+    assert sorted(r.id for r in lake.read("raw", "t").collect()) == [0, 1, 2, 3, 4, 10, 11, 12, 20]
+    with pytest.raises(ValueError, match="letters"):
+        lake.append(spark.range(1), "raw", "t", "../x")
+    lake.replace(spark.range(2), "raw", "t")
+    assert lake.loads("raw", "t") == ["all"] and lake.append(spark.range(1), "raw", "t", "monday") == 1
+
+
+def test_two_writers_do_not_touch_each_other(spark, tmp_path):
+    """Writers that draw the same number have folders of their own, and one of them counts as a whole."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    lake = Lake(spark, str(tmp_path))
+    assert len({lake._next(str(tmp_path / "t"), "v") for _ in range(50)}) == 50
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: lake.replace(spark.range(k * 1000, k * 1000 + 500, 1, 3), "raw", "t"), range(4)))
+    found = [r.id for r in lake.read("raw", "t").collect()]
+    assert sorted(found) == list(range(min(found), min(found) + 500))
+
+
+def test_parts_are_replaced_by_themselves(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    df = spark.sql("select id, cast(id % 3 as int) slot, 1 x from range(9)")
+    assert lake.build_parts(df, "raw", "p", "slot", ["id"]) == 9
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    assert lake.replace_parts(df.where("slot = 1 and id > 3").withColumn("x", F.lit(2)), "raw", "p", "slot", [1, 2]) == 2
+    now = lake.read_parts("raw", "p", "slot", df.schema)
+    assert sorted(map(tuple, now.collect())) == [(0, 0, 1), (3, 0, 1), (4, 1, 2), (6, 0, 1), (7, 1, 2)]
+    assert sorted(map(tuple, lake.read("raw", "p").select("id", "slot", "x").collect())) == sorted(map(tuple, now.collect()))
+    assert all(f.stat().st_mtime_ns == t for f, t in before.items())  # a reader of before still has its files
+    assert lake.replace_parts(df.where("slot = 1"), "raw", "p", "slot", [1]) == 3
+    (first,) = (tmp_path / "raw" / "p").glob("v1-*/load=1-*")
+    assert not (first / "slot=1").exists() and (first / "slot=0").exists()
+    assert sorted(r.id for r in lake.read_parts("raw", "p", "slot", df.schema).collect()) == [0, 1, 3, 4, 6, 7]
+    spark.range(1).withColumn("slot", F.lit(0)).write.partitionBy("slot").parquet(str(first.parent / "load=9-dead"))
+    assert lake.read_parts("raw", "p", "slot", df.schema).count() == 6  # not committed
+    empty = df.limit(0)
+    assert lake.build_parts(empty, "raw", "p", "slot") == 0
+    assert lake.read_parts("raw", "p", "slot", df.schema).collect() == []
+
+
 def test_refresh_replaces_whole_months_only(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
 

@@ -19,7 +19,10 @@ EAGER = {
     "load_failed_keeps_rows",
     "dq_stored_failures",
     "dq_rowcount_recon",
+    "load_repeated_id",
     "fct_refreshed",
+    "fct_two_loads",
+    "fct_late_ratings",
 }
 LAZY = sorted(set(registry.all_queries()) - EAGER)
 
