@@ -275,7 +275,9 @@ def _model_queries() -> dict[str, str]:
         replaced = f" REPLACE ({_doubles(*columns)})" if columns else ""
         out[name] = sql(f"SELECT *{replaced} FROM {name}")
     out["date_listing_spine"] = sql("SELECT date, listing_id FROM fact_day")
+    out["spine_text_keys"] = sql("SELECT strftime(date, '%Y-%m-%d') || '-' || listing_id AS day_key FROM fct")
     out["fct_daily"] = sql("SELECT * FROM fct")
+    out |= {f"catalog_{name}": out[name] for name in ("stg_weather", "stg_ratings_agg")}
     skewed = {
         "raw_listing": f"""
             SELECT * REPLACE (CASE WHEN id % 3 <> 0 THEN 1 WHEN id % 10 <> 0 THEN outlet_id END AS outlet_id)
@@ -526,6 +528,9 @@ def _quality_queries() -> dict[str, str]:
     bodies = {
         "dq_future_dates": f"""
             SELECT date, count(*) AS record_count FROM fct WHERE date > {AS_OF} GROUP BY date""",
+        "dq_future_dates_today": """
+            SELECT date, count(*) AS record_count FROM fct
+            WHERE date + CAST(current_date - DATE '2024-01-15' AS INTEGER) > current_date GROUP BY date""",
         "dq_rating_range_rows": """
             SELECT date, listing_id, CAST(avg_rating AS DOUBLE) AS avg_rating FROM raw_ratings_agg
             WHERE avg_rating < 0 OR avg_rating > 5""",
@@ -597,6 +602,21 @@ def _source_queries() -> dict[str, str]:
         "src_csv": """
             SELECT listing_id, order_id, if(order_id % 97 = 0, NULL, placed_at) AS placed_at, status
             FROM raw_orders""",
+        "src_csv_dates": """
+            SELECT if(listing_id % 7 IN (0, 2), NULL, date) AS date, listing_id, orders, "timestamp" FROM raw_orders_daily""",
+        "src_csv_quoted_breaks": """
+            SELECT id, if(id % 3 = 0, '"A,' || chr(10) || chr(10) || name || chr(13) || chr(10) || '"', name) AS name, "timestamp"
+            FROM raw_org""",
+        "catalog_layers": """
+            SELECT o.status, f.platform_name, count(*) AS n_orders, count(DISTINCT f.listing_id) AS n_listings,
+              CAST(sum(r.total_readings) AS BIGINT) AS n_readings
+            FROM stg_orders o JOIN fct f ON f.listing_id = o.listing_id AND f.date = o.order_date
+            LEFT JOIN int_rank_daily_avg r ON r.listing_id = o.listing_id AND r.date = o.order_date
+            GROUP BY ALL""",
+        "catalog_bucketed_days": """
+            SELECT listing_id, any_value(outlet_id) AS outlet_id, count(*) AS active_days,
+              CAST(sum(daily_orders) AS BIGINT) AS total_orders
+            FROM fct GROUP BY listing_id""",
         "src_json_flatten": f"SELECT outlet_id, datetime, {METRICS} FROM raw_weather WHERE NOT ({BROKEN})",
         "src_json_rejects": f"""
             SELECT DISTINCT outlet_id, 'arrays of unequal length' AS reason FROM raw_weather WHERE {BROKEN}""",

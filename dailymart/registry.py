@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from contextlib import suppress
 from datetime import date
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dailymart.functions import rules
+from dailymart.functions import rules, text_key
 from dailymart.operators import orphan_keys, orphans
 from dailymart.plans import reports
 from dailymart.plans.mart import FACT
@@ -20,6 +21,7 @@ from dailymart.plans.staging import stg_weather
 from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.schemas import HOURLY_METRICS, LOADED_AT
+from dailymart.sinks.catalog import Catalog, days_by_listing
 from dailymart.sinks.incremental import IncrementalMart
 from dailymart.sinks.lake import Lake
 from dailymart.sinks.loading import audit_summary, load_manifest
@@ -105,6 +107,7 @@ def model_queries() -> dict[str, Query]:
     return {name: _model(name) for name in names} | {
         "orders_by_status": _query(lambda w: w.lazy.orders_by_status()),
         "date_listing_spine": _query(lambda w: w.lazy.date_listing_spine()),
+        "spine_text_keys": _query(lambda w: w.lazy.date_listing_spine().select(text_key("date", "listing_id").alias("day_key"))),
         "fct_daily": _query(lambda w: w.lazy.fact),
         "int_orders_enriched_skewed": _query(lambda w: _skewed(w)["int_orders_enriched"]),
         "fct_daily_skewed": _query(lambda w: _skewed(w).fact),
@@ -185,6 +188,14 @@ def _hot_days(w: Workspace) -> DataFrame:
     )
 
 
+def _future_from_today(w: Workspace) -> DataFrame:
+    """Days that lie after today once the middle of the data is moved to today; no day is injected."""
+    ahead = F.datediff(F.current_date(), F.lit(date(2024, 1, 15)))
+    moved = w.fact.withColumn("date", F.date_add("date", ahead))
+    found = failing_rows(Check("moved", "no_future_dates", ("date",)), {"moved": moved})
+    return found.select(F.date_sub("date", ahead).alias("date"), "record_count")
+
+
 def _stored_failures(w: Workspace) -> DataFrame:
     """Failing rows of three checks written to ``test_results`` and counted there."""
     checks = [EXPRESSIONS[1], DUPLICATE_ORDERS, RAW_STATUS]
@@ -206,6 +217,7 @@ def quality_queries() -> dict[str, Query]:
         "dq_future_dates": _query(
             lambda w: failing_rows(Check(FACT, "no_future_dates", ("date",)), w.checked, as_of=AS_OF)
         ),
+        "dq_future_dates_today": _query(_future_from_today),
         "dq_rating_range_rows": _query(
             lambda w: failing_rows(RAW_RATING, w.lazy).select("date", "listing_id", "avg_rating")
         ),
@@ -262,7 +274,7 @@ def _coordinate_rejects(w: Workspace) -> DataFrame:
 
 def _write_csv(df: DataFrame, path: str) -> None:
     texts = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c != LOADED_AT]
-    writer = df.select(*texts).write.mode("overwrite").option("header", True)
+    writer = df.select(*texts).write.mode("overwrite").option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -427,6 +439,64 @@ def _load_repeated(w: Workspace) -> DataFrame:
     return lake.read_raw("org")
 
 
+def _catalog(w: Workspace) -> Catalog:
+    """All layers of the input under names in the catalog, those of each folder of tables under a prefix of its own."""
+    catalog = Catalog(w.spark, w.folder("catalog"), prefix=f"s{abs(zlib.crc32(w.sf_dir.encode()))}_")
+
+    def publish() -> None:
+        catalog.publish(w.raw, w.lazy, ["int_rank_daily_avg"])
+        catalog.save_bucketed(w.spark.table(catalog.name(FACT)), f"{catalog.name(FACT)}_by_listing", "listing_id", 8, ["date"])
+
+    w.once("catalog", publish)
+    return catalog
+
+
+def _catalog_layers(w: Workspace) -> DataFrame:
+    """Orders by status, of listings and days in the mart, from the layers by name in plain SQL."""
+    catalog = _catalog(w)
+    return w.spark.sql(
+        f"""SELECT o.status, f.platform_name, count(*) AS n_orders, count(DISTINCT f.listing_id) AS n_listings,
+              sum(r.total_readings) AS n_readings
+            FROM {catalog.name("stg_orders")} o JOIN {catalog.name(FACT)} f ON f.listing_id = o.listing_id AND f.date = o.order_date
+            LEFT JOIN {catalog.name("int_rank_daily_avg")} r ON r.listing_id = o.listing_id AND r.date = o.order_date
+            GROUP BY o.status, f.platform_name"""
+    )
+
+
+def _catalog_view(model: str) -> Query:
+    return _query(lambda w: w.spark.table(_catalog(w).name(model)))
+
+
+def _bucketed_days(w: Workspace) -> DataFrame:
+    """Days and orders by listing from the bucketed fact, which is not shuffled."""
+    catalog = _catalog(w)
+    return days_by_listing(w.spark.table(f"{catalog.name(FACT)}_by_listing"), w.spark.table(catalog.name("stg_listing")))
+
+
+def _csv_dates(w: Workspace) -> DataFrame:
+    """All snapshots written as CSV with some unreadable dates and some with a time, then read back by the typed scan."""
+    path = w.folder("files/snapshots_with_bad_dates.csv")
+    listing, day = F.col("listing_id"), F.col("date").cast("string")
+    texts = w.raw["orders_daily"].withColumn(
+        "date",
+        F.when(listing % 7 == 0, F.lit("no date"))
+        .when(listing % 7 == 1, F.concat(day, F.lit(" 23:59:59")))
+        .when(listing % 7 == 2, F.lit("NaT?"))
+        .otherwise(day),
+    )
+    w.once("snapshots file", lambda: _write_csv(texts, path))
+    return read_typed_csv(w.spark, path, "orders_daily").drop(LOADED_AT)
+
+
+def _csv_quoted(w: Workspace) -> DataFrame:
+    """All organizations written as CSV with line breaks, quotes and commas in their names, in several files, then read back."""
+    path = w.folder("files/org_with_breaks.csv")
+    name = F.when(F.col("id") % 3 == 0, F.concat(F.lit('"A,\n\n'), F.col("name"), F.lit('\r\n"')))
+    texts = w.raw["org"].withColumn("name", F.coalesce(name, F.col("name"))).repartition(3, "id")
+    w.once("broken lines file", lambda: _write_csv(texts, path))
+    return read_typed_csv(w.spark, path, "org").drop(LOADED_AT)
+
+
 def _stored_weather(w: Workspace) -> DataFrame:
     """Payloads flattened and stored in place of earlier rows, read back from storage."""
     rows, _ = flatten_hourly(_payloads(w))
@@ -454,11 +524,17 @@ def source_queries() -> dict[str, Query]:
             )
         ),
         "src_weather_ingest": _query(_weather_ingest),
+        "src_csv_dates": _query(_csv_dates),
+        "src_csv_quoted_breaks": _query(_csv_quoted),
         "src_csv_parts": _query(lambda w: _csv_parts(w)[0]),
         "src_csv_rejects": _query(_csv_rejects),
         "load_audit": _query(_load_audit),
         "load_append": _query(_load_again),
         "load_failed_keeps_rows": _query(_load_faults),
+        "catalog_layers": _query(_catalog_layers),
+        "catalog_stg_weather": _catalog_view("stg_weather"),
+        "catalog_stg_ratings_agg": _catalog_view("stg_ratings_agg"),
+        "catalog_bucketed_days": _query(_bucketed_days),
         "load_repeated_id": _query(_load_repeated),
         "fct_refreshed": _query(_fact_refreshed),
         "fct_two_loads": _query(_two_loads),

@@ -65,37 +65,44 @@ def _coerce(field: T.StructField) -> Column:
     return text.cast(field.dataType)
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files under ``path`` by the column names in their first line; files without a line are left out.
+def _headers(spark: SparkSession, path: str, multi_line: bool | None) -> dict[tuple[tuple[str, ...], bool], list[str]]:
+    """The files under ``path`` by the column names in their first line, and whether quotes in them hold line breaks.
 
-    Looks at the first block of each file only. One row per file reaches the driver, which lists them anyway.
+    Files without a line are left out. A line with an odd number of quotes begins or ends inside a quoted part; whether a
+    file has any is counted in one pass over the lines, unless the caller knows. Without that pass only the first
+    block of each file is looked at. One row per file reaches the driver, which lists them anyway.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
-    first = lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.groupBy("file").agg(F.min_by("value", "at").alias("line")).collect():
+    if multi_line is not None:
+        lines = lines.where("start = 0")
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2
+    numbered = lines.withColumns({"at": F.when(F.col("start") == 0, F.monotonically_increasing_id()), "odd": odd})
+    seen = numbered.groupBy("file").agg(F.min_by("value", "at").alias("line"), F.max("odd").alias("odd"))
+    found: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for row in seen.collect():
         names = tuple(name.strip() for name in next(csv.reader([row.line.lstrip("\ufeff")]), []))
-        found.setdefault(names, []).append(unquote(row.file))
+        broken = bool(row.odd) if multi_line is None else multi_line
+        found.setdefault((names, broken), []).append(unquote(row.file))
     return found
 
 
 _BROKEN = "_broken_line"
 
 
-def _scan(spark: SparkSession, path: str, table: str, multi_line: bool) -> list[tuple[DataFrame, list[T.StructField], Column]]:
+def _scan(spark: SparkSession, path: str, table: str, multi_line: bool | None) -> list[tuple[DataFrame, list[T.StructField], Column]]:
     """For each order of columns found: all fields as text, the table's fields, and whether a line has too many."""
     fields = file_columns(table)
     known = {f.name for f in fields}
     scans = []
-    by_header = _headers(spark, path)
-    for names, files in sorted(by_header.items()):
+    by_header = _headers(spark, path, multi_line)
+    for (names, broken), files in sorted(by_header.items()):
         unknown = sorted(set(names) - known)
         if unknown or len(set(names)) < len(names):
             raise ValueError(f"{table}: unexpected columns {unknown or sorted(names)} in {sorted(files)[0]}")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BROKEN)])
-        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", broken)
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN)
         # Quoted parts may hold commas; what is left of them after that separates fields.
         bare = F.regexp_replace(F.col(_BROKEN), '"[^"]*"', "")
@@ -116,7 +123,7 @@ def _nothing(spark: SparkSession, fields: list[T.StructField]) -> DataFrame:
     return spark.createDataFrame([], T.StructType(fields))
 
 
-def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """The readable rows of :func:`read_typed_csv`, and ``(line, reason)`` of lines with more fields than columns."""
     scans = _scan(spark, path, table, multi_line)
     rows = [_typed(text.where(~surplus), fields) for text, fields, surplus in scans]
@@ -128,13 +135,14 @@ def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool = Fals
     return reduce(DataFrame.unionByName, rows, _nothing(spark, file_columns(table))), reduce(DataFrame.union, rejects, nothing)
 
 
-def read_typed_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
     """Read one CSV file, or a folder of part files, with the declared types of ``table``.
 
     Columns are matched by the header names of each file, so parts may order them differently; a column the
     file lacks is NULL, a column the table lacks is an error. A line with fewer fields ends in NULLs, one with
-    more fails the read (see :func:`scan_csv` to set such lines aside). Types are never inferred. ``multi_line``
-    allows line breaks inside quotes, at the price of reading each file in one task.
+    more fails the read (see :func:`scan_csv` to set such lines aside). Types are never inferred. Files with
+    line breaks inside quotes are read whole, each in one task; ``multi_line`` tells for all files whether they have any,
+    which saves the pass that looks for them.
     """
     problem = F.concat(F.lit(f"{table}: more fields than columns: "), F.col(_BROKEN))
     rows = [

@@ -88,6 +88,20 @@ def test_csv_parts_in_different_orders_and_surplus_fields(spark, tmp_path):
         scan_csv(spark, str(folder), "orders")
 
 
+def test_csv_line_breaks_inside_quotes(spark, tmp_path):
+    """Only files with such breaks are read whole; the others may be split."""
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder / "a.csv", 'id,name,timestamp\n1,"two\nlines, ""quoted""\r\n",2020-01-01\n2,plain,2020-01-02\n')
+    write(folder / "b.csv", 'name,id\n"one, line",3\nfour,4\n')
+    found = read_typed_csv(spark, str(folder), "org")
+    assert sorted((r.id, r.name) for r in found.collect()) == [(1, 'two\nlines, "quoted"\r\n'), (2, "plain"), (3, "one, line"), (4, "four")]
+    assert read_typed_csv(spark, str(folder / "b.csv"), "org", multi_line=False).count() == 2
+    write(folder / "c.csv", 'id,name\n5,"x\ny",7\n')
+    rows, rejects = scan_csv(spark, str(folder), "org")
+    assert rows.count() == 4 and rejects.count() == 1
+
+
 MANIFEST = {"org.csv": "org", "platform.csv": "platform", "outlet.csv": "outlet", "listing.csv": "listing"}
 
 

@@ -19,6 +19,12 @@ EAGER = {
     "load_failed_keeps_rows",
     "dq_stored_failures",
     "dq_rowcount_recon",
+    "src_csv_dates",
+    "src_csv_quoted_breaks",
+    "catalog_layers",
+    "catalog_stg_weather",
+    "catalog_stg_ratings_agg",
+    "catalog_bucketed_days",
     "load_repeated_id",
     "fct_refreshed",
     "fct_two_loads",
@@ -97,3 +103,28 @@ def test_star_joins_scan_each_raw_table_once_or_twice(spark, small):
         plan = frame._jdf.queryExecution().sparkPlan().toString()
         scans = {name: plan.count(f"{folder}/{name}]") for name in stored}
         assert max(scans.values()) <= 2 and 3 < sum(scans.values()) <= len(stored) + 1, scans
+
+
+def test_bucketed_fact_is_not_shuffled(spark, small, plan_of):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = registry.all_queries()["catalog_bucketed_days"](spark, SMALL)
+        plan = days._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan[plan.index("SortMergeJoin") :]
+    fact_side = join[: join.index("by_listing")]
+    assert "Exchange" not in plan[: plan.index("SortMergeJoin")] and "Exchange" not in fact_side
+
+
+def test_views_give_the_staging_models(spark, small):
+    from dailymart.sinks.catalog import VIEWS
+
+    registry.all_queries()["catalog_layers"](spark, SMALL)
+    catalog = registry._catalog(small)
+    for model in VIEWS:
+        ours, view = small.lazy[model], spark.table(catalog.name(model))
+        assert ours.columns == view.columns
+        assert sorted(map(str, ours.collect())) == sorted(map(str, view.collect())), model
+    assert spark.catalog.tableExists(catalog.name("stg_orders")) and catalog.name("stg_orders").endswith("staging.stg_orders")
