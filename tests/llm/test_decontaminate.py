@@ -59,12 +59,9 @@ def test_equals_whole_text_alignment(spark, monkeypatch, case):
     want = {}
     for d, text in enumerate(texts):
         for i, item in enumerate(items):
-            grams = {tuple(item[k : k + 4]) for k in range(len(item) - 3)} or {tuple(item)}
-            size = min(4, len(item))
-            if grams & {tuple(text[k : k + size]) for k in range(len(text) - size + 1)}:
-                score = brute_score(item, text)
-                if score >= 0.5:
-                    want[d, i] = score
+            score = brute_score(item, text)
+            if score >= 0.5 and (len(item) >= dc.SHORT or " ".join(item) in " ".join(text)):
+                want[d, i] = score
     assert {k: r.score for k, r in got.items()} == pytest.approx(want)
     for (d, i), r in got.items():
         assert brute_score(items[i], texts[d][r.first_word : r.last_word + 1]) == pytest.approx(r.score)
@@ -118,3 +115,42 @@ def test_edited_copies_beside_many_literal_ones_are_found(spark):
     want = {i: brute_score(item, t) for i, t in enumerate(texts)}
     assert got == pytest.approx({i: s for i, s in want.items() if s >= 0.5})
     assert got.keys() == set(range(261))
+
+
+def test_no_copy_at_the_threshold_is_lost(spark):
+    """Copies edited at random until they score a half or little more: all pairs of texts are aligned for comparison."""
+    rng = random.Random(4)
+    few = WORDS[:40]  # few words, so that seeds are common and many are left out
+    items = [rng.choices(few if k % 2 else WORDS, k=rng.randint(8, 25)) for k in range(24)] + [rng.sample(WORDS, 15)]
+    texts = [[w if k % 4 else "x" for k, w in enumerate(items[-1], 1)], [x for w in items[0] for x in (w, "y")]]
+    for k in range(700):
+        item = items[k % len(items)]
+        copy = edited(rng, item, rng.uniform(0.2, 0.75))
+        texts.append(rng.choices(few, k=rng.randint(0, 30)) + copy + rng.choices(few, k=rng.randint(0, 30)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in dc.matches(docs.repartition(4), bench).collect()}
+    want = {(d, i): s for d, t in enumerate(texts) for i, w in enumerate(items) if (s := brute_score(w, t)) >= 0.5}
+    assert got == pytest.approx(want)
+    assert sum(0.5 <= s < 0.6 for s in want.values()) > 60 and (0, len(items) - 1) in got and (1, 0) in got
+
+
+def test_seeds_left_out_are_the_common_ones():
+    seeds = dc.Seeds(["a b c d e f g h i j", "a b c"])
+    pairs = seeds.counted()
+    common = dc._pairs(dc.word_hashes([b"c", b"d", b"e"]))[0]
+    seeds.rare(pairs, np.isin(pairs, common) * 7 + 1)
+    _, item, place, _ = seeds.tables[dc.PAIRS]
+    # Ten words: three may go. Two begin pairs of c, d and e; of the others, which are equal, the first goes.
+    assert set(item) == {0} and set(place) == {1, 4, 5, 6, 7, 8}
+    assert len(seeds.tables[3][0]) == 1
+
+
+def test_very_long_text(spark):
+    words = [WORDS[i * 7 % 2000] for i in range(200_000)]
+    item = random.Random(3).sample(WORDS, 30)
+    words[150_000:150_000] = item
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    (found,) = dc.matches(docs, bench).collect()
+    assert tuple(found) == (1, 5, 1.0, 150_000, 150_029)
