@@ -6,23 +6,29 @@ model minimises
 
     prior * risk+(positives) + max(0, risk-(unlabelled) - prior * risk-(positives)),
 
-the unbiased risk of learning without negatives, kept from going below zero (where it does, the step goes
-the other way). Negatives are never trained on; the class prior is estimated from the labelled rows.
+the unbiased risk of learning without negatives, kept from going below zero (where it would,
+nothing but the positives' own risk is left). Negatives are never trained on.
 
-The unlabelled side is the whole corpus: every task runs steps over its own rows, batch by batch, from the
-common weights, the weights are averaged by rows, and this repeats for ``ROUNDS`` rounds. The positives are
-a bounded sample, ``POSITIVES`` labelled rows by hash of the id, sent to every task.
+The unlabelled side is the whole corpus: in each of at most ``ROUNDS`` rounds every task sums loss and gradient over its rows,
+the sums are added up, and the driver takes one step (L-BFGS, a shorter one where the risk did not fall). So the model is that of one
+computer with all rows, however they are dealt to tasks. The positives are a bounded sample, ``POSITIVES`` labelled rows by
+hash of the id.
+
+The class prior is estimated from positives and unlabelled text alone, unless it is given: a first model tells one half of
+the positives from the unlabelled, and of all its thresholds that at least ``SEEN`` of the other half pass, the least ratio of the
+share of the unlabelled that passes to that of the other half is the prior. Where hardly any negative passes, all that pass are
+positives. A single positive is no half; the prior is then 0.5.
 
 Defined cases: null and empty texts are described by zeros and scored like any other. Labels of null,
 ids without a text and texts without a label are fine; ids with both labels count as unlabelled. Without
-positives to learn from every score is the prior (0.5 without labels). Rows with a null doc_id are scored
+positives to learn from every score is next to 0 (0.5 without any label). Rows with a null doc_id are scored
 and count as not held out. Other columns, lang and source among them, play no part.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -34,11 +40,14 @@ from dailymart.llm.store import fold, saved
 from dailymart.llm.texts import byte_texts, chunks, words_of
 
 POSITIVES = 4096
-ROUNDS = 3
-STEPS = 60
+ROUNDS = 25
+#: Rounds of the first model, which tells positives from unlabelled text.
+FIRST_ROUNDS = 10
 BATCH = 8192
-L2 = 1e-4
-RATE = 0.05
+L2 = 1e-3
+#: Share of the positives above a threshold that the prior is estimated at, and bins of scores.
+SEEN = 0.5
+BINS = 1000
 
 #: Kinds of bytes: bytes of one kind are interchangeable to the classifier.
 KINDS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n\r", ".", ",;:", "!?", "%&*$#@+=^~", "|\\/_", "<>()[]{}", "\"'`-"]
@@ -116,49 +125,104 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.standard(table) @ self.weights, -30, 30)))
 
 
-def descend(weights: np.ndarray, positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int) -> np.ndarray:
-    """Adam steps on the non-negative risk with logistic loss; rows are standardised."""
-    first, second = np.zeros_like(weights), np.zeros_like(weights)
-    for step in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(positives @ weights, -30, 30)))
-        u = 1 / (1 + np.exp(-np.clip(unlabelled @ weights, -30, 30)))
-        negative = -np.log1p(-np.minimum(u, 1 - 1e-7)).mean() + prior * np.log1p(-np.minimum(p, 1 - 1e-7)).mean()
-        as_positive = prior * positives.T @ (p - 1) / len(positives)
-        as_negative = unlabelled.T @ u / len(unlabelled) - prior * positives.T @ p / len(positives)
-        gradient = as_positive + as_negative if negative >= 0 else -as_negative
-        gradient[:-1] += L2 * weights[:-1]
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        weights = weights - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return weights
+def _softplus(z: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, z)
 
 
-def _trained(model: Model, positives: np.ndarray, prior: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's weights, times its rows."""
-    weights, rows = model.weights, 0
-    for batch in _full(batches):
-        table = model.standard(batch)
-        weights = descend(weights, positives, table, prior, STEPS)
-        rows += len(table)
-    if rows:
-        index = np.arange(len(weights), dtype=np.int32)
-        yield pa.record_batch([index, weights * rows, np.full(len(weights), float(rows))], ["index", "value", "rows"])
+def _sums(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over a task's rows: their number, the loss of calling them negative, and its gradient."""
+    total = np.zeros(len(model.weights) + 2)
+    for batch in batches:
+        for low in range(0, batch.num_rows, BATCH):
+            table = model.standard(_matrix(batch.slice(low, BATCH).column("features")))
+            z = table @ model.weights
+            total += [len(z), _softplus(z).sum(), *(table.T @ (1 / (1 + np.exp(-np.clip(z, -30, 30)))))]
+    yield pa.record_batch([np.arange(len(total), dtype=np.int32), total], ["index", "value"])
+
+
+def _unlabelled(table: DataFrame, model: Model) -> tuple[float, np.ndarray]:
+    """Mean loss and gradient of calling all rows negative."""
+    sums = table.mapInArrow(partial(_sums, model), "index int, value double").groupBy("index").agg(F.sum("value").alias("value"))
+    total = np.zeros(len(model.weights) + 2)
+    for index, value in sums.collect():
+        total[index] = value
+    return total[1] / total[0], total[2:] / total[0]
+
+
+def risk(weights: np.ndarray, positives: np.ndarray, unlabelled: tuple[float, np.ndarray], prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk with its gradient; ``unlabelled``: mean loss and gradient of calling them negative."""
+    z = positives @ weights
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    value = prior * _softplus(-z).mean()
+    gradient = prior * positives.T @ (p - 1) / len(positives)
+    negative = unlabelled[0] - prior * _softplus(z).mean()
+    if negative > 0:
+        value += negative
+        gradient = gradient + unlabelled[1] - prior * positives.T @ p / len(positives)
+    held = np.append(weights[:-1], 0.0)
+    return value + L2 / 2 * held @ held, gradient + L2 * held
+
+
+def told_apart(weights: np.ndarray, positives: np.ndarray, unlabelled: tuple[float, np.ndarray], _: float) -> tuple[float, np.ndarray]:
+    """The risk of taking unlabelled rows for negatives, both sides weighing the same."""
+    z = positives @ weights
+    held = np.append(weights[:-1], 0.0)
+    gradient = positives.T @ (1 / (1 + np.exp(-np.clip(z, -30, 30))) - 1) / len(positives) + unlabelled[1]
+    return _softplus(-z).mean() + unlabelled[0] + L2 / 2 * held @ held, gradient + L2 * held
+
+
+def minimise(start: np.ndarray, evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], rounds: int, memory: int = 10) -> np.ndarray:
+    """L-BFGS with halved steps; every call of ``evaluate`` counts as a round."""
+    weights = start
+    value, gradient = evaluate(weights)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    left = rounds - 1
+    while left > 0 and np.abs(gradient).max() > 1e-6:
+        direction = gradient.copy()
+        marks = []
+        for s, y in reversed(steps):
+            marks.append(s @ direction / (s @ y))
+            direction -= marks[-1] * y
+        if steps:
+            s, y = steps[-1]
+            direction *= (s @ y) / (y @ y)
+        else:
+            direction /= max(1.0, np.abs(gradient).sum())
+        for (s, y), mark in zip(steps, reversed(marks)):
+            direction += (mark - y @ direction / (s @ y)) * s
+        size = 1.0
+        while left > 0:
+            left -= 1
+            trial = weights - size * direction
+            after, slope = evaluate(trial)
+            if after <= value - 1e-4 * size * gradient @ direction:
+                break
+            size /= 2
+        else:
+            return weights
+        if (trial - weights) @ (slope - gradient) > 1e-12:
+            steps = [*steps, (trial - weights, slope - gradient)][-memory:]
+        weights, value, gradient = trial, after, slope
+    return weights
 
 
-def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Features in tables of ``BATCH`` rows; a short last one is joined to the one before."""
-    held: list[np.ndarray] = []
-    size = 0
+def _binned(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(BINS, np.int64)
     for batch in batches:
-        for low in range(0, batch.num_rows, BATCH):
-            held.append(_matrix(batch.slice(low, BATCH).column("features")))
-            size += len(held[-1])
-            if size >= 2 * BATCH:
-                table = np.concatenate(held)
-                yield table[:BATCH]
-                held, size = [table[BATCH:]], size - BATCH
-    if size:
-        yield np.concatenate(held)
+        if batch.num_rows:
+            counts += _bins(model, _matrix(batch.column("features")))
+    yield pa.record_batch([np.arange(BINS, dtype=np.int32), counts], ["bin", "rows"])
+
+
+def _bins(model: Model, table: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum((model.scores(table) * BINS).astype(int), BINS - 1), minlength=BINS)
+
+
+def least_ratio(positives: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The prior, from how many of either fall into each bin of scores."""
+    passed = np.cumsum(positives[::-1]) / positives.sum()
+    other = np.cumsum(unlabelled[::-1]) / unlabelled.sum()
+    return float(np.clip((other / np.maximum(passed, 1e-9))[passed >= SEEN].min(), 0.0, 1.0))
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,15 +243,17 @@ def _agreed(labels: DataFrame, label: str) -> DataFrame:
     return both.where("label = other").select("doc_id", "label")
 
 
-def fit(table: DataFrame, labels: DataFrame) -> tuple[Model, float]:
-    """The model and the estimated prior from stored features and the labels ``doc_id, label`` to learn from."""
+def fit(table: DataFrame, labels: DataFrame, prior: float | None = None) -> tuple[Model, float]:
+    """The model and the prior from stored features and the labels ``doc_id, label`` to learn from; ``prior`` may be given."""
     stored = saved(labels.join(table.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
-    labelled, positive = stored.agg(F.count("*"), F.sum("label")).first()
-    prior = (positive or 0) / labelled if labelled else 0.5
     model = Model(FEATURES)
     chosen = stored.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES).select("doc_id")
-    sample = table.join(F.broadcast(chosen), "doc_id").select("features").limit(2 * POSITIVES).toArrow()
-    if not sample.num_rows or not 0 < prior < 1:
+    # Of rows that share an id the first by their features.
+    sample = table.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"))
+    sample = sample.orderBy("doc_id").select("features").toArrow()
+    if not sample.num_rows:
+        # No positive is known: none is expected where there are labels.
+        prior = 0.5 if prior is None and stored.isEmpty() else prior or 0.0
         model.weights[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
         return model, prior
     moments = table.mapInArrow(_moments, "index int, total double, square double, rows double")
@@ -195,12 +261,28 @@ def fit(table: DataFrame, labels: DataFrame) -> tuple[Model, float]:
     total, square, rows = (np.array([r[c] for r in sums]) for c in ("total", "square", "rows"))
     model.centre = total / rows
     model.scale = np.sqrt(np.maximum(square / rows - model.centre**2, 1e-6))
-    positives = model.standard(_matrix(sample.column("features").combine_chunks()))
-    model.weights[-1] = np.log(prior / (1 - prior))
-    for _ in range(ROUNDS):
-        trained = table.mapInArrow(partial(_trained, model, positives, prior), "index int, value double, rows double")
-        mean = trained.groupBy("index").agg((F.sum("value") / F.sum("rows")).alias("weight")).orderBy("index").collect()
-        model.weights = np.array([r.weight for r in mean])
+    plain = _matrix(sample.column("features").combine_chunks())
+    positives = model.standard(plain)
+
+    def trained(start: np.ndarray, loss: Callable, known: np.ndarray, rounds: int) -> np.ndarray:
+        def evaluate(weights: np.ndarray) -> tuple[float, np.ndarray]:
+            model.weights = weights
+            return loss(weights, known, _unlabelled(table, model), prior)
+
+        return minimise(start, evaluate, rounds)
+
+    if prior is None and len(plain) == 1:
+        prior = 0.5
+    if prior is None:
+        model.weights = trained(np.zeros(FEATURES + 1), told_apart, positives[::2], FIRST_ROUNDS)
+        binned = table.mapInArrow(partial(_binned, model), "bin int, rows long").groupBy("bin").agg(F.sum("rows").alias("rows"))
+        unlabelled = np.zeros(BINS)
+        for number, rows in binned.collect():
+            unlabelled[number] = rows
+        prior = least_ratio(_bins(model, plain[1::2]), unlabelled)
+    start = np.zeros(FEATURES + 1)
+    start[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
+    model.weights = trained(start, risk, positives, ROUNDS)
     return model, prior
 
 
@@ -211,13 +293,13 @@ def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             yield pa.record_batch([batch.column("doc_id"), scores], ["doc_id", "score"])
 
 
-def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row; ``labels``: doc_id and quality.
+def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, prior: float | None = None) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row; ``labels``: doc_id and quality. ``prior``: see :func:`fit`.
 
     Rows whose fold is 0 are held out: their labels are not learnt from.
     """
     table = saved(described(docs), "features")
-    model, _ = fit(table, _agreed(labels, "quality").where(fold() != 0))
+    model, _ = fit(table, _agreed(labels, "quality").where(fold() != 0), prior)
     rows = table.mapInArrow(partial(_scored, model), "doc_id long, score double")
     return rows.select(
         "doc_id",

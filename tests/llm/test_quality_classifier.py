@@ -54,21 +54,57 @@ def test_nulls_conflicts_and_empty_tables(spark):
     assert quality.accepted(docs, labels.limit(0)).count() == 6
 
 
-def test_steps_follow_the_gradient_of_the_risk():
-    rng = np.random.default_rng(0)
-    positives = np.hstack([rng.normal(1, 1, (200, 3)), np.ones((200, 1))])
-    unlabelled = np.vstack([np.hstack([rng.normal(1, 1, (300, 3)), np.ones((300, 1))]), np.hstack([rng.normal(-2, 1, (100, 3)), np.ones((100, 1))])])
+def clouds(rng, n, share, apart=3.0):
+    """Rows around two centres, ``share`` of them around the first."""
+    first = rng.random(n) < share
+    return np.hstack([rng.normal(np.where(first, apart, -apart)[:, None] / 2, 1, (n, 3)), np.ones((n, 1))]), first
+
+
+def plain_risk(w, positives, unlabelled, prior):
+    soft = lambda x: np.log1p(np.exp(x))
+    negative = soft(unlabelled @ w).mean() - prior * soft(positives @ w).mean()
+    return prior * soft(-(positives @ w)).mean() + max(0.0, negative) + quality.L2 / 2 * (w[:-1] ** 2).sum()
 
-    def risk(w, prior=0.75):
-        soft = lambda x: np.log1p(np.exp(x))
-        negative = soft(unlabelled @ w).mean() - prior * soft(positives @ w).mean()
-        return prior * soft(-(positives @ w)).mean() + max(0.0, negative)
 
-    start = np.zeros(4)
-    end = quality.descend(start, positives, unlabelled, 0.75, 200)
-    assert risk(end) < 0.6 * risk(start)
+def called_negative(w, unlabelled):
+    z = unlabelled @ w
+    return np.log1p(np.exp(z)).mean(), unlabelled.T @ (1 / (1 + np.exp(-z))) / len(z)
+
+
+def test_risk_and_gradient():
+    rng = np.random.default_rng(0)
+    (positives, _), (unlabelled, _) = clouds(rng, 200, 1.0), clouds(rng, 400, 0.75)
+    for k in range(6):
+        w, prior = rng.normal(size=4) * (1 + 2 * (k % 2)), (0.75, 0.99)[k % 2]
+        value, gradient = quality.risk(w, positives, called_negative(w, unlabelled), prior)
+        assert value == pytest.approx(plain_risk(w, positives, unlabelled, prior))
+        steps = np.eye(4) * 1e-6
+        slope = [(plain_risk(w + s, positives, unlabelled, prior) - plain_risk(w - s, positives, unlabelled, prior)) / 2e-6 for s in steps]
+        assert gradient == pytest.approx(slope, abs=1e-5)
+
+
+def test_training_finds_the_negatives_without_their_labels():
+    rng = np.random.default_rng(1)
+    (positives, _), (unlabelled, first) = clouds(rng, 200, 1.0), clouds(rng, 2000, 0.75)
+    evaluate = lambda w: quality.risk(w, positives, called_negative(w, unlabelled), 0.75)
+    end = quality.minimise(np.zeros(4), evaluate, quality.ROUNDS)
     scores = 1 / (1 + np.exp(-(unlabelled @ end)))
-    assert scores[:300].mean() > 0.8 and scores[300:].mean() < 0.3
+    assert ((scores > 0.5) == first).mean() > 0.97
+    assert all(evaluate(end)[0] <= evaluate(end + d)[0] + 1e-4 for d in rng.normal(size=(50, 4)) * 0.05)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.9])
+def test_prior_is_found_from_positives_and_unlabelled(share):
+    rng = np.random.default_rng(2)
+    (positives, _), (unlabelled, _) = clouds(rng, 2000, 1.0), clouds(rng, 20_000, share)
+    bins = lambda t: np.bincount((1 / (1 + np.exp(-t[:, 0])) * quality.BINS).astype(int), minlength=quality.BINS)
+    assert quality.least_ratio(bins(positives), bins(unlabelled)) == pytest.approx(share, abs=0.06)
+
+
+def test_scores_do_not_depend_on_the_partitions(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    one, eight = ({r.doc_id: r.score for r in quality.scores(docs.repartition(n), labels).collect()} for n in (1, 8))
+    assert max(abs(one[i] - eight[i]) for i in one) < 1e-6
 
 
 def test_descriptions():
