@@ -85,7 +85,7 @@ def test_risk_and_gradient():
 
 def test_training_finds_the_negatives_without_their_labels():
     rng = np.random.default_rng(1)
-    (positives, _), (unlabelled, first) = clouds(rng, 200, 1.0), clouds(rng, 2000, 0.75)
+    (positives, _), (unlabelled, first) = clouds(rng, 3000, 1.0), clouds(rng, 6000, 0.75)
     evaluate = lambda w: quality.risk(w, positives, called_negative(w, unlabelled), 0.75)
     end = quality.minimise(np.zeros(4), evaluate, quality.ROUNDS)
     scores = 1 / (1 + np.exp(-(unlabelled @ end)))
