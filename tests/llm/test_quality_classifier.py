@@ -96,7 +96,7 @@ def test_training_finds_the_negatives_without_their_labels():
 @pytest.mark.parametrize("share", [0.2, 0.5, 0.9])
 def test_prior_is_found_from_positives_and_unlabelled(share):
     rng = np.random.default_rng(2)
-    (positives, _), (unlabelled, _) = clouds(rng, 2000, 1.0), clouds(rng, 20_000, share)
+    (positives, _), (unlabelled, _) = clouds(rng, 40_000, 1.0), clouds(rng, 80_000, share)
     bins = lambda t: np.bincount((1 / (1 + np.exp(-t[:, 0])) * quality.BINS).astype(int), minlength=quality.BINS)
     assert quality.least_ratio(bins(positives), bins(unlabelled)) == pytest.approx(share, abs=0.06)
 
