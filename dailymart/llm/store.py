@@ -43,14 +43,30 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_stored: dict[str, list[str]] = {}
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to a new folder of the shared one and read it back."""
+    """Write ``df`` as Parquet to a new folder of the shared one and read it back; :func:`clear` deletes it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> int:
+    """Delete all tables this application has stored so far and return how many.
+
+    For callers that have written their results: a result not yet written reads these tables.
+    """
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 def matching(big: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``big`` whose ``on`` columns are among ``keys`` (distinct, stored).
 

@@ -140,15 +140,15 @@ def _outside(ends: np.ndarray, spans: np.ndarray) -> int:
     return int((np.searchsorted(filled[:, 1], begins, "right") >= np.searchsorted(filled[:, 0], ends, "left")).sum())
 
 
-def section_tokens(docs: DataFrame, path: str, pattern: str, rule: str = "most") -> DataFrame:
+def section_tokens(docs: DataFrame, path: str, pattern: str, rule: str = "most", spans: str | None = None) -> DataFrame:
     """``SECTIONS``: one row for each section of each row of ``docs``.
 
-    Sections are the lines of ``text``, or the disjoint, ordered spans of characters in a column
-    ``spans array<struct<begin, end>>`` if ``docs`` has one. ``path`` holds a vocabulary as base64 byte
+    Sections are the lines of ``text``, or the disjoint, ordered spans of characters in the column
+    ``spans`` names (``array<struct<begin, end>>``). ``path`` holds a vocabulary as base64 byte
     strings and ranks, ``pattern`` splits texts into words.
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    spans = "spans" in docs.columns
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(["spans"] if spans else []))
-    return rows.mapInArrow(partial(_counted, path, pattern, rule, spans), SECTIONS)
+    given = [] if spans is None else [F.col(spans).alias("spans")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *given)
+    return rows.mapInArrow(partial(_counted, path, pattern, rule, spans is not None), SECTIONS)

@@ -94,12 +94,15 @@ def test_given_spans_nulls_long_texts_and_empty_tables(spark):
     spans = "array<struct<begin:long,end:long>>"
     rows = [(1, "Title here\nbody text", [(0, 5), (11, 99)]), (None, None, [(0, 3)]), (2, "plain\nlines", None), (2, "again", [])]
     docs = spark.createDataFrame(rows, f"doc_id long, text string, spans {spans}")
-    got = [(r.doc_id, r.section, r.first_char, r.last_char) for r in tc.section_tokens(docs, PATH, public_tokenizers.PATTERN).collect()]
+    got = [(r.doc_id, r.section, r.first_char, r.last_char) for r in tc.section_tokens(docs, PATH, public_tokenizers.PATTERN, spans="spans").collect()]
     assert sorted(got, key=str) == sorted([(1, 0, 0, 5), (1, 1, 11, 20), (None, 0, 0, 0), (2, 0, 0, 6), (2, 1, 6, 11)], key=str)
     long_ = spark.createDataFrame([(7, "x" * 200_000 + "\n" + "word " * 50_000), (8, None)], "doc_id long, text string")
     found = tc.section_tokens(long_, PATH, public_tokenizers.PATTERN).orderBy("doc_id", "section").collect()
     assert [(r.doc_id, r.first_char, r.last_char) for r in found] == [(7, 0, 200_001), (7, 200_001, 450_001), (8, 0, 0)]
     assert found[2].n_tokens == 0 and found[0].n_tokens + found[1].n_tokens == found[0].document_tokens
     assert tc.section_tokens(docs.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
+    # A column that happens to be called spans is no matter.
+    other = docs.withColumn("spans", F.lit("x")).where("doc_id = 1")
+    assert tc.section_tokens(other, PATH, public_tokenizers.PATTERN).count() == 2
     with pytest.raises(ValueError):
         tc.section_tokens(docs, PATH, public_tokenizers.PATTERN, "any")
