@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailymart.operators import orphan_keys
+from dailymart.quality.presence import Source, key_counts, key_domains, key_type
 from dailymart.sinks.lake import Lake
 
 ROW_KINDS = ("not_null", "expression", "range")
@@ -126,6 +127,44 @@ def _counted_failures(check: Check, models: Mapping[str, DataFrame], as_of: date
     return counted.select(F.lit(check.name).alias("check_name"), "n_failures")
 
 
+def _sources(check: Check) -> list[Source]:
+    """The checked column and, for references, the parent's key."""
+    child = (check.model, check.columns[0])
+    return [child] if check.parent is None else [child, check.parent]
+
+
+def _counted_keys(models: Mapping[str, DataFrame], checks: list[Check]) -> tuple[list[DataFrame], list[Check]]:
+    """(check_name, n_failures) of uniqueness and reference checks on single keys, from one aggregate per type of key.
+
+    Second come the checks this cannot answer: of composite keys and of domains with keys of different types.
+    """
+    single = [c for c in checks if c.kind == "relationships" or (c.kind == "unique" and len(c.columns) == 1)]
+    by_type: dict[str | None, list[list[Source]]] = {}
+    for domain in key_domains(map(_sources, single)):
+        by_type.setdefault(key_type(models, domain), []).append(domain)
+    counted, answered = [], []
+    for kind, domains in by_type.items():
+        if kind is None:
+            continue
+        place = {source: (d, i) for d, domain in enumerate(domains) for i, source in enumerate(domain)}
+        group = [c for c in single if _sources(c)[0] in place]
+        failures = []
+        for check in group:
+            child, *parent = [place[s] for s in _sources(check)]
+            if parent:
+                # Of a column that refers to itself every key is present.
+                n = f"coalesce(sum(CASE WHEN domain = {child[0]} AND n_{parent[0][1]} = 0 THEN n_{child[1]} END), 0)"
+            else:
+                n = f"count_if(domain = {child[0]} AND n_{child[1]} > 1)"
+            failures.append(n)
+        once = key_counts(models, domains, kind).selectExpr(*[f"{n} AS c{i}" for i, n in enumerate(failures)])
+        counted.append(
+            once.selectExpr(_inline(f"struct({_text(c.name)} AS check_name, c{i} AS n_failures)" for i, c in enumerate(group)))
+        )
+        answered += group
+    return counted, [c for c in checks if c not in answered]
+
+
 def _status(n: Column) -> Column:
     failed = F.col("error_above").isNotNull() & (n > F.col("error_above"))
     return F.when(failed, "error").when(n > F.col("warn_above"), "warn").otherwise("pass")
@@ -145,15 +184,17 @@ def run_checks(
 ) -> DataFrame:
     """One row per check: check_name, model, kind, severity, n_failures, status.
 
-    Row checks of a model share one aggregate, accepted-value checks another; uniqueness and
-    references take one aggregation each. The result is a single lazy DataFrame.
+    Row checks of a model share one aggregate, accepted-value checks another; uniqueness and references of
+    single keys share one over all models, composite keys take one each. The result is a single lazy DataFrame.
     """
     checks = list(checks)
     by_model: dict[str, list[Check]] = {}
     for check in checks:
         by_model.setdefault(check.model, []).append(check)
 
-    counted: list[DataFrame] = []
+    keyed = [c for c in checks if c.kind not in (*ROW_KINDS, "accepted_values")]
+    counted, one_by_one = _counted_keys(models, keyed)
+    counted += [_counted_failures(c, models, as_of) for c in one_by_one]
     for model, group in by_model.items():
         rows = [c for c in group if c.kind in ROW_KINDS]
         values = [c for c in group if c.kind == "accepted_values"]
@@ -161,7 +202,6 @@ def run_checks(
             counted.append(_counted_rows(models[model], rows))
         if values:
             counted.append(_counted_values(models[model], values))
-        counted += [_counted_failures(c, models, as_of) for c in group if c not in rows and c not in values]
 
     declared = counted[0].sparkSession.range(1).selectExpr(_inline(map(_declared, checks)))
     results = reduce(DataFrame.unionByName, counted)

@@ -9,8 +9,10 @@ from decimal import Decimal as D
 import pytest
 
 from dailymart.plans.mart import FACT
-from dailymart.quality import CATALOG, Check, QualityError, failing_rows, profiles, require_passed, run_checks, store_failures
+from dailymart.quality import CATALOG, Check, QualityError, failing_rows, key_presence, profiles, require_passed, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, FUTURE_DATES, RATING_RANGE, TEMPERATURE_RANGE
+from dailymart.quality.checks import _counted_keys
+from dailymart.quality.presence import key_domains, key_type
 from dailymart.schemas import RAW
 from dailymart.sinks.lake import Lake
 
@@ -142,3 +144,63 @@ def test_fact_checks_share_one_scan(small, plan_of):
     fact_checks = [c for c in CATALOG if c.model == FACT and c.kind in ("not_null", "range", "expression")]
     assert len(fact_checks) == 10
     assert plan_of(run_checks(small.checked, fact_checks)).count("Scan parquet") <= 2
+
+
+def test_single_keys_are_counted_in_one_aggregate(spark, plan_of):
+    """References along a chain and to itself, several children of a parent, nulls and repeated parents."""
+    models = {
+        "a": spark.createDataFrame([(1, 2), (2, None), (2, 9), (None, 1)], "k int, up int"),
+        "b": spark.createDataFrame([(1, 2), (7, 2), (7, 3), (None, None)], "k long, c int"),
+        "c": spark.createDataFrame([("x", 2), ("x", 4), (None, 4)], "s string, c short"),
+    }
+    checks = [
+        Check("a", "unique", ("k",)),
+        Check("a", "relationships", ("up",), parent=("a", "k")),
+        Check("a", "relationships", ("k",), parent=("a", "k"), label="itself"),
+        Check("b", "relationships", ("k",), parent=("a", "k")),
+        Check("b", "relationships", ("c",), parent=("c", "c")),
+        Check("c", "unique", ("s",)),
+        Check("c", "unique", ("c",)),
+        Check("b", "unique", ("k", "c")),
+        Check("c", "relationships", ("s",), parent=("b", "c"), label="text to number"),
+    ]
+    found = {r.check_name: r.n_failures for r in run_checks(models, [c for c in checks if c.label != "text to number"]).collect()}
+    assert found == {
+        "unique_a_k": 1,
+        "relationships_a_up": 1,
+        "itself": 0,
+        "relationships_b_k": 2,
+        "relationships_b_c": 1,
+        "unique_c_s": 1,
+        "unique_c_c": 1,
+        "unique_b_k_c": 0,
+    }
+    for check in checks[:-2]:
+        rows = failing_rows(check, models)
+        listed = sum(r.n_rows for r in rows.collect()) if check.kind == "relationships" else rows.count()
+        assert listed == found[check.name], check.name
+    # Keys of different types have no common aggregate.
+    assert key_domains([[("a", "k"), ("b", "k")], [("c", "c")], [("b", "k"), ("d", "k")]]) == [
+        [("c", "c")],
+        [("a", "k"), ("b", "k"), ("d", "k")],
+    ]
+    assert key_type(models, [("c", "s"), ("b", "c")]) is None
+    with pytest.raises(TypeError, match="different types"):
+        key_presence(models, {"s": ("c", "s"), "k": ("a", "k")})
+    empty = {m: df.limit(0) for m, df in models.items()}
+    assert {r.n_failures for r in run_checks(empty, checks[:-1]).collect()} == {0}
+
+
+def test_keys_of_the_catalog_take_one_shuffle(small):
+    single = [c for c in CATALOG if c.kind == "relationships" or (c.kind == "unique" and len(c.columns) == 1)]
+    assert len(single) == 14
+    counted, rest = _counted_keys(small.checked, single)
+    assert len(counted) == 1 and rest == []
+    plan = counted[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_presence_counts_rows_by_source(spark):
+    models = {"a": spark.createDataFrame([(1,), (1,), (None,)], "k int"), "b": spark.createDataFrame([(1,), (5,)], "k long")}
+    found = key_presence(models, {"left": ("a", "k"), "right": ("b", "k")})
+    assert sorted(map(tuple, found.collect())) == [(1, 2, 1), (5, 0, 1)]
