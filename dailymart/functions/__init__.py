@@ -4,7 +4,9 @@ from dailymart.functions.exprs import (
     count_where,
     domain_order,
     exact_avg,
+    exact_ratio,
     mean,
+    mean_ratio,
     month_of,
     pct,
     safe_corr,
@@ -18,7 +20,9 @@ __all__ = [
     "count_where",
     "domain_order",
     "exact_avg",
+    "exact_ratio",
     "mean",
+    "mean_ratio",
     "month_of",
     "pct",
     "safe_corr",

@@ -42,7 +42,12 @@ def exact_avg(c: Column | str, digits: int, where: Column | None = None) -> Colu
     c = _column(c)
     if where is not None:
         c = F.when(where, c)
-    quotient = F.sum(c).cast(_SUM) / F.nullif(F.count(c), F.lit(0)).cast(_COUNT)
+    return exact_ratio(F.sum(c), F.count(c), digits)
+
+
+def exact_ratio(total: Column, count: Column, digits: int) -> Column:
+    """An exact sum over its count, rounded once to ``digits``; NULL over no values."""
+    quotient = total.cast(_SUM) / F.nullif(count, F.lit(0)).cast(_COUNT)
     return F.round(quotient, digits).cast(T.DecimalType(18, digits))
 
 
@@ -53,7 +58,12 @@ def avg_where(c: Column | str, predicate: Column, digits: int) -> Column:
 def mean(c: Column | str) -> Column:
     """Unrounded average as a double: exact sum over exact count, so row order cannot change it."""
     c = _column(c)
-    return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
+    return mean_ratio(F.sum(c), F.count(c))
+
+
+def mean_ratio(total: Column, count: Column) -> Column:
+    """An exact sum over its count as a double; NULL over no values."""
+    return total.cast("double") / F.nullif(count, F.lit(0)).cast("double")
 
 
 def pct(part: Column, whole: Column, digits: int) -> Column:

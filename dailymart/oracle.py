@@ -323,6 +323,19 @@ def _domain(column: str, *order: str) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(order)) + " END"
 
 
+#: Reports that are registered a second time, over the rollups.
+ROLLED_UP = [
+    "rpt02_top_listings",
+    "rpt03_platform_comparison",
+    "rpt07_top_organizations",
+    "rpt08_monthly_trend",
+    "rpt10_worst_listings",
+    "rpt16_daily_summary",
+    "rpt19_top_outlets",
+    "rpt24_platform_outlets",
+]
+
+
 def _report_queries() -> dict[str, str]:
     ranges = "CASE WHEN avg_temperature < 10 THEN '{}' WHEN avg_temperature < 20 THEN '{}' ELSE '{}' END"
     daily = f"""{plain_mean("avg_rating")} AS avg_rating, {plain_mean("avg_temperature")} AS avg_temp"""
@@ -349,6 +362,10 @@ def _report_queries() -> dict[str, str]:
                    {FAILURE}, {average("avg_rating", 2)} AS avg_rating_score, {UPTIME},
                    row_number() OVER (ORDER BY {_domain("rating_category", "Excellent", "Good", "Average", "Poor", "No Ratings")}) AS position
             FROM fct GROUP BY rating_category""",
+        "rpt04_unrated_share": f"""
+            SELECT CAST(sum(daily_orders) FILTER (WHERE rating_category = 'No Ratings') AS BIGINT) AS unrated_orders, {ORDERS},
+                   {rounded("100.0 * sum(daily_orders) FILTER (WHERE rating_category = 'No Ratings') / sum(daily_orders)", 1)} AS unrated_pct
+            FROM fct""",
         "rpt05_weather_impact": f"""
             SELECT temperature_category, count(*) AS num_days, {average("daily_orders", 2)} AS avg_daily_orders,
                    {average("avg_temperature", 1)} AS avg_temp, {FAILURE},
@@ -448,6 +465,17 @@ def _report_queries() -> dict[str, str]:
                    {plain_mean("avg_rating")} AS avg_rating, {plain_mean("avg_rank")} AS avg_rank
             FROM fct GROUP BY platform_name""",
     }
+    bodies |= {f"rollup_{name}": bodies[name] for name in ROLLED_UP}
+    busy = "FILTER (WHERE daily_orders > 0)"
+    bodies["rollup_refreshed"] = f"""
+        SELECT CAST(date_trunc('month', date) AS DATE) AS month, listing_id, outlet_id, outlet_name, org_name, platform_name,
+               CAST(sum(daily_orders) AS BIGINT) AS sum_orders,
+               CAST(sum(failed_orders) {busy} AS BIGINT) AS sum_busy_failed,
+               {rounded("sum(order_failure_rate)", 6)} AS sum_failure, count(order_failure_rate) AS count_failure,
+               {rounded(f"sum(uptime_percentage) {busy}", 6)} AS sum_busy_uptime, count(uptime_percentage) {busy} AS count_busy_uptime,
+               {rounded(f"sum(avg_rating){RATED}", 6)} AS sum_rated, count(avg_rating){RATED} AS count_rated,
+               {rounded("sum(avg_rank)", 6)} AS sum_rank, count(avg_rank) AS count_rank
+        FROM fct GROUP BY ALL"""
     # Sums of doubles depend on row order; add them up as decimals with two digits, which they are.
     for column in ("avg_rating", "avg_temperature", "avg_rank"):
         exact = f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE) / CAST(count({column}) AS DOUBLE)"
@@ -526,6 +554,14 @@ def _quality_queries() -> dict[str, str]:
     }
     out = {name: check_results(checks) for name, checks in kinds.items()}
     bodies = {
+        "dq_key_presence": """
+            SELECT key, count(*) FILTER (WHERE source = 1) AS listing_rows, count(*) FILTER (WHERE source = 2) AS orders_rows,
+                   count(*) FILTER (WHERE source = 3) AS ratings_agg_rows, count(*) FILTER (WHERE source = 4) AS rank_rows,
+                   count(*) FILTER (WHERE source = 5) AS fact_rows
+            FROM (SELECT id AS key, 1 AS source FROM raw_listing UNION ALL SELECT listing_id, 2 FROM raw_orders
+                  UNION ALL SELECT listing_id, 3 FROM raw_ratings_agg UNION ALL SELECT listing_id, 4 FROM raw_rank
+                  UNION ALL SELECT listing_id, 5 FROM fct)
+            WHERE key IS NOT NULL GROUP BY key""",
         "dq_future_dates": f"""
             SELECT date, count(*) AS record_count FROM fct WHERE date > {AS_OF} GROUP BY date""",
         "dq_future_dates_today": """

@@ -14,6 +14,7 @@ from dailymart.functions import (
     domain_order,
     exact_avg,
     mean,
+    mean_ratio,
     month_of,
     pct,
     rules,
@@ -101,6 +102,13 @@ def rating_impact(fact: DataFrame) -> DataFrame:
     )
 
 
+def unrated_share(fact: DataFrame) -> DataFrame:
+    """Orders on days without a rating and their share of all orders."""
+    unrated = F.coalesce(F.col("rating_category") == "No Ratings", F.lit(True))
+    once = fact.agg(F.sum(F.when(unrated, F.col("daily_orders")).otherwise(0)).alias("unrated_orders"), _orders())
+    return once.withColumn("unrated_pct", pct(F.col("unrated_orders"), F.col("total_orders"), 1))
+
+
 def weather_impact(fact: DataFrame) -> DataFrame:
     return (
         fact.where(F.col("temperature_category") != "Unknown")
@@ -264,34 +272,42 @@ def correlation_matrix(fact: DataFrame) -> DataFrame:
     return usable.agg(*[safe_corr(x, y, 3).alias(name) for name, (x, y) in pairs.items()])
 
 
-def daily_summary(fact: DataFrame, since: date | None = None) -> DataFrame:
-    """Per date: active listings, orders, mean rating and temperature, newest first.
+#: Means of the daily summary, by column of the fact.
+DAY_MEANS = {"avg_rating": "avg_rating", "avg_temperature": "avg_temp"}
+
+
+def day_parts(fact: DataFrame) -> DataFrame:
+    """Per date and range of listing ids: the listings as one bitmap, sums and counts. Parts of a date can be merged.
 
-    Listings are counted exactly as set bits: rows of a date and a range of ids are merged into one bitmap by
-    every map task, so the shuffle carries short bitmaps, not (date, listing) pairs. Ids of 0 and more.
+    Rows of a date and a range are merged into one bitmap by every map task, so the shuffle carries short bitmaps,
+    not (date, listing) pairs.
     """
-    rows = fact if since is None else _since(fact, since)
-    means = {"avg_rating": "avg_rating", "avg_temperature": "avg_temp"}
-    parts = rows.groupBy("date", F.bitmap_bucket_number("listing_id").alias("range")).agg(
+    return fact.groupBy("date", F.bitmap_bucket_number("listing_id").alias("range")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("listing_id")).alias("listings"),
         _orders(),
-        *[F.sum(c).alias(f"sum_{c}") for c in means],
-        *[F.count(c).alias(f"count_{c}") for c in means],
+        *[F.sum(c).alias(f"sum_{c}") for c in DAY_MEANS],
+        *[F.count(c).alias(f"count_{c}") for c in DAY_MEANS],
     )
+
+
+def merged_days(parts: DataFrame) -> DataFrame:
+    """The daily summary from :func:`day_parts`, one part per date and range."""
     return (
         parts.groupBy("date")
         .agg(
             F.sum(F.bitmap_count("listings")).alias("active_listings"),
             F.sum("total_orders").alias("total_orders"),
-            *[
-                (F.sum(f"sum_{c}").cast("double") / F.nullif(F.sum(f"count_{c}"), F.lit(0)).cast("double")).alias(name)
-                for c, name in means.items()
-            ],
+            *[mean_ratio(F.sum(f"sum_{c}"), F.sum(f"count_{c}")).alias(name) for c, name in DAY_MEANS.items()],
         )
         .orderBy(F.col("date").desc())
     )
 
 
+def daily_summary(fact: DataFrame, since: date | None = None) -> DataFrame:
+    """Per date: active listings (counted exactly, as set bits), orders, mean rating and temperature, newest first."""
+    return merged_days(day_parts(fact if since is None else _since(fact, since)))
+
+
 def orders_by_date(fact: DataFrame, since: date = date(2023, 1, 1)) -> DataFrame:
     """The shorter daily overview, oldest first."""
     return daily_summary(fact, since).drop("active_listings").orderBy("date")

@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 
 from dailymart.functions import rules, text_key
 from dailymart.operators import orphan_keys, orphans
-from dailymart.plans import reports
+from dailymart.plans import reports, rollup
 from dailymart.plans.mart import FACT
 from dailymart.plans.models import Models, failure_rates_by_listing
+from dailymart.plans.rollup import Rollup
 from dailymart.plans.staging import stg_weather
-from dailymart.quality import CATALOG, Check, failing_rows, profiles, run_checks, store_failures
+from dailymart.quality import CATALOG, Check, failing_rows, key_presence, profiles, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.schemas import HOURLY_METRICS, LOADED_AT
 from dailymart.sinks.catalog import Catalog, days_by_listing
@@ -57,14 +58,14 @@ def _on_fact(report: Callable[[DataFrame], DataFrame]) -> Query:
     return _query(lambda w: report(w.fact))
 
 
-def _ordered_on_fact(report: Callable[[DataFrame], DataFrame]) -> Query:
+def _placed(report: DataFrame) -> DataFrame:
     """A report of few rows with each row's place in its order, so that the order is compared as well."""
+    placed = report.withColumn("at", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("at")).cast("bigint")).drop("at")
 
-    def build(w: Workspace) -> DataFrame:
-        placed = report(w.fact).withColumn("at", F.monotonically_increasing_id())
-        return placed.withColumn("position", F.row_number().over(Window.orderBy("at")).cast("bigint")).drop("at")
 
-    return _query(build)
+def _ordered_on_fact(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return _query(lambda w: _placed(report(w.fact)))
 
 
 def _skewed(w: Workspace) -> Models:
@@ -132,6 +133,7 @@ def report_queries() -> dict[str, Query]:
         "rpt02_top_listings": _on_fact(reports.top_listings),
         "rpt03_platform_comparison": _ordered_on_fact(reports.platform_comparison),
         "rpt04_rating_impact": _ordered_on_fact(reports.rating_impact),
+        "rpt04_unrated_share": _on_fact(reports.unrated_share),
         "rpt05_weather_impact": _ordered_on_fact(reports.weather_impact),
         "rpt06_availability_impact": _ordered_on_fact(reports.availability_impact),
         "rpt07_top_organizations": _on_fact(reports.top_organizations),
@@ -158,6 +160,45 @@ def report_queries() -> dict[str, Query]:
     }
 
 
+def _rollup(w: Workspace) -> Rollup:
+    rollups = Rollup(Lake(w.spark, w.folder("rollups")), w.fact.schema)
+    w.once("rollups", lambda: rollups.build(w.fact))
+    return rollups
+
+
+def _on_months(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return _query(lambda w: report(_rollup(w).listing_months))
+
+
+def _rollup_refreshed(w: Workspace) -> DataFrame:
+    """Months of listings summed up without the orders of the first half of January, which then come in."""
+    rollups = Rollup(Lake(w.spark, w.folder("rollups_refreshed")), w.fact.schema)
+
+    def build() -> None:
+        rollups.build(Models({**w.raw, "orders": w.raw["orders"].where(F.col("placed_at") >= F.lit("2024-01-16").cast("timestamp_ntz"))}).fact)
+        rollups.refresh(w.fact, [date(2023, 12, 5), date(2024, 1, 3)])
+
+    w.once("refreshed rollups", build)
+    return rollups.listing_months.select(
+        *rollup.KEYS, "sum_orders", "sum_busy_failed", *[f"{n}_{m}" for m in ("failure", "busy_uptime", "rated", "rank") for n in ("sum", "count")]
+    )
+
+
+def rollup_queries() -> dict[str, Query]:
+    """The reports that add up, from the rollups instead of the fact."""
+    return {
+        "rollup_rpt02_top_listings": _on_months(rollup.top_listings),
+        "rollup_rpt03_platform_comparison": _on_months(lambda months: _placed(rollup.platform_comparison(months))),
+        "rollup_rpt07_top_organizations": _on_months(rollup.top_organizations),
+        "rollup_rpt08_monthly_trend": _on_months(lambda months: _placed(rollup.monthly_trend(months))),
+        "rollup_rpt10_worst_listings": _on_months(partial(rollup.worst_listings, failed_above=20)),
+        "rollup_rpt16_daily_summary": _query(lambda w: reports.merged_days(_rollup(w).day_parts)),
+        "rollup_rpt19_top_outlets": _on_months(rollup.top_outlets),
+        "rollup_rpt24_platform_outlets": _on_months(rollup.platform_outlets),
+        "rollup_refreshed": _query(_rollup_refreshed),
+    }
+
+
 def _checks(select: Callable[[Check], bool]) -> Query:
     chosen = [c for c in CATALOG if select(c)]
     return _query(lambda w: run_checks(w.checked, chosen, as_of=AS_OF))
@@ -203,6 +244,13 @@ def _stored_failures(w: Workspace) -> DataFrame:
     return reports.layer_row_counts({c.name: w.results.read("test_results", c.name) for c in checks})
 
 
+def _listing_keys(w: Workspace) -> DataFrame:
+    """In how many rows of each source a listing occurs."""
+    columns = {"raw_listing": "id", "raw_orders": "listing_id", "raw_ratings_agg": "listing_id", "raw_rank": "listing_id", FACT: "listing_id"}
+    names = {m: "fact_rows" if m == FACT else m.removeprefix("raw_") + "_rows" for m in columns}
+    return key_presence(w.checked, {names[m]: (m, c) for m, c in columns.items()})
+
+
 def quality_queries() -> dict[str, Query]:
     return {
         "dq_not_null": _checks(lambda c: c.kind == "not_null" and not c.where),
@@ -214,6 +262,7 @@ def quality_queries() -> dict[str, Query]:
         "dq_expression_severity": _checks(lambda c: c.kind == "expression"),
         "dq_ranges": _checks(lambda c: c.kind == "range"),
         "dq_all_checks": _checks(lambda c: True),
+        "dq_key_presence": _query(_listing_keys),
         "dq_future_dates": _query(
             lambda w: failing_rows(Check(FACT, "no_future_dates", ("date",)), w.checked, as_of=AS_OF)
         ),
@@ -543,4 +592,4 @@ def source_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return {**model_queries(), **report_queries(), **quality_queries(), **source_queries()}
+    return {**model_queries(), **report_queries(), **rollup_queries(), **quality_queries(), **source_queries()}
