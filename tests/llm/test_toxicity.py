@@ -92,15 +92,66 @@ def test_copies_come_as_swaps_that_lead_to_the_same_penalty():
     """What a text sends for its copies does not grow with its length, and the changes are those of whole copies."""
     swap = tx.swaps()
     texts = ["muslims and jews met " + " ".join(f"w{i}" for i in range(20_000)), "a gay person and a straight one", "old women, Old men", "", None]
-    batch = pa.record_batch([pa.array([0, 1, 0, 1, 0], pa.int32()), pa.array(texts)], ["label", "text"])
+    ids = pa.array(range(5), pa.int64())
+    batch = pa.record_batch([ids, ids, pa.array([0, 1, 0, 1, 0], pa.int32()), pa.array(texts)], ["doc_id", "key", "label", "text"])
     out = pa.Table.from_batches(tx._sampled(swap, iter([batch])))
     assert out.nbytes < 1.1 * out.column("features").nbytes
     sets = [tx.words_of(t) for t in texts]
     features = np.unique([f for w in [*swap, *(o for others in swap.values() for o in others)] for f in tx.features_of(w)])
     changes, times = tx._changes(out.column("swapped").to_pylist(), swap, features)
-    dense = lambda words: tx._dense([np.frombuffer(tx._hashes(words), "<i4")], features)[0]
+    dense = lambda words: tx._dense([tx._hashes(words)], features)[0]
     want = sorted(tuple(dense(v) - dense(w)) for w in sets for v in tx.variants(w, swap))
     assert len(want) and sorted(map(tuple, np.repeat(changes, times, axis=0))) == want
     table, labels = np.random.default_rng(1).random((4, len(features))), np.array([0, 1, 0, 1])
     once, whole = tx.train(table, labels, changes, times=times), tx.train(table, labels, np.array(want))
     assert once[0] == pytest.approx(whole[0], abs=1e-2) and np.allclose(once[1], whole[1], atol=1e-2)
+
+
+def test_what_reaches_the_driver_does_not_grow_with_texts():
+    """Of each text the kept features and how often it has them, as counted from the whole text."""
+    words = [{b"trash", b"trashed", b"fine"}, {f"w{i}".encode() for i in range(50_000)} | {b"trash"}, set()]
+    features = np.unique(tx.features_of(b"trash") + tx.features_of(b"idiot")).astype(np.int64)
+    ids = pa.array(range(3), pa.int64())
+    rows = [tx._hashes(w) for w in words]
+    batch = pa.record_batch(
+        [ids, ids, pa.array([1, 0, 0], pa.int32()), pa.array(rows, pa.list_(pa.int32())), pa.array([b""] * 3)],
+        ["doc_id", "key", "label", "features", "swapped"],
+    )
+    (out,) = tx._cut(features, iter([batch]))
+    assert out.nbytes < 500
+    table = np.zeros((3, len(features)))
+    for k, (places, times) in enumerate(zip(out.column("places").to_pylist(), out.column("times").to_pylist())):
+        table[k, np.frombuffer(places, "<i2")] = np.frombuffer(times, "<i4")
+    assert np.array_equal(table, tx._dense(rows, features)) and table.sum() > 3
+
+
+def test_features_are_counted_over_rows(spark):
+    rows = spark.createDataFrame([(1, [5, 5, 7]), (0, [5, 7]), (1, [5]), (0, []), (1, [9, 9, 9])], "label int, features array<int>")
+    assert [tuple(r) for r in tx._counted(rows).collect()] == [(5, 2, 1)]
+    chi = spark.createDataFrame([(20, 30)], "a long, b long").select(tx._chi_square(50, 150)).first()[0]
+    assert chi == pytest.approx(200 * (20 * 120 - 30 * 30) ** 2 / (50 * 150 * 50 * 150))
+
+
+def test_exact_test_and_discovery_rate():
+    assert tx.exact_p(3, 0, 3, 3) == pytest.approx(0.1)  # 1 / 20, twice
+    assert tx.exact_p(8, 2, 10, 10) == pytest.approx(2 * (45 * 45 + 10 * 10 + 1) / 184_756)
+    assert tx.exact_p(5, 5, 10, 10) == 1.0 and tx.exact_p(0, 0, 4, 6) == 1.0
+    p = np.array([0.5, 0.001, 0.03, 0.02, 0.9])
+    assert tx.significant(p, 5) == 3 and tx.significant(p, 1000) == 0 and tx.significant(np.array([]), 0) == 0
+
+
+def test_scores_do_not_depend_on_partitions_or_repeated_rows(biased):
+    _, docs, labels = biased
+    learnt = labels.withColumnRenamed("toxic", "label")
+    models = [tx.fit(d, learnt) for d in (docs.repartition(1), docs.repartition(7), docs.union(docs).repartition(4))]
+    assert models[0].bias == models[1].bias == models[2].bias
+    assert models[0].weights == models[1].weights == models[2].weights
+
+
+def test_small_tables_are_learnt_from(spark):
+    """A few hundred labelled rows. Of the six held-out toxic texts two hold no insult at all; the others are found."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = tx.scores(docs, labels).where("held_out").join(labels.where("toxic IS NOT NULL"), "doc_id").collect()
+    assert sum(r.predicted for r in held if r.toxic == 1) >= 4
+    assert sum(r.predicted for r in held if r.toxic == 0) <= 1
