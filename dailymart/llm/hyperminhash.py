@@ -9,8 +9,9 @@ buckets as permutations, not as a partition of the shingles, short texts fill ev
 2. ``ROWS`` registers in a row make a band; texts sharing a band meet in a bucket. At the threshold 0.8
    a pair misses all 24 bands with probability 3e-6, at 0.85 with 2e-8.
 3. In each bucket all compare with one centre, the member that meets most others. Pairs whose estimate
-   from all registers, corrected for accidental equality, is four standard errors below the threshold
-   stop here; the rest is verified on full sets.
+   from all registers, corrected for accidental equality, is six standard errors below the threshold
+   stop here (a pair at the threshold with probability 4e-8 at 0.8, 6e-8 at 0.85); the rest is verified
+   on full sets.
 4. Buckets whose members are then still in several components are compared in full, in blocks of bounded
    size, across components only. No pairs are shuffled: blocks hold registers first, then the full sets
    of the members that passed. So no link between components is lost to the choice of centres.
@@ -139,7 +140,7 @@ def estimates(one: np.ndarray, many: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def lowest_estimate(similarity: float) -> float:
-    return similarity - 4 * (similarity * (1 - similarity) / REGISTERS) ** 0.5
+    return similarity - 6 * (similarity * (1 - similarity) / REGISTERS) ** 0.5
 
 
 def linked(shared: np.ndarray, n_one: np.ndarray, n_other: np.ndarray, percent: int) -> np.ndarray:
