@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from threading import RLock
 
 from pyspark.sql import DataFrame
@@ -43,17 +44,23 @@ class Models:
         self.raw = raw
         self._store = store
         self._built: dict[str, DataFrame] = {}
-        self._lock = RLock()
+        # A lock for each model: those that do not build on each other are stored at the same time.
+        self._locks = {name: RLock() for name in LAYERS}
         self.hot = HotKeys(raw, {"listing": ["outlet_id", "platform_id"], "orders": ["listing_id"]})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self.raw[name.removeprefix("raw_")]
-        with self._lock:
+        with self._locks[name]:
             if name not in self._built:
                 self._built[name] = self._store(name, self._build(name))
             return self._built[name]
 
+    def build(self, names: Iterable[str], at_once: int = 4) -> None:
+        """Build (and store) models, several at a time."""
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(self.__getitem__, sorted(set(names))))
+
     def _build(self, name: str) -> DataFrame:
         if name in STAGING:
             model, source = STAGING[name]

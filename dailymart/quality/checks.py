@@ -7,12 +7,12 @@ dates for the future-date check.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailymart.operators import orphan_keys
@@ -21,6 +21,9 @@ from dailymart.sinks.lake import Lake
 
 ROW_KINDS = ("not_null", "expression", "range")
 
+#: Failing rows counted while a model was written, by the condition of such a row.
+Measured = Callable[[str], Mapping[str, int]]
+
 
 @dataclass(frozen=True)
 class Check:
@@ -70,6 +73,18 @@ def _violation(check: Check) -> str:
     return bad if check.where is None else f"({check.where}) AND {bad}"
 
 
+def row_measures(checks: Iterable[Check], model: str) -> dict[str, Column]:
+    """Counts of failing rows of a model, by the condition of such a row, to be taken along when the model is written."""
+    own = [c for c in checks if c.model == model and c.kind in (*ROW_KINDS, "accepted_values")]
+    return {bad: F.expr(f"count_if({bad})") for bad in map(_violation, own)}
+
+
+def _measured_rows(spark: SparkSession, known: Mapping[str, int]) -> DataFrame:
+    """(check_name, n_failures) without a scan: ``known`` are failures by check."""
+    rows = (f"struct({_text(name)} AS check_name, bigint({n}) AS n_failures)" for name, n in known.items())
+    return spark.range(1).selectExpr(_inline(rows))
+
+
 def _today(as_of: date | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
@@ -180,12 +195,18 @@ def _declared(check: Check) -> str:
 
 
 def run_checks(
-    models: Mapping[str, DataFrame], checks: Iterable[Check], as_of: date | None = None
+    models: Mapping[str, DataFrame],
+    checks: Iterable[Check],
+    as_of: date | None = None,
+    measured: Measured | None = None,
 ) -> DataFrame:
     """One row per check: check_name, model, kind, severity, n_failures, status.
 
     Row checks of a model share one aggregate, accepted-value checks another; uniqueness and references of
     single keys share one over all models, composite keys take one each. The result is a single lazy DataFrame.
+
+    ``measured(model)`` gives what :func:`row_measures` counted when the model was written: those row checks are
+    not counted again, and accepted values are only looked up where a row fails.
     """
     checks = list(checks)
     by_model: dict[str, list[Check]] = {}
@@ -195,15 +216,25 @@ def run_checks(
     keyed = [c for c in checks if c.kind not in (*ROW_KINDS, "accepted_values")]
     counted, one_by_one = _counted_keys(models, keyed)
     counted += [_counted_failures(c, models, as_of) for c in one_by_one]
+    known: dict[str, int] = {}
     for model, group in by_model.items():
         rows = [c for c in group if c.kind in ROW_KINDS]
         values = [c for c in group if c.kind == "accepted_values"]
+        if measured is not None and (rows or values):
+            failing = measured(model)
+            known |= {c.name: failing[_violation(c)] for c in rows if _violation(c) in failing}
+            known |= {c.name: 0 for c in values if failing.get(_violation(c)) == 0}
+            rows, values = ([c for c in part if c.name not in known] for part in (rows, values))
         if rows:
             counted.append(_counted_rows(models[model], rows))
         if values:
             counted.append(_counted_values(models[model], values))
 
-    declared = counted[0].sparkSession.range(1).selectExpr(_inline(map(_declared, checks)))
+    session = models[checks[0].model].sparkSession
+    if known:
+        counted.append(_measured_rows(session, known))
+
+    declared = session.range(1).selectExpr(_inline(map(_declared, checks)))
     results = reduce(DataFrame.unionByName, counted)
     joined = declared.join(results, "check_name", "left").withColumn(
         "n_failures", F.coalesce("n_failures", F.lit(0).cast("bigint"))

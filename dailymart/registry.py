@@ -19,7 +19,7 @@ from dailymart.plans.mart import FACT
 from dailymart.plans.models import Models, failure_rates_by_listing
 from dailymart.plans.rollup import Rollup
 from dailymart.plans.staging import stg_weather
-from dailymart.quality import CATALOG, Check, failing_rows, key_presence, profiles, run_checks, store_failures
+from dailymart.quality import CATALOG, Check, failing_rows, key_presence, profiles, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.schemas import HOURLY_METRICS, LOADED_AT
 from dailymart.sinks.catalog import Catalog, days_by_listing
@@ -201,7 +201,7 @@ def rollup_queries() -> dict[str, Query]:
 
 def _checks(select: Callable[[Check], bool]) -> Query:
     chosen = [c for c in CATALOG if select(c)]
-    return _query(lambda w: run_checks(w.checked, chosen, as_of=AS_OF))
+    return _query(lambda w: w.check(chosen, as_of=AS_OF))
 
 
 DUPLICATE_ORDERS = Check("raw_orders", "unique", ("order_id",))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,8 @@ from dailymart.schemas import LOADED_AT, RAW, TS, conform
 DEFAULT_LAYER = "public"
 #: Marks a load as complete; Spark does not read files that begin so.
 COMMITTED = "_COMMITTED"
+#: What was counted while a load was written, beside its rows.
+MEASURED = "_MEASURED"
 
 
 def qualified_name(model: str, layer: str | None = None) -> str:
@@ -110,9 +113,12 @@ class Lake:
             raise ValueError(f"{layer}.{table}: load {load_id} is already stored")
         return self._load(df, f"{folder}/load={load_id}")
 
-    def replace(self, df: DataFrame, layer: str, table: str) -> int:
-        """Put ``df`` in place of all rows once it is stored completely."""
-        return self._replaced(layer, table, lambda version: self._load(df, f"{version}/load=all"))
+    def replace(self, df: DataFrame, layer: str, table: str, measures: Mapping[str, Column] | None = None) -> int:
+        """Put ``df`` in place of all rows once it is stored completely.
+
+        ``measures``: sums and counts that ride along with the write, for :meth:`measured`.
+        """
+        return self._replaced(layer, table, lambda version: self._load(df, f"{version}/load=all", measures))
 
     def _replaced(self, layer: str, table: str, write: Callable[[str], int]) -> int:
         base = self.path(layer, table)
@@ -122,19 +128,65 @@ class Lake:
             self._delete(f"{base}/{old}")
         return rows
 
-    def _load(self, df: DataFrame, path: str) -> int:
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-        self._commit(path)
-        return int(seen.get.get("rows", 0))
+    def measured(self, layer: str, table: str) -> dict[str, int]:
+        """What was counted while the current rows were written, summed over loads that all counted it.
 
-    def _commit(self, path: str) -> None:
+        Empty for a parted table that was written to since: rows that were counted may have been replaced.
+        """
+        folder = self.current(layer, table)
+        loads = self._committed(folder)
+        found = [self._read_measures(f"{folder}/{load}") for load in loads]
+        parted = len(loads) > 1 and any("=" in n for n in self._names(f"{folder}/{loads[0]}"))
+        if parted or not found:
+            return {}
+        return {name: sum(f[name] for f in found) for name in found[0] if all(name in f for f in found)}
+
+    def _load(self, df: DataFrame, path: str, measures: Mapping[str, Column] | None = None) -> int:
+        names = list(measures or {})
+        seen = Observation()
+        counts = [(measures or {})[name].alias(f"m{i}") for i, name in enumerate(names)]
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").parquet(path)
+        return self._finish(path, seen, names)
+
+    def _finish(self, path: str, seen: Observation, names: Sequence[str]) -> int:
+        """Store what was counted, then mark the load as complete."""
+        got = seen.get
+        if names:
+            self._write_measures(path, {name: int(got.get(f"m{i}") or 0) for i, name in enumerate(names)})
         files, mark = self._files(f"{path}/{COMMITTED}")
         files.createNewFile(mark)
-
-    def build_parts(self, df: DataFrame, layer: str, table: str, part: str, within: Sequence[str] = ()) -> int:
+        return int(got.get("rows", 0))
+
+    def _write_measures(self, path: str, measures: Mapping[str, int]) -> None:
+        files, where = self._files(f"{path}/{MEASURED}")
+        out = files.create(where, True)
+        out.write(bytearray(json.dumps(measures).encode()))
+        out.close()
+
+    def _read_measures(self, path: str) -> dict[str, int]:
+        files, where = self._files(f"{path}/{MEASURED}")
+        if not files.exists(where):
+            return {}
+        stream = files.open(where)
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        return json.loads(text)
+
+    def build_parts(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        part: str,
+        within: Sequence[str] = (),
+        measures: Mapping[str, Column] | None = None,
+    ) -> int:
         """Rebuild a parted table, one folder per value of the column ``part``; rows are ranged by it and ``within``."""
-        return self._replaced(layer, table, lambda version: self._load_parts(df, f"{version}/{self._next(version, 'load=')}", part, within))
+
+        def write(version: str) -> int:
+            return self._load_parts(df, f"{version}/{self._next(version, 'load=')}", part, within, measures=measures)
+
+        return self._replaced(layer, table, write)
 
     def replace_parts(
         self, df: DataFrame, layer: str, table: str, part: str, values: Collection[object], within: Sequence[str] = ()
@@ -166,17 +218,25 @@ class Lake:
         return found
 
     def _load_parts(
-        self, df: DataFrame, path: str, part: str, within: Sequence[str], values: Collection[object] = ()
+        self,
+        df: DataFrame,
+        path: str,
+        part: str,
+        within: Sequence[str],
+        values: Collection[object] = (),
+        measures: Mapping[str, Column] | None = None,
     ) -> int:
+        # Counted behind the shuffle, in the writing tasks: a map task that runs again would count twice.
         arranged = df.repartitionByRange(part, *within).sortWithinPartitions(part, *within)
+        names = list(measures or {})
         seen = Observation()
-        counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counts = [(measures or {})[name].alias(f"m{i}") for i, name in enumerate(names)]
+        counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
         counted.write.mode("overwrite").partitionBy(part).parquet(path)
         for value in values:  # also those that are empty now
             files, where = self._files(f"{path}/{part}={value}")
             files.mkdirs(where)
-        self._commit(path)
-        return int(seen.get.get("rows", 0))
+        return self._finish(path, seen, names)
 
     def read_parts(self, layer: str, table: str, part: str, schema: T.StructType) -> DataFrame:
         """A parted table with its ``part`` as a column; ``schema`` are all its columns.
@@ -191,13 +251,14 @@ class Lake:
         reader = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("load", T.StringType())]))
         return reader.option("basePath", folder).parquet(*filled).select(*schema.names)
 
-    def build_fact(self, df: DataFrame, layer: str, table: str) -> int:
+    def build_fact(self, df: DataFrame, layer: str, table: str, measures: Mapping[str, Column] | None = None) -> int:
         """Rebuild a dated table, one folder per month.
 
         Rows are ranged by month and listing, so a month is split where it is big, and its files hold
         listings apart from each other: a filter on a listing opens few of them.
         """
-        return self.build_parts(df.withColumn("month", month_of("date")), layer, table, "month", ["listing_id", "date"])
+        monthly = df.withColumn("month", month_of("date"))
+        return self.build_parts(monthly, layer, table, "month", ["listing_id", "date"], measures)
 
     def refresh_fact(self, df: DataFrame, layer: str, table: str, first: date, last: date) -> int:
         """Recompute only the months from ``first`` to ``last``; other months stay untouched.

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from datetime import date
 from threading import RLock
 from typing import TypeVar
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dailymart.plans.mart import FACT
 from dailymart.plans.models import LAYERS, Models
+from dailymart.quality import CATALOG, Check, row_measures, run_checks
 from dailymart.session import shared_folder
 from dailymart.sinks.lake import Lake
 from dailymart.sources.projection import raw_tables
@@ -82,9 +84,19 @@ class Workspace:
             return df
         if name == FACT:
             return self.fact
-        self.lake.replace(df, LAYERS[name], name)
+        self.lake.replace(df, LAYERS[name], name, row_measures(CATALOG, name))
         return self.lake.read(LAYERS[name], name)
 
+    def check(self, checks: Iterable[Check], as_of: date | None = None) -> DataFrame:
+        """Checks of the stored models. Their failing rows were counted as they were written, which is not done again."""
+        checks = list(checks)
+        self.checked.build([c.model for c in checks] + [c.parent[0] for c in checks if c.parent])
+        return run_checks(self.checked, checks, as_of, self._measured)
+
+    def _measured(self, model: str) -> dict[str, int]:
+        stored = self.lake is not None and model in STORED
+        return self.lake.measured(LAYERS[model], model) if stored else {}
+
     def once(self, name: str, work: Callable[[], T]) -> T:
         """Run a job that stores something a single time; later callers get the first outcome.
 
@@ -101,7 +113,7 @@ class Workspace:
         return self.lazy.fact if self.lake is None else self.once(FACT, self._build_fact)
 
     def _build_fact(self) -> DataFrame:
-        self.lake.build_fact(self.lazy.fact, LAYERS[FACT], FACT)
+        self.lake.build_fact(self.lazy.fact, LAYERS[FACT], FACT, row_measures(CATALOG, FACT))
         return self.lake.read(LAYERS[FACT], FACT)
 
 

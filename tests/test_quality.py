@@ -9,12 +9,13 @@ from decimal import Decimal as D
 import pytest
 
 from dailymart.plans.mart import FACT
-from dailymart.quality import CATALOG, Check, QualityError, failing_rows, key_presence, profiles, require_passed, run_checks, store_failures
+from dailymart.quality import CATALOG, Check, QualityError, failing_rows, key_presence, profiles, require_passed, row_measures, run_checks, store_failures
 from dailymart.quality.catalog import EXPRESSIONS, FUTURE_DATES, RATING_RANGE, TEMPERATURE_RANGE
 from dailymart.quality.checks import _counted_keys
 from dailymart.quality.presence import key_domains, key_type
 from dailymart.schemas import RAW
 from dailymart.sinks.lake import Lake
+from dailymart.workspace import STORED
 
 T0 = datetime(2024, 1, 1)
 
@@ -146,6 +147,56 @@ def test_fact_checks_share_one_scan(small, plan_of):
     assert plan_of(run_checks(small.checked, fact_checks)).count("Scan parquet") <= 2
 
 
+def test_row_checks_of_stored_models_read_nothing(small, plan_of):
+    """Their failing rows were counted by the write; accepted values, too, as long as none fails."""
+    stored = {c.model for c in CATALOG if c.model in STORED}
+    kinds = ("not_null", "range", "expression", "accepted_values")
+    checks = [c for c in CATALOG if c.model in stored and c.kind in kinds]
+    assert len(checks) > 40
+    results = small.check(checks, date(2024, 2, 1))
+    assert "Scan parquet" not in plan_of(results)
+    scanned = run_checks(small.checked, checks, date(2024, 2, 1))
+    assert sorted(results.collect()) == sorted(scanned.collect())
+
+
+def test_measures_of_a_write(spark, tmp_path, plan_of):
+    lake = Lake(spark, str(tmp_path))
+    checks = [
+        Check("m", "not_null", ("x",)),
+        Check("m", "expression", expression="x <= y", where="y > 0", label="e"),
+        Check("m", "accepted_values", ("z",), values=("a",)),
+        Check("m", "accepted_values", ("w",), values=("it's",)),
+    ]
+    rows = [(None, 1, "a", "it's"), (3, 2, "b", None), (3, 0, "b", "it's"), (None, None, "c", "it's")]
+    df = spark.createDataFrame(rows, "x int, y int, z string, w string")
+    measures = row_measures(checks, "m")
+    assert row_measures(checks, "other") == {}
+    assert lake.replace(df.repartition(3), "mart", "m", measures) == 4
+    assert sorted(lake.measured("mart", "m").values()) == [0, 1, 2, 3]
+
+    models = {"m": lake.read("mart", "m")}
+    results = run_checks(models, checks, measured=lambda m: lake.measured("mart", m))
+    assert plan_of(results).count("Scan parquet") == 2  # in the tree and below: the values that are not accepted
+    assert {r.check_name: r.n_failures for r in results.collect()} == {"not_null_m_x": 2, "e": 1, "accepted_values_m_z": 2, "accepted_values_m_w": 0}
+    assert sorted(results.collect()) == sorted(run_checks(models, checks).collect())
+
+    lake.append(df, "mart", "m")  # a load that was not measured
+    assert lake.measured("mart", "m") == {}
+    assert lake.replace(df.where("false"), "mart", "m", measures) == 0
+    assert set(lake.measured("mart", "m").values()) == {0}
+    assert lake.measured("mart", "none") == {}
+
+
+def test_measures_of_a_parted_table_count_until_a_part_is_replaced(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    df = spark.createDataFrame([(date(2024, 1, 1), 1, None), (date(2024, 2, 1), 1, 5)], "date date, listing_id int, x int")
+    bad = row_measures([Check("m", "not_null", ("x",))], "m")
+    lake.build_fact(df, "mart", "f", bad)
+    assert list(lake.measured("mart", "f").values()) == [1]
+    lake.refresh_fact(df.fillna(1), "mart", "f", date(2024, 1, 1), date(2024, 1, 31))
+    assert lake.measured("mart", "f") == {}
+
+
 def test_single_keys_are_counted_in_one_aggregate(spark, plan_of):
     """References along a chain and to itself, several children of a parent, nulls and repeated parents."""
     models = {
