@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_KEYS = ["bucket", "one", "other"]
@@ -22,14 +22,14 @@ def in_blocks(members: DataFrame, key: str, most: int) -> DataFrame:
     )
 
 
-def in_blocks_around(members: DataFrame, key: str, most: int, inner: str) -> DataFrame:
+def in_blocks_around(members: DataFrame, key: str, most: Column, beside: Column, inner: str) -> DataFrame:
     """Like :func:`in_blocks` where only pairs with an ``inner`` member count.
 
-    Members carry the bucket's numbers of ``inners`` and ``outers``. Blocks of the outer ones meet blocks of the
-    inner ones only, so an outer member is copied once for each block of inner ones.
+    Members carry the bucket's numbers of ``inners`` and ``outers``. Blocks of about ``most`` inner ones meet each other and
+    blocks of about ``beside`` outer ones, which only pass by: an outer member is copied once for each block of inner ones.
     """
     counted = members.withColumns(
-        {"ins": F.ceil(F.col("inners") / most).cast("int"), "outs": F.ceil(F.col("outers") / most).cast("int")}
+        {"ins": F.ceil(F.col("inners") / most).cast("int"), "outs": F.ceil(F.col("outers") / beside).cast("int")}
     ).where("ins > 0")
     place = F.xxhash64(key)
     block = F.when(F.col(inner), F.pmod(place, F.col("ins"))).otherwise(F.col("ins") + F.pmod(place, F.col("outs")))

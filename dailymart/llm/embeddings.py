@@ -33,7 +33,10 @@ SAMPLE = 20_000
 PER_CELL = 2048
 CENTRES = SAMPLE // 16
 ITERATIONS = 8
-BLOCK = 2048
+#: Vectors at home and guests of a block at most, also in bytes, and rows that are compared with those at home at once.
+BLOCK, BLOCK_BYTES = 8192, 16 << 20
+GUESTS, GUEST_BYTES = 32_768, 64 << 20
+STRIP = 512
 
 VECTORS = "vec_id long, dim int, content binary, vector binary"
 
@@ -95,7 +98,7 @@ class Cells:
 
 
 def _assigned(cells: dict[int, Cells], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each cell a vector is in; ``cells`` lists them all, its home first."""
+    """Vectors with all cells they are in, their home first."""
     for batch in batches:
         dims = batch.column("dim").to_numpy()
         for dim in np.unique(dims):
@@ -103,65 +106,82 @@ def _assigned(cells: dict[int, Cells], batches: Iterator[pa.RecordBatch]) -> Ite
             for low in range(0, own.num_rows, 4096):
                 part = own.slice(low, 4096)
                 home, there = cells[int(dim)].places(_table(part.column("vector")))
-                lists = [np.array([h, *np.flatnonzero(t)], "<i4").tobytes() for h, t in zip(home, there)]
-                row, cell = np.nonzero(there)
-                yield pa.record_batch(
-                    [
-                        (int(dim) << 32) + cell,
-                        cell == home[row],
-                        pa.array(lists, pa.binary()).take(pa.array(row)),
-                        *(part.column(c).take(pa.array(row)) for c in ("node", "content", "n", "vector")),
-                    ],
-                    ["bucket", "home", "cells", "node", "content", "n", "vector"],
-                )
-
-
-def local_components(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric table of links the first row it reaches."""
-    label = np.arange(len(linked))
+                lists = [[h, *(c for c in np.flatnonzero(t) if c != h)] for h, t in zip(home.tolist(), there)]
+                columns = [part.column(c) for c in ("dim", "node", "content", "n", "vector")]
+                yield pa.record_batch([*columns, pa.array(lists, pa.list_(pa.int32()))], ["dim", "node", "content", "n", "vector", "cells"])
+
+
+def local_components(one: np.ndarray, other: np.ndarray, count: int) -> np.ndarray:
+    """For each of ``count`` rows the first row it reaches by links ``(one, other)``."""
+    label = np.arange(count)
     while True:
-        nearest = np.where(linked, label[None, :], len(linked)).min(axis=1)
-        after = np.minimum(label, nearest)
-        after = after[after]
+        low = np.minimum(label[one], label[other])
+        after = label.copy()
+        np.minimum.at(after, label[one], low)
+        np.minimum.at(after, label[other], low)
+        while True:
+            jumped = after[after]
+            if (jumped == after).all():
+                break
+            after = jumped
         if (after == label).all():
             return label
         label = after
 
 
+def _met_before(group: pa.RecordBatch, cell: int, guest: np.ndarray, host: np.ndarray) -> np.ndarray:
+    """Of links ``(guest, host)`` those that a lower cell counts: the guest's home, where the host is a guest."""
+    cells = group.column("cells")
+    homes = cells.flatten().to_numpy()[cells.offsets.to_numpy()[:-1] - cells.offsets[0].as_py()]
+    lower = homes[guest] < cell
+    out = np.zeros(len(guest), bool)
+    if lower.any():
+        hosts, place = np.unique(host[lower], return_inverse=True)
+        taken = cells.take(pa.array(hosts))
+        width = int(max(homes.max(), np.max(taken.flatten().to_numpy()))) + 1
+        present = np.repeat(np.arange(len(hosts)), taken.value_lengths().to_numpy()) * width + taken.flatten().to_numpy()
+        out[lower] = np.isin(place * width + homes[guest[lower]], present)
+    return out
+
+
 def _linked(cosine: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per block and vector: links to other contents (counting copies), and one link towards its group's first."""
     for group in groups(batches, BLOCK_KEYS):
         cell = group.column("bucket")[0].as_py() & 0xFFFFFFFF
-        cells = [np.frombuffer(c, "<i4") for c in group.column("cells").to_pylist()]
-        homes = np.array([c[0] for c in cells])
+        one, other = group.column("one")[0].as_py(), group.column("other")[0].as_py()
         home = group.column("home").to_numpy(zero_copy_only=False)
         block = group.column("block").to_numpy()
         table = _table(group.column("vector"))
-        # Every pair has a member that is at home here: only their rows of the product are needed.
-        rows = np.flatnonzero(home)
-        near = table[rows] @ table.T >= cosine
-        near[np.arange(len(rows)), rows] = False
-        if group.column("one")[0].as_py() != group.column("other")[0].as_py():
-            near &= block[rows][:, None] != block[None, :]
-        row, column = np.nonzero(near)
-        row = rows[row]
-        busy = np.union1d(row, column)
-        if not len(busy):
-            continue
-        linked = np.zeros((len(busy), len(busy)), bool)
-        linked[np.searchsorted(busy, row), np.searchsorted(busy, column)] = True
-        linked |= linked.T
-        home, homes = home[busy], homes[busy]
-        # Of two cells where a pair meets, the lower one counts it.
-        for guest in np.flatnonzero(~home & (homes < cell)):
-            for host in np.flatnonzero(linked[guest]):
-                if homes[guest] in cells[busy[host]]:
-                    linked[guest, host] = linked[host, guest] = False
-        n = group.column("n").to_numpy()[busy]
-        node = group.column("node").to_numpy()[busy]
-        content = group.column("content").take(pa.array(busy))
-        first = node[local_components(linked)]
-        yield pa.record_batch([content, pa.array(node), pa.array(linked @ n), pa.array(first)], ["content", "node", "links", "first"])
+        n = group.column("n").to_numpy()
+        # Rows of the first block are all at home; the other block's pass by, or the same one's.
+        rows, passing = np.flatnonzero(block == one), np.flatnonzero(block == other)
+        links = np.zeros(group.num_rows, np.int64)
+        label = np.arange(group.num_rows)
+        for low in range(0, len(passing), STRIP):
+            strip = passing[low : low + STRIP]
+            row, column = np.nonzero(table[rows] @ table[strip].T >= cosine)
+            row, column = rows[row], strip[column]
+            if one == other:  # each pair once
+                row, column = row[row < column], column[row < column]
+            elif not home[strip[0]]:
+                new = ~_met_before(group, cell, column, row)
+                row, column = row[new], column[new]
+            if len(row):
+                np.add.at(links, row, n[column])
+                np.add.at(links, column, n[row])
+                # What is joined already counts as links of each row to the first one of its group.
+                busy = np.unique(np.concatenate([row, column, label[row], label[column]]))
+                at = [np.searchsorted(busy, k) for k in (row, column, label[row], label[column])]
+                ends = np.concatenate([at[0], at[0], at[1]]), np.concatenate([at[1], at[2], at[3]])
+                joined = np.arange(group.num_rows)
+                joined[busy] = busy[local_components(*ends, len(busy))]
+                label = joined[label]
+        busy = np.flatnonzero(links)
+        if len(busy):
+            node = group.column("node").to_numpy()
+            content = group.column("content").take(pa.array(busy))
+            columns = [content, pa.array(node[busy]), pa.array(links[busy]), pa.array(node[label[busy]])]
+            yield pa.record_batch(columns, ["content", "node", "links", "first"])
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
@@ -183,10 +203,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         sample = _table(sample.select("vector").toArrow().column("vector").combine_chunks())
         centres = max(1, min(count // PER_CELL, CENTRES, len(sample) // 16))
         cells[dim] = Cells(spherical_kmeans(sample, centres), cosine)
-    fields = "bucket long, home boolean, cells binary, node long, content binary, n long, vector binary"
-    placed = saved(chosen.mapInArrow(partial(_assigned, cells), fields), "placed")
-    sizes = placed.groupBy("bucket").agg(F.count_if("home").alias("inners"), F.count_if(~F.col("home")).alias("outers"))
-    blocks = sorted_blocks(in_blocks_around(placed.join(sizes, "bucket"), "content", BLOCK, "home"))
+    fields = "dim int, node long, content binary, n long, vector binary, cells array<int>"
+    assigned = saved(chosen.mapInArrow(partial(_assigned, cells), fields), "assigned")
+
+    def placed(*columns: str) -> DataFrame:
+        """A row for each cell a vector is in, its home or not."""
+        each = assigned.select(*columns, "dim", "cells", F.posexplode("cells").alias("at", "cell"))
+        bucket = F.shiftleft(F.col("dim").cast("long"), 32) + F.col("cell")
+        return each.withColumns({"bucket": bucket, "home": F.col("at") == 0}).drop("at", "cell", "dim")
+
+    sizes = placed().groupBy("bucket").agg(F.count_if("home").alias("inners"), F.count_if(~F.col("home")).alias("outers"))
+    # A row for each cell: at most CENTRES of each dimension.
+    members = placed("node", "content", "n", "vector").join(saved(sizes, "sizes"), "bucket")
+    most, beside = (
+        F.greatest(F.lit(1), F.least(F.lit(count), F.floor(F.lit(size) / F.octet_length("vector"))))
+        for count, size in ((BLOCK, BLOCK_BYTES), (GUESTS, GUEST_BYTES))
+    )
+    blocks = sorted_blocks(in_blocks_around(members, "content", most, beside, "home"))
     found = "content binary, node long, links long, first long"
     found = saved(blocks.mapInArrow(partial(_linked, cosine), found), "links")
 

@@ -42,18 +42,29 @@ def clouds(rng, dim, groups, size, spread, lone):
     return [(int(i), v) for i, v in zip(rng.permutation(len(out) * 2)[: len(out)], out)]
 
 
-@pytest.mark.parametrize("block", [2048, 37])
-def test_recall_and_precision(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, guests, strip", [(8192, 32_768, 512), (37, 90, 16), (8192, 50, 7)])
+def test_equal_to_all_pairs(spark, monkeypatch, block, guests, strip):
+    """Many cells with guests: every link and component, however the cells are cut into blocks."""
     monkeypatch.setattr(embeddings, "PER_CELL", 60)
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "GUESTS", guests)
+    monkeypatch.setattr(embeddings, "STRIP", strip)
     rng = np.random.default_rng(4)
     rows = clouds(rng, 24, 30, 40, 0.33, 300)
-    want = brute(rows)
-    got = {r.vec_id: r for r in check(spark, rows)}
-    found, all_ = sum(r.n_links for r in got.values()), sum(n for n, _ in want.values())
-    assert all(r.n_links <= want[i][0] for i, r in got.items())
-    assert found >= 0.97 * all_
-    assert np.mean([got[i].component_id == c for i, (_, c) in want.items()]) > 0.95
+    assert {r.vec_id: (r.n_links, r.component_id) for r in check(spark, rows)} == brute(rows)
+
+
+def test_components_of_links():
+    rng = np.random.default_rng(2)
+    for count in (1, 5, 60):
+        one, other = rng.integers(0, count, (2, count * 2 // 3))
+        want = list(range(count))
+        for _ in range(count):
+            for a, b in zip(one, other):
+                want[a] = want[b] = min(want[a], want[b])
+        assert embeddings.local_components(one, other, count).tolist() == want
+    chain = np.arange(999)
+    assert set(embeddings.local_components(chain, chain + 1, 1000)) == {0}
 
 
 def test_exact_within_one_cell_and_in_two_dimensions(spark, monkeypatch):
