@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from dailymart.llm import sharding
+from dailymart.llm import queries, sharding
 
 
 def brute(rows, limit):
@@ -56,3 +56,11 @@ def test_written_shards_and_empty_table(spark, tmp_path):
     sizes = back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).collect()
     assert len(sizes) > 5 and max(r.n for r in sizes) <= 400
     assert sharding.shards(docs.limit(0), 10).collect() == []
+
+
+def test_registered_query_splits_a_few_megabytes(spark, tmp_path):
+    rows = [(i, "x" * 150_000) for i in range(24)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_sharding(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.shard for r in got} == brute([(i, len(t)) for i, t in rows], 1 << 20)
+    assert len({r.shard for r in got}) > 3
