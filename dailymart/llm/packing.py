@@ -173,9 +173,10 @@ def knapsack(lengths: np.ndarray, most: np.ndarray, prices: np.ndarray, space: i
     return out
 
 
-def fractional(counts: np.ndarray, capacity: int, rounds: int = 2, eta: float = 0.001) -> dict[tuple, float]:
+def fractional(counts: np.ndarray, capacity: int, rounds: int = 8, eta: float = 0.1) -> dict[tuple, float]:
     """Configurations and how often to take them, covering ``counts`` (by length) evenly round by round.
 
+    A round opens its share of each count, in whole pieces: fractions of a piece would be lost in rounding.
     Long lengths come first, as they are the hard ones to place. Each gets the configuration that the
     dynamic program finds best among lengths drawn by what is left of their cover in this round.
     """
@@ -188,7 +189,7 @@ def fractional(counts: np.ndarray, capacity: int, rounds: int = 2, eta: float =
     volume = lengths / capacity
     taken: dict[tuple, float] = {}
     for turn in range(1, rounds + 1):
-        room = number * turn / rounds - cover
+        room = np.ceil(number * turn / rounds) - cover
         for k in range(len(lengths) - 1, -1, -1):
             for _ in range(8):
                 if room[k] <= 1e-9:

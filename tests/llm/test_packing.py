@@ -118,6 +118,31 @@ def test_knapsack_is_the_best(items, space):
     assert sum(items[x][1] * a for x, a in found.items()) == pytest.approx(best(0, space))
 
 
+def test_weights_and_rounds_are_at_work(monkeypatch):
+    """Prices differ from plain volumes where cover differs, rounds go on by whole pieces, and no sequence is lost by it."""
+    rng = np.random.default_rng(5)
+    counts = np.zeros(513, np.int64)
+    np.add.at(counts, np.minimum(rng.geometric(0.01, 40_000), 512), 1)
+    weights = []
+
+    def watched(lengths, most, prices, space):
+        if len(lengths):
+            weights.append((prices * 512 / lengths).max())
+        return knapsack(lengths, most, prices, space)
+
+    knapsack = packing.knapsack
+    monkeypatch.setattr(packing, "knapsack", watched)
+    taken = packing.fractional(counts, 512)
+    assert max(weights) > 1.01
+    used = np.zeros(513)
+    for config, amount in taken.items():
+        for x, a in config:
+            used[x] += a * amount
+    assert np.allclose(used, counts)
+    least = -(-int((np.arange(513) * counts).sum()) // 512)
+    assert sum(t for _, t in packing.configurations(counts, 512)) <= least + 3
+
+
 def test_letters_of_any_script_before_punctuation():
     """Normalisation may end a letter in a mark that the vocabulary joins with what follows it."""
     import unicodedata
