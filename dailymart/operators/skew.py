@@ -102,6 +102,7 @@ def salted_join(
     spread: Sequence[str],
     hot_from: DataFrame | Hot | None = None,
     shares: int | None = None,
+    hint: str | None = None,
 ) -> DataFrame:
     """Join on ``on`` (inner, left, left_semi or left_anti) with the hot values of ``on[0]`` spread over salts.
 
@@ -110,8 +111,10 @@ def salted_join(
     given, found by :class:`HotKeys` before. ``spread`` are
     left columns that differ between the rows of one key (ids); hashing them keeps the salt repeatable when
     a lost task is run again. Rows with a NULL key match nothing: inner and semi joins leave them out
-    first, the others deal them to all partitions.
+    first, the others deal them to all partitions. ``hint`` is Spark's join hint for the right side, where its
+    size is hard to foresee.
     """
+    hinted = lambda rows: rows.hint(hint) if hint else rows
     columns = list(left.columns)
     if how not in ("left_semi", "left_anti"):
         columns += [c for c in right.columns if c not in on]
@@ -122,7 +125,7 @@ def salted_join(
     if isinstance(hot_from, Hot):
         hot = hot_from.salts
         if hot is None and (how in ("inner", "left_semi") or not hot_from.nulls):
-            return left.join(right, list(on), how).select(*columns)
+            return left.join(hinted(right), list(on), how).select(*columns)
         if hot is None:
             hot = _salts(left.sparkSession, key, dict(right.dtypes)[key], [])
     else:
@@ -134,4 +137,4 @@ def salted_join(
     salted_left = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     salted_right = right.join(F.broadcast(hot), key, "left").withColumn("_salt", copies).drop("_salts")
-    return salted_left.join(salted_right, [*on, "_salt"], how).select(*columns)
+    return salted_left.join(hinted(salted_right), [*on, "_salt"], how).select(*columns)

@@ -91,6 +91,9 @@ def fct_daily(
     A listing has at most one folded row per date, so the profile join cannot be skewed. The weather
     join can: one outlet may own many listings, which share its daily weather row. Hot outlets are given, or found
     by their listings in ``listing``, by default in the days themselves.
+
+    Weather by day grows with outlets x dates, but Spark takes rows that come out of an ``explode`` for as many as went in
+    and would broadcast it: it is asked to merge instead.
     """
     dates = snapshots if snapshot_dates is None else snapshot_dates
     days = day_columns(on_spine(daily_measures(snapshots, outcomes, ratings, ranks), dates))
@@ -109,6 +112,7 @@ def fct_daily(
         "left",
         spread=["listing_id"],
         hot_from=listing,
+        hint="merge",
     )
     return joined.withColumns(
         {

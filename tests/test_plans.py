@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from conftest import SMALL
@@ -55,6 +57,14 @@ def test_reports_read_only_their_columns(small, plan_of):
     assert schemas and all(line.count(":") == 2 and "data_quality_flag" in line for line in schemas)
 
 
+@pytest.mark.parametrize("skewed", [False, True])
+def test_days_of_weather_are_not_broadcast(small, plan_of, skewed):
+    """Hourly rows come out of an explode, so Spark takes daily weather for a small table whatever its size."""
+    plan = plan_of((registry._skewed(small) if skewed else small.lazy).fact)
+    joins = re.findall(r"\n\(\d+\) (\w+)\s*\nLeft keys \[[23]\]: \[outlet_id#\d+L?, date", plan)
+    assert joins == ["SortMergeJoin"]
+
+
 def test_sources_share_one_partitioning_in_the_fold(small, spark):
     """Four shuffles by (listing, date) feed the union; the fold above it needs none."""
     days = small.lazy.date_listing_spine()
