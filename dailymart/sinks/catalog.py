@@ -10,6 +10,8 @@ so a join or an aggregate by that column reads them without one.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,14 +101,21 @@ class Catalog:
         writer.saveAsTable(name)
         return name
 
-    def publish(self, raw: Mapping[str, DataFrame], models: Models, intermediate: Sequence[str] = ()) -> None:
-        """Offer all layers: ``raw`` and the chosen models are written, staging models become views."""
-        for table, rows in raw.items():
-            self.save(rows, table)
+    def publish(self, raw: Mapping[str, DataFrame], models: Models, intermediate: Sequence[str] = (), at_once: int = 4) -> None:
+        """Offer all layers: ``raw`` and the chosen models are written, staging models become views.
+
+        No table is planned from another one written here, so several are written at a time: single ones leave executors idle.
+        """
+        for layer in {"raw", *LAYERS.values()}:
+            self.database(layer)
+        writes = {
+            FACT: lambda: models.fact.withColumn("month", month_of("date")),
+            **{model: partial(models.__getitem__, model) for model in intermediate},
+            **{table: partial(raw.__getitem__, table) for table in raw},
+        }
+        with ThreadPoolExecutor(at_once) as pool:  # the fact first, which takes longest
+            list(pool.map(lambda name: self.save(writes[name](), name), writes))
         self.create_views()
-        for model in intermediate:
-            self.save(models[model], model)
-        self.save(models.fact.withColumn("month", month_of("date")), FACT)
 
     def create_views(self) -> None:
         """The staging models as views over the raw tables; nothing is computed."""

@@ -5,11 +5,14 @@ from __future__ import annotations
 import json
 from datetime import date, datetime
 from decimal import Decimal as D
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
+from dailymart.plans.mart import FACT
 from dailymart.schemas import RAW
+from dailymart.sinks.catalog import Catalog
 from dailymart.sinks.lake import Lake, qualified_name, register_views
 from dailymart.sinks.loading import audit_summary, load_manifest, load_succeeded
 from dailymart.sources.files import read_typed_csv, scan_csv
@@ -338,3 +341,27 @@ def test_fact_files_hold_listings_apart(spark, tmp_path):
         for b in bounds:
             if a[0] == b[0] and a[1] != b[1]:
                 assert a[3] <= b[2] or b[3] <= a[2]
+
+
+def test_catalog_tables_are_written_at_the_same_time(spark, small, tmp_path, monkeypatch):
+    """A write waits for a second one to begin, which never does where tables are written one after the other."""
+    two, saved = Barrier(2, timeout=60), []
+    save = Catalog.save
+
+    def meeting(self, df, model):
+        if model in ("org", "platform"):
+            two.wait()
+        saved.append(model)
+        return save(self, df, model)
+
+    monkeypatch.setattr(Catalog, "save", meeting)
+    catalog = Catalog(spark, str(tmp_path), prefix="at_once_")
+    raw = {t: small.raw[t] for t in RAW}
+    try:
+        catalog.publish(raw, small.lazy, ["int_rank_daily_avg"])
+        assert sorted(saved) == sorted([*RAW, "int_rank_daily_avg", FACT])
+        for table in ("org", "listing", "weather"):
+            assert spark.table(catalog.name(table)).count() == raw[table].count()
+        assert spark.table(catalog.name(FACT)).count() == small.lazy.fact.count()
+    finally:
+        catalog.drop()
