@@ -19,7 +19,7 @@ driver are periods and slots, bounded by the calendar and by ``SLOTS``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -48,6 +48,15 @@ LATEST = {
     "orders_daily": (["listing_id", "date"], ["timestamp", LOADED_AT]),
     "ratings_agg": (["listing_id", "date"], [LOADED_AT]),
 }
+#: Columns by which the rows of a period are ranged, so that a period is dealt to several tasks and files where it is big.
+RANGED = {
+    "orders": ["listing_id", "order_id"],
+    "orders_daily": ["listing_id"],
+    "rank": ["listing_id", "timestamp"],
+    "ratings_agg": ["listing_id"],
+    "weather": ["outlet_id", "datetime"],
+    "rating_ends": ["listing_id"],
+}
 PERIODS = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("period", T.DateType()), T.StructField("slot", T.IntegerType())])
 
 
@@ -109,8 +118,8 @@ class IncrementalMart:
             self._put(table, old.unionByName(new.withColumn("load_id", F.lit(load_id))), periods)
             return periods
         keys, latest_by = LATEST[table]
-        new = latest_per_key(new, keys, latest_by)
-        periods = self._periods(new)
+        periods = self._periods(latest_per_key(new, keys, latest_by))
+        # From here on versions that do not count do no harm: the latest is chosen among all, and ids are only looked up.
         if table == "orders":
             periods |= self._periods(self._known(new))
         old = self.stored(table).where(F.col("period").isin(*periods))
@@ -121,8 +130,8 @@ class IncrementalMart:
             periods |= self._next_ratings(periods)
         return periods
 
-    def _put(self, table: str, rows: DataFrame, periods: set[date], within: Iterable[str] = ()) -> None:
-        self.lake.replace_parts(rows, LAYER, table, "period", sorted(periods), list(within))
+    def _put(self, table: str, rows: DataFrame, periods: set[date]) -> None:
+        self.lake.replace_parts(rows, LAYER, table, "period", sorted(periods), RANGED[table])
 
     # Orders: where a key is stored.
 
@@ -168,7 +177,7 @@ class IncrementalMart:
         after = self._ends().where(F.col("period") > min(periods)).select("listing_id", "period")
         following = moved.join(after, "listing_id").where("period > at").groupBy("listing_id", "at").agg(F.min("period").alias("period"))
         found = self._periods(following)
-        self._put("rating_ends", ends, periods, ["listing_id"])
+        self._put("rating_ends", ends, periods)
         return found
 
     def _ratings(self, periods: set[date]) -> DataFrame:

@@ -134,6 +134,37 @@ def test_an_order_without_a_date_waits_for_one(spark, months):
     assert mart.fact.where("listing_id = 1 and date = date'2024-03-10'").first().daily_orders == 0
 
 
+def test_a_big_period_is_dealt_to_several_tasks(spark, tmp_path):
+    mart = IncrementalMart(Lake(spark, str(tmp_path)), dimensions(spark))
+    at = lambda i: datetime(2024, 1, 1) + timedelta(minutes=i)
+    many = {
+        "orders": [(1, i, at(i), "completed", T0) for i in range(200)],
+        "orders_daily": [(date(2024, 1, 1 + i % 20), i, 1, T0, T0) for i in range(200)],
+        "rank": [(1, date(2024, 1, 1 + i % 20), at(i), True, None, T0) for i in range(200)],
+        "ratings_agg": [(date(2024, 1, 1 + i % 20), i, 1, None, T0) for i in range(200)],
+        "weather": [(1, at(60 * i), None, 50, None, T0) for i in range(200)],
+    }
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mart.load("all", {t: frame(spark, t, r) for t, r in many.items()})
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for table, every in many.items():
+        (period,) = (tmp_path / "incremental" / table).rglob("period=2024-01-01")
+        assert len(list(period.glob("*.parquet"))) > 1, table
+        assert rows(mart.stored(table).select(*RAW[table].names)) == rows(frame(spark, table, every))
+
+
+def test_of_several_versions_in_one_load_the_latest_counts_and_leaves_other_periods_alone(spark, months):
+    mart, _ = months
+    versions = [(1, 9, datetime(2024, m, 10), "completed", T0) for m in (3, 4, 5)]
+    assert mart.load("versions", {"orders": frame(spark, "orders", versions)}) == first_days(5)
+    assert mart.stored("orders").where("order_id = 9").count() == 1
+    known = mart._known(frame(spark, "orders", versions)).collect()
+    assert [(r.order_id, r.period) for r in known] == [(9, date(2024, 5, 1))]
+
+
 def test_mistakes(spark, tmp_path):
     with pytest.raises(ValueError, match="calendar"):
         IncrementalMart(Lake(spark, str(tmp_path)), {}, period="fortnight")
