@@ -23,6 +23,19 @@ LAYERS = {
     mart.FACT: "mart",
 }
 
+#: Models that the fact is built from.
+FACT_SOURCES = [
+    "stg_listing",
+    "stg_orders",
+    "stg_orders_daily",
+    "stg_org",
+    "stg_outlet",
+    "stg_platform",
+    "stg_weather",
+    "int_rank_daily_avg",
+    "int_ratings_metrics",
+]
+
 Store = Callable[[str, DataFrame], DataFrame]
 
 
@@ -57,9 +70,13 @@ class Models:
             return self._built[name]
 
     def build(self, names: Iterable[str], at_once: int = 4) -> None:
-        """Build (and store) models, several at a time."""
+        """Build (and store) models, several at a time; those that others build on come first."""
+        wanted = {*names}
+        if mart.FACT in wanted:
+            wanted.update(FACT_SOURCES)
+        layers = list(LAYERS)
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(self.__getitem__, sorted(set(names))))
+            list(pool.map(self.__getitem__, sorted(wanted, key=lambda name: (layers.index(name) if name in LAYERS else -1, name))))
 
     def _build(self, name: str) -> DataFrame:
         if name in STAGING:

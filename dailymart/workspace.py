@@ -82,8 +82,8 @@ class Workspace:
         """Store what several checks or reports read again and is costly to plan anew."""
         if self.lake is None or name not in STORED:
             return df
-        if name == FACT:
-            return self.fact
+        if name == FACT:  # from the stored models, which need not be computed again
+            return self.once(FACT, lambda: self._build_fact(df))
         self.lake.replace(df, LAYERS[name], name, row_measures(CATALOG, name))
         return self.lake.read(LAYERS[name], name)
 
@@ -110,10 +110,10 @@ class Workspace:
     @property
     def fact(self) -> DataFrame:
         """The mart table: built on first use, read from storage afterwards."""
-        return self.lazy.fact if self.lake is None else self.once(FACT, self._build_fact)
+        return self.lazy.fact if self.lake is None else self.once(FACT, lambda: self._build_fact(self.lazy.fact))
 
-    def _build_fact(self) -> DataFrame:
-        self.lake.build_fact(self.lazy.fact, LAYERS[FACT], FACT, row_measures(CATALOG, FACT))
+    def _build_fact(self, df: DataFrame) -> DataFrame:
+        self.lake.build_fact(df, LAYERS[FACT], FACT, row_measures(CATALOG, FACT))
         return self.lake.read(LAYERS[FACT], FACT)
 
 

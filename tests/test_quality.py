@@ -15,7 +15,7 @@ from dailymart.quality.checks import _counted_keys
 from dailymart.quality.presence import key_domains, key_type
 from dailymart.schemas import RAW
 from dailymart.sinks.lake import Lake
-from dailymart.workspace import STORED
+from dailymart.workspace import STORED, Workspace
 
 T0 = datetime(2024, 1, 1)
 
@@ -159,6 +159,22 @@ def test_row_checks_of_stored_models_read_nothing(small, plan_of):
     assert sorted(results.collect()) == sorted(scanned.collect())
 
 
+def test_checks_build_the_fact_from_stored_models(spark):
+    """What the checks store is read by the fact, not computed from the raw tables once more."""
+    space = Workspace(spark, SMALL)
+    try:
+        checks = [c for c in CATALOG if c.kind == "unique" and len(c.columns) > 1]
+        assert {r.status for r in space.check(checks, date(2024, 2, 1)).collect()} == {"pass"}
+        assert not space.lazy._built
+        assert {r.model for r in space.check(CATALOG, date(2024, 2, 1)).collect()} == {c.model for c in CATALOG}
+        assert not space.lazy._built
+        stored = space.fact.drop("month")
+        plain = space.lazy.fact.select(*stored.columns)
+        assert stored.exceptAll(plain).isEmpty() and plain.exceptAll(stored).isEmpty()
+    finally:
+        space.close()
+
+
 def test_measures_of_a_write(spark, tmp_path, plan_of):
     lake = Lake(spark, str(tmp_path))
     checks = [
