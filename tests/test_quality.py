@@ -7,6 +7,7 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from conftest import SMALL
 
 from dailymart.plans.mart import FACT
 from dailymart.quality import CATALOG, Check, QualityError, failing_rows, key_presence, profiles, require_passed, row_measures, run_checks, store_failures
@@ -161,7 +162,7 @@ def test_row_checks_of_stored_models_read_nothing(small, plan_of):
 
 def test_checks_build_the_fact_from_stored_models(spark):
     """What the checks store is read by the fact, not computed from the raw tables once more."""
-    space = Workspace(spark, SMALL)
+    space = Workspace(spark, f"{SMALL}/")  # a folder of its own, beside that of ``small``
     try:
         checks = [c for c in CATALOG if c.kind == "unique" and len(c.columns) > 1]
         assert {r.status for r in space.check(checks, date(2024, 2, 1)).collect()} == {"pass"}
