@@ -9,13 +9,13 @@ model minimises
 the unbiased risk of learning without negatives, kept from going below zero (where it would,
 nothing but the positives' own risk is left). Negatives are never trained on.
 
-The unlabelled side is the whole corpus: in each of at most ``ROUNDS`` rounds every task sums loss and gradient over its rows,
-the sums are added up, and the driver takes one step (L-BFGS, a shorter one where the risk did not fall). So the model is that of one
-computer with all rows, however they are dealt to tasks. The positives are a bounded sample, ``POSITIVES`` labelled rows by
-hash of the id.
+The unlabelled side is the whole corpus, the positives are all texts whose label says so and may be learnt from. In each of at
+most ``ROUNDS`` rounds every task sums loss and gradient of either over its rows, the sums are added up, and the driver takes one step
+(L-BFGS, a shorter one where the risk did not fall). So the model is that of one computer with all rows, however they are dealt to
+tasks; the driver gets sums only.
 
 The class prior is estimated from positives and unlabelled text alone, unless it is given: a first model tells one half of
-the positives from the unlabelled, and of all its thresholds that at least ``SEEN`` of the other half pass, the least ratio of the
+the positives (every other id) from the unlabelled, and of all its thresholds that at least ``SEEN`` of the other half pass, the least ratio of the
 share of the unlabelled that passes to that of the other half is the prior. Where hardly any negative passes, all that pass are
 positives. A single positive is no half; the prior is then 0.5.
 
@@ -36,10 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailymart.llm.store import fold, saved
+from dailymart.llm.store import fold, matching, saved
 from dailymart.llm.texts import byte_texts, chunks, words_of
 
-POSITIVES = 4096
 ROUNDS = 25
 #: Rounds of the first model, which tells positives from unlabelled text.
 FIRST_ROUNDS = 10
@@ -129,46 +128,40 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def _sums(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over a task's rows: their number, the loss of calling them negative, and its gradient."""
-    total = np.zeros(len(model.weights) + 2)
-    for batch in batches:
-        for low in range(0, batch.num_rows, BATCH):
-            table = model.standard(_matrix(batch.slice(low, BATCH).column("features")))
-            z = table @ model.weights
-            total += [len(z), _softplus(z).sum(), *(table.T @ (1 / (1 + np.exp(-np.clip(z, -30, 30)))))]
-    yield pa.record_batch([np.arange(len(total), dtype=np.int32), total], ["index", "value"])
-
-
-def _unlabelled(table: DataFrame, model: Model) -> tuple[float, np.ndarray]:
-    """Mean loss and gradient of calling all rows negative."""
-    sums = table.mapInArrow(partial(_sums, model), "index int, value double").groupBy("index").agg(F.sum("value").alias("value"))
-    total = np.zeros(len(model.weights) + 2)
-    for index, value in sums.collect():
-        total[index] = value
-    return total[1] / total[0], total[2:] / total[0]
+def called_negative(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Number of ``rows``, the summed loss of calling them negative, and its gradient."""
+    z = rows @ weights
+    return np.array([len(z), _softplus(z).sum(), *(rows.T @ (1 / (1 + np.exp(-np.clip(z, -30, 30)))))])
 
 
-def risk(weights: np.ndarray, positives: np.ndarray, unlabelled: tuple[float, np.ndarray], prior: float) -> tuple[float, np.ndarray]:
-    """The non-negative risk with its gradient; ``unlabelled``: mean loss and gradient of calling them negative."""
-    z = positives @ weights
-    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    value = prior * _softplus(-z).mean()
-    gradient = prior * positives.T @ (p - 1) / len(positives)
-    negative = unlabelled[0] - prior * _softplus(z).mean()
+def risk_of_means(
+    weights: np.ndarray, positives: tuple[float, np.ndarray, np.ndarray], unlabelled: tuple[float, np.ndarray], prior: float
+) -> tuple[float, np.ndarray]:
+    """The non-negative risk with its gradient, from mean loss and gradient of calling rows negative; of positives the mean row too."""
+    loss, slope, centre = positives
+    # Calling a row positive costs as much as calling it negative, less its z.
+    value, gradient = prior * (loss - centre @ weights), prior * (slope - centre)
+    negative = unlabelled[0] - prior * loss
     if negative > 0:
         value += negative
-        gradient = gradient + unlabelled[1] - prior * positives.T @ p / len(positives)
+        gradient = gradient + unlabelled[1] - prior * slope
     held = np.append(weights[:-1], 0.0)
     return value + L2 / 2 * held @ held, gradient + L2 * held
 
 
-def told_apart(weights: np.ndarray, positives: np.ndarray, unlabelled: tuple[float, np.ndarray], _: float) -> tuple[float, np.ndarray]:
-    """The risk of taking unlabelled rows for negatives, both sides weighing the same."""
-    z = positives @ weights
+def risk(weights: np.ndarray, positives: np.ndarray, unlabelled: tuple[float, np.ndarray], prior: float) -> tuple[float, np.ndarray]:
+    """:func:`risk_of_means` with the positives as rows."""
+    number, loss, *slope = called_negative(weights, positives)
+    return risk_of_means(weights, (loss / number, np.array(slope) / number, positives.mean(0)), unlabelled, prior)
+
+
+def told_apart(
+    weights: np.ndarray, positives: tuple[float, np.ndarray, np.ndarray], unlabelled: tuple[float, np.ndarray], _: float
+) -> tuple[float, np.ndarray]:
+    """The risk of taking unlabelled rows for negatives, both sides weighing the same; see :func:`risk_of_means`."""
+    loss, slope, centre = positives
     held = np.append(weights[:-1], 0.0)
-    gradient = positives.T @ (1 / (1 + np.exp(-np.clip(z, -30, 30))) - 1) / len(positives) + unlabelled[1]
-    return _softplus(-z).mean() + unlabelled[0] + L2 / 2 * held @ held, gradient + L2 * held
+    return loss - centre @ weights + unlabelled[0] + L2 / 2 * held @ held, slope - centre + unlabelled[1] + L2 * held
 
 
 def minimise(start: np.ndarray, evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], rounds: int, memory: int = 10) -> np.ndarray:
@@ -206,16 +199,43 @@ def minimise(start: np.ndarray, evaluate: Callable[[np.ndarray], tuple[float, np
     return weights
 
 
-def _binned(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(BINS, np.int64)
-    for batch in batches:
-        if batch.num_rows:
-            counts += _bins(model, _matrix(batch.column("features")))
-    yield pa.record_batch([np.arange(BINS, dtype=np.int32), counts], ["bin", "rows"])
+def _losses(model: Model, table: np.ndarray) -> np.ndarray:
+    return called_negative(model.weights, model.standard(table))
 
 
 def _bins(model: Model, table: np.ndarray) -> np.ndarray:
-    return np.bincount(np.minimum((model.scores(table) * BINS).astype(int), BINS - 1), minlength=BINS)
+    return np.bincount(np.minimum((model.scores(table) * BINS).astype(int), BINS - 1), minlength=BINS).astype(float)
+
+
+def _moments(table: np.ndarray) -> np.ndarray:
+    """Number of rows, totals of the features and of their squares."""
+    table = table.astype(np.float64)
+    return np.array([len(table), *table.sum(0), *(table**2).sum(0)])
+
+
+def _summed(of: Callable[[np.ndarray], np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``of`` makes of features, added up over a task's rows by kind."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for low in range(0, batch.num_rows, BATCH):
+            part = batch.slice(low, BATCH)
+            kinds = part.column("kind").to_numpy()
+            for kind in np.unique(kinds).tolist():
+                own = part.column("features").filter(pa.array(kinds == kind))
+                totals[kind] = totals.get(kind, 0.0) + of(_matrix(own))
+    for kind, total in totals.items():
+        columns = [np.full(len(total), kind, np.int32), np.arange(len(total), dtype=np.int32), total]
+        yield pa.record_batch(columns, ["kind", "index", "value"])
+
+
+def _sums(rows: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> dict[int, np.ndarray]:
+    """The sum of ``of`` over all ``rows`` (``kind, features``) of each kind."""
+    parts = rows.mapInArrow(partial(_summed, of), "kind int, index int, value double")
+    sums = parts.groupBy("kind", "index").agg(F.sum("value").alias("value"))
+    out: dict[int, list[float]] = {}
+    for kind, _, value in sorted(sums.collect()):
+        out.setdefault(kind, []).append(value)
+    return {kind: np.array(values) for kind, values in out.items()}
 
 
 def least_ratio(positives: np.ndarray, unlabelled: np.ndarray) -> float:
@@ -225,17 +245,6 @@ def least_ratio(positives: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip((other / np.maximum(passed, 1e-9))[passed >= SEEN].min(), 0.0, 1.0))
 
 
-def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, square, rows = 0.0, 0.0, 0
-    for batch in batches:
-        if batch.num_rows:
-            table = _matrix(batch.column("features")).astype(np.float64)
-            total, square, rows = total + table.sum(0), square + (table**2).sum(0), rows + len(table)
-    if rows:
-        index = np.arange(len(total), dtype=np.int32)
-        yield pa.record_batch([index, total, square, np.full(len(total), float(rows))], ["index", "total", "square", "rows"])
-
-
 def _agreed(labels: DataFrame, label: str) -> DataFrame:
     """``doc_id, label`` where all rows of an id agree."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
@@ -243,46 +252,62 @@ def _agreed(labels: DataFrame, label: str) -> DataFrame:
     return both.where("label = other").select("doc_id", "label")
 
 
+#: Kinds of rows: all texts, and the positives with an even and with an odd number in the order of ids.
+UNLABELLED, EVEN, ODD = range(3)
+
+
+def _positives(table: DataFrame, chosen: DataFrame) -> tuple[DataFrame, int]:
+    """``kind, features`` of the ids in ``chosen`` (stored), one row for each, and their number."""
+    # Of rows that share an id the first by their features.
+    rows = matching(table, chosen, ["doc_id"]).groupBy("doc_id").agg(F.min("features").alias("features"))
+    rows = saved(rows.orderBy("doc_id").select("features", F.monotonically_increasing_id().alias("row")), "positives")
+    part, within = F.shiftright("row", 33), F.col("row").bitwiseAND((1 << 33) - 1)
+    number, odd = 0, []
+    for at, n in sorted(rows.groupBy(part).count().collect()):
+        odd += [at] if number % 2 else []
+        number += n
+    turned = (within + part.isin(odd).cast("long")) % 2
+    return rows.select(F.when(turned == 0, EVEN).otherwise(ODD).alias("kind"), "features"), number
+
+
 def fit(table: DataFrame, labels: DataFrame, prior: float | None = None) -> tuple[Model, float]:
     """The model and the prior from stored features and the labels ``doc_id, label`` to learn from; ``prior`` may be given."""
     stored = saved(labels.join(table.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
     model = Model(FEATURES)
-    chosen = stored.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES).select("doc_id")
-    # Of rows that share an id the first by their features.
-    sample = table.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"))
-    sample = sample.orderBy("doc_id").select("features").toArrow()
-    if not sample.num_rows:
+    known, number = _positives(table, stored.where("label = 1").select("doc_id"))
+    if not number:
         # No positive is known: none is expected where there are labels.
         prior = 0.5 if prior is None and stored.isEmpty() else prior or 0.0
         model.weights[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
         return model, prior
-    moments = table.mapInArrow(_moments, "index int, total double, square double, rows double")
-    sums = moments.groupBy("index").agg(*[F.sum(c).alias(c) for c in ("total", "square", "rows")]).orderBy("index").collect()
-    total, square, rows = (np.array([r[c] for r in sums]) for c in ("total", "square", "rows"))
-    model.centre = total / rows
-    model.scale = np.sqrt(np.maximum(square / rows - model.centre**2, 1e-6))
-    plain = _matrix(sample.column("features").combine_chunks())
-    positives = model.standard(plain)
-
-    def trained(start: np.ndarray, loss: Callable, known: np.ndarray, rounds: int) -> np.ndarray:
+    rows = table.select(F.lit(UNLABELLED).alias("kind"), "features").unionByName(known)
+    moments = _sums(rows, _moments)
+    count, total, square = np.split(moments[UNLABELLED], [1, 1 + FEATURES])
+    model.centre = total / count
+    model.scale = np.sqrt(np.maximum(square / count - model.centre**2, 1e-6))
+
+    def trained(start: np.ndarray, loss: Callable, kinds: list[int], rounds: int) -> np.ndarray:
+        own = rows.where(F.col("kind").isin(UNLABELLED, *kinds))
+        count, total, _ = np.split(sum(moments[k] for k in kinds), [1, 1 + FEATURES])
+        centre = model.standard(total[None] / count)[0]
+
         def evaluate(weights: np.ndarray) -> tuple[float, np.ndarray]:
             model.weights = weights
-            return loss(weights, known, _unlabelled(table, model), prior)
+            sums = _sums(own, partial(_losses, model))
+            every, positive = (s[1:] / s[0] for s in (sums[UNLABELLED], sum(sums[k] for k in kinds)))
+            return loss(weights, (positive[0], positive[1:], centre), (every[0], every[1:]), prior)
 
         return minimise(start, evaluate, rounds)
 
-    if prior is None and len(plain) == 1:
+    if prior is None and number == 1:
         prior = 0.5
     if prior is None:
-        model.weights = trained(np.zeros(FEATURES + 1), told_apart, positives[::2], FIRST_ROUNDS)
-        binned = table.mapInArrow(partial(_binned, model), "bin int, rows long").groupBy("bin").agg(F.sum("rows").alias("rows"))
-        unlabelled = np.zeros(BINS)
-        for number, rows in binned.collect():
-            unlabelled[number] = rows
-        prior = least_ratio(_bins(model, plain[1::2]), unlabelled)
+        model.weights = trained(np.zeros(FEATURES + 1), told_apart, [EVEN], FIRST_ROUNDS)
+        bins = _sums(rows.where(F.col("kind") != EVEN), partial(_bins, model))
+        prior = least_ratio(bins[ODD], bins[UNLABELLED])
     start = np.zeros(FEATURES + 1)
     start[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
-    model.weights = trained(start, risk, positives, ROUNDS)
+    model.weights = trained(start, risk_of_means, [EVEN, ODD][:number], ROUNDS)
     return model, prior
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dailymart.llm import quality
+from dailymart.llm.store import saved, ship
 
 SF = "/root/testdata/sf0.01"
 
@@ -112,3 +113,33 @@ def test_descriptions():
     assert table.shape == (4, quality.FEATURES) and not table[0].any()
     pairs = quality.FEATURES - quality.WORD_FEATURES
     assert table[2, 0] == pytest.approx(1) and (table[:, :pairs] ** 2).sum(1).tolist() == pytest.approx([0, 1, 1, 0])
+
+
+def test_all_positives_are_learnt_from(spark):
+    """Model and prior are those of one computer with every positive, also beyond a few thousand."""
+    ship(spark)
+    rng = np.random.default_rng(3)
+    first = rng.random(9000) < 0.8
+    table = rng.normal(np.where(first, 0.5, -0.5)[:, None], 1, (9000, quality.FEATURES)).astype(np.float16)
+    stored = saved(spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(table)], "doc_id long, features binary"), "test-features")
+    marked = np.flatnonzero(first & (rng.random(9000) < 0.9))
+    labels = spark.createDataFrame([(int(i), 1) for i in marked], "doc_id long, label int")
+    model, prior = quality.fit(stored, labels)
+
+    plain = table.astype(float)
+    rows = np.hstack([(plain - plain.mean(0)) / plain.std(0), np.ones((9000, 1))])
+    soft = lambda z: np.logaddexp(0, z)
+    positives = rows[marked]
+
+    def apart(w):
+        p, q = (1 / (1 + np.exp(-(x @ w))) for x in (positives[::2], rows))
+        value = soft(-(positives[::2] @ w)).mean() + soft(rows @ w).mean() + quality.L2 / 2 * (w[:-1] ** 2).sum()
+        return value, positives[::2].T @ (p - 1) / len(p) + rows.T @ q / len(q) + quality.L2 * np.append(w[:-1], 0)
+
+    w = quality.minimise(np.zeros(quality.FEATURES + 1), apart, quality.FIRST_ROUNDS)
+    bins = lambda x: np.bincount((quality.BINS / (1 + np.exp(-(x @ w)))).astype(int), minlength=quality.BINS)
+    expected = quality.least_ratio(bins(positives[1::2]), bins(rows))
+    assert len(marked) > 6000 and prior == pytest.approx(expected, abs=1e-6)
+    start = np.append(np.zeros(quality.FEATURES), np.log(expected / (1 - expected)))
+    end = quality.minimise(start, lambda w: quality.risk(w, positives, called_negative(w, rows), expected), quality.ROUNDS)
+    assert model.weights == pytest.approx(end, abs=1e-5)
