@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import subprocess
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from dailymart.llm import embeddings
+from dailymart.llm.store import shared_folder
 
 
 def brute(rows, cosine=0.9):
@@ -107,3 +111,76 @@ def test_vectors_that_link_with_nothing(spark):
     assert embeddings.near_duplicates(empty).collect() == []
     nulls = spark.createDataFrame([(1, [1.0, None])], "vec_id long, embedding array<float>").withColumn("n", F.lit(1))
     assert [tuple(r) for r in embeddings.near_duplicates(nulls).collect()] == [(1, 0, 1, True)]
+
+
+def test_disk_is_a_few_times_the_vectors(spark, monkeypatch):
+    """Vectors without structure are near the borders of many cells, but are not copied to them on disk."""
+    folders = [*spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString(), shared_folder(spark).removeprefix("file://")]
+
+    def used():
+        return int(subprocess.run(["du", "-scB1", "--apparent-size", *folders], capture_output=True, text=True).stdout.split()[-2])
+
+    most, save = [], embeddings.saved
+
+    def saved(*args):
+        out = save(*args)
+        most.append(used())
+        return out
+
+    monkeypatch.setattr(embeddings, "PER_CELL", 60)
+    rng = np.random.default_rng(9)
+    table = rng.normal(size=(6000, 64)).astype(np.float32)
+    table[5900:] = table[0] + rng.normal(size=(100, 64)).astype(np.float32) / 4
+    rows = list(enumerate(table.tolist()))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4).cache()
+    frame.count()
+    before = used()
+    monkeypatch.setattr(embeddings, "saved", saved)
+    got = embeddings.near_duplicates(frame)
+    assert max(most) - before < 6 * table.nbytes
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == brute(rows)
+    frame.unpersist()
+
+
+@pytest.mark.parametrize("rank", [24, 48])
+def test_the_screen_loses_no_pair(rank):
+    rng = np.random.default_rng(3)
+    sample = embeddings._units(rng.normal(size=(900, rank)) @ rng.normal(size=(rank, 48)) + 0.01 * rng.normal(size=(900, 48)))
+    unit = sample.astype(np.float32)
+    basis = embeddings.screen(sample, 0.9)
+    assert basis.shape[1] < 48
+    few = embeddings.short(unit, basis.astype(np.float32))
+    assert (few @ few.T >= sample @ sample.T - 52 * 1.2e-7).all()
+    assert (few @ few.T >= 0.9).mean() < 0.5
+
+
+def test_copies_meet_over_batches_and_packs_end():
+    """A content whose copies come in several batches is one row; packs are of one dimension and bounded."""
+    rng = np.random.default_rng(6)
+    tables = {dim: rng.normal(size=(9, dim)).astype(np.float32) for dim in (3, 5)}
+    cells = {dim: embeddings.Cells(embeddings.spherical_kmeans(embeddings._units(t), 2), 0.9) for dim, t in tables.items()}
+    rows = [(dim, int(cells[dim].homes(embeddings._units(v[None]))[0]), bytes([dim, k]) + bytes(14), 100 * dim + k + 20 * c, c + 1, v.tobytes())
+            for dim, t in tables.items() for k, v in enumerate(t) for c in range(3)]
+    rows.sort(key=lambda r: r[:4])
+    names = ["dim", "cell", "content", "node", "n", "vector"]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    whole = pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names)
+    for size in (1, 2, 7, 100):
+        batches = [whole.slice(k, size) for k in range(0, len(rows), size)]
+        packs = list(embeddings._packed(cells, {3: 4, 5: 100}, iter(batches)))
+        assert [(p.column("dim")[0].as_py(), len(p.column("n")[0].as_py()) // 8) for p in packs] == [(3, 4), (3, 4), (3, 1), (5, 9)]
+        nodes = np.concatenate([np.frombuffer(p.column("node")[0].as_py(), np.int64) for p in packs])
+        assert sorted(nodes.tolist()) == [100 * dim + k for dim in (3, 5) for k in range(9)]
+        assert all((np.frombuffer(p.column("n")[0].as_py(), np.int64) == 6).all() for p in packs)
+
+
+def test_homes_do_not_depend_on_the_batch():
+    """Equal vectors get equal cells though centres are equal, or they would be two rows."""
+    rng = np.random.default_rng(8)
+    unit = embeddings._units(rng.normal(size=(500, 33)))
+    cells = embeddings.Cells(np.concatenate([unit[:40], unit[:40], unit[:7]]), 0.9)
+    whole = cells.homes(unit)
+    assert (whole < 40).all()
+    assert all((cells.homes(unit[k : k + size]) == whole[k : k + size]).all() for size in (1, 3, 64) for k in range(0, 500, size))
+    assert (np.concatenate(list(map(cells.homes, embeddings._slices(unit, 9)))) == whole).all()
+    assert list(map(len, embeddings._slices(unit, 300))) == [300, 200]
